@@ -1,0 +1,46 @@
+"""Rewrites of a stored layer.
+
+Both jobs write a new folder and never touch the one they read, so a lost
+executor or driver leaves the old table whole.  The caller then points the
+readers at the new folder (``ALTER TABLE ... SET LOCATION`` for a catalog
+table) and drops the old one when nobody reads it any more.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.history import BATCH, snapshots
+from tidemark.storage import path_exists
+
+
+def _write_new(spark: SparkSession, table: DataFrame, target: str, partition_cols, file_mb):
+    if path_exists(spark, target):
+        raise ValueError(f"{target} exists; rewrites go to a new folder")
+    # AQE cuts big partitions and merges small ones towards this size.
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{file_mb}MB")
+    try:
+        table.hint("rebalance", *[F.col(c) for c in partition_cols]).write.partitionBy(*partition_cols).parquet(target)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
+def compact(spark: SparkSession, table: DataFrame, target: str, partition_cols, file_mb=256):
+    """Rewrite into few large files per partition; the rows stay the same."""
+    _write_new(spark, table, target, partition_cols, file_mb)
+
+
+def expire_batches(spark: SparkSession, table: DataFrame, target: str, older_than, file_mb=256):
+    """Fold all commits made before ``older_than`` into the newest of them.
+
+    No row is lost; reads as of an earlier commit are no longer possible.
+    The boundary is one number, looked up as a scalar subquery.
+    """
+    boundary = (
+        snapshots(table)
+        .filter(F.col("committed_at") < F.lit(older_than).cast("timestamp"))
+        .agg(F.max("snapshot_id"))
+        .scalar()
+    )
+    folded = table.withColumn(BATCH, F.greatest(F.col(BATCH), F.coalesce(boundary, F.col(BATCH))))
+    _write_new(spark, folded, target, [BATCH, "date_partition"], file_mb)
