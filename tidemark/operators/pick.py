@@ -29,10 +29,14 @@ TIE_BREAK = (
 
 
 def dedup_transactions(bronze: DataFrame) -> DataFrame:
-    """Earliest delivery of each transaction id within each date partition."""
+    """Earliest delivery of each transaction id within each date partition.
+
+    The id leads the sort key: its first bytes already decide most
+    comparisons, while the date text starts alike everywhere.
+    """
     return first_per_key(
         bronze,
-        ["date_partition", "transaction_id"],
+        ["transaction_id", "date_partition"],
         ["ingestion_timestamp", *TIE_BREAK],
     )
 

@@ -59,8 +59,8 @@ def _envelope(spark, sf_dir):
     return events.as_envelope(events.read_events(spark, sf_dir))
 
 
-def _samples(spark, sf_dir):
-    return events.metric_samples(events.read_events(spark, sf_dir))
+def _samples(spark, sf_dir, *wanted):
+    return events.metric_samples(events.read_events(spark, sf_dir), *wanted)
 
 
 def _over(layer, report, **options):
@@ -110,12 +110,6 @@ def _flat(df: DataFrame) -> DataFrame:
 # -- sources, envelopes, streams ------------------------------------------------
 
 
-def _stream_of_events(spark, sf_dir):
-    """The events table as a file stream; a glob serves one file and a folder alike."""
-    schema = events.read_events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-
-
 def _run(query):
     """Let an ``availableNow`` query finish; a failure is raised here."""
     try:
@@ -125,7 +119,7 @@ def _run(query):
 
 
 def _ingested(spark, sf_dir, damaged):
-    stream = events.as_envelope(_stream_of_events(spark, sf_dir))
+    stream = events.as_envelope(events.stream_events(spark, sf_dir))
     folder = shared_folder(spark, "ingest")
     query = ingest.start_ingest(
         events.with_damage(stream) if damaged else stream,
@@ -158,7 +152,7 @@ def dead_letter_split(spark, sf_dir):
 
 def stream_dedup(spark, sf_dir):
     folder = shared_folder(spark, "dedup")
-    decoded = envelope.decode(events.as_envelope(_stream_of_events(spark, sf_dir)))
+    decoded = envelope.decode(events.as_envelope(events.stream_events(spark, sf_dir)))
     unique = live.dedup(decoded.select("transaction_id", "timestamp", "account_id", "transaction_type", "amount")).drop("amount")
     _run(
         unique.writeStream.format("parquet")
@@ -173,7 +167,7 @@ def stream_dedup(spark, sf_dir):
 
 def stream_tx_per_minute(spark, sf_dir):
     folder = shared_folder(spark, "minutes")
-    decoded = envelope.decode(events.as_envelope(_stream_of_events(spark, sf_dir)))
+    decoded = envelope.decode(events.as_envelope(events.stream_events(spark, sf_dir)))
     _run(live.start_minute_board(decoded, f"{folder}/board", f"{folder}/checkpoint", trigger={"availableNow": True}))
     return live.read_minute_board(spark, f"{folder}/board")
 
@@ -242,7 +236,7 @@ def metric_latest(spark, sf_dir):
 
 def metric_label_filter(spark, sf_dir):
     rows = metrics.select_series(
-        _samples(spark, sf_dir),
+        _samples(spark, sf_dir, "messages_total"),
         "messages_total",
         equal={"broker_host": "kafka-1"},
         not_equal={"kind": ""},
@@ -252,7 +246,7 @@ def metric_label_filter(spark, sf_dir):
 
 
 def _rates(spark, sf_dir, metric, window_seconds=300, **matchers):
-    return metrics.rate(metrics.select_series(_samples(spark, sf_dir), metric, **matchers), window_seconds)
+    return metrics.rate(metrics.select_series(_samples(spark, sf_dir, metric), metric, **matchers), window_seconds)
 
 
 def metric_rate(spark, sf_dir):
@@ -269,7 +263,7 @@ def metric_busy_pct(spark, sf_dir):
 
 
 def metric_topk(spark, sf_dir):
-    rows = metrics.select_series(_samples(spark, sf_dir), "bytes_total", not_equal={"kind": ""})
+    rows = metrics.select_series(_samples(spark, sf_dir, "bytes_total"), "bytes_total", not_equal={"kind": ""})
     return _labelled(metrics.topk(metrics.latest(rows), 5), "value")
 
 

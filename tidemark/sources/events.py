@@ -6,7 +6,6 @@ delivered twice, every sixtieth with a conflicting amount in the second copy.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 TRANSACTION_COLUMNS = (
@@ -25,86 +24,73 @@ TRANSACTION_COLUMNS = (
 )
 TOPIC = "transactions.raw"
 
-_TYPES = {
-    "purchase": "PURCHASE",
-    "view": "WITHDRAWAL",
-    "signup": "DEPOSIT",
-    "click": "TRANSFER",
-    "error": "PAYMENT",
-}
+# Schemas of the given tables: no job has to read footers to infer them.
+EVENTS = """
+    event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING
+"""
+CUSTOMER = """
+    c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING
+"""
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def stream_events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The events table as a file stream; a glob serves one file and a folder alike."""
+    return spark.readStream.schema(EVENTS).options(**options).parquet(f"{sf_dir}/event[s].parquet")
 
 
 def read_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer dimension keyed like ``customer.customer_id``."""
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.concat(F.lit("CUST"), F.col("c_custkey") + 100).alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_nationkey").cast("bigint").alias("nation_key"),
+    return (
+        spark.read.schema(CUSTOMER)
+        .parquet(f"{sf_dir}/customer.parquet")
+        .selectExpr(
+            "concat('CUST', c_custkey + 100) AS customer_id",
+            "c_name AS customer_name",
+            "c_mktsegment AS segment",
+            "CAST(c_nationkey AS BIGINT) AS nation_key",
+        )
     )
 
 
 def deliveries(events: DataFrame) -> DataFrame:
     """Transaction columns plus delivery time, offset and batch number."""
-    e = F.col("event_id")
-
-    def text(*parts):
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-    def every(n, value, otherwise):
-        return F.when(e % n == 0, value).otherwise(otherwise)
-
-    kind = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])[F.col("event_type")]
-    amount = every(101, -F.col("value"), every(103, F.lit(0.0), every(50, F.col("value") * 1000, F.col("value"))))
-    late_copy = F.col("copy") == 1
-    conflicting = late_copy & (e % 60 == 0)
-    merchant = F.when(
-        F.col("event_type").isin("purchase", "error") & (e % 37 != 0),
-        text("MERCH-", (F.col("user_id") * 7 + e) % 14),
+    copies = events.selectExpr(
+        "*", "explode(CASE WHEN event_id % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    ).selectExpr(
+        "*",
+        """CASE WHEN event_id % 101 = 0 THEN -value WHEN event_id % 103 = 0 THEN 0.0D
+                WHEN event_id % 50 = 0 THEN value * 1000 ELSE value END AS first_amount""",
+        "(user_id * 3 + event_id) % 10 AS place",
     )
-    place = (F.col("user_id") * 3 + e) % 10
-    devices = F.array(*[F.lit(d) for d in ("mobile", "web", "atm", "pos")])
-    ingested = F.col("ts") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.when(late_copy, 90).otherwise(30).cast("decimal(18,6)")
-    )
-    copies = every(20, F.array(F.lit(0), F.lit(1)), F.array(F.lit(0)))
-    return events.withColumn("copy", F.explode(copies)).select(
-        text("TXN-", e).alias("transaction_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
-        text("ACC", F.col("user_id") + 1000).alias("account_id"),
-        kind.alias("transaction_type"),
-        F.when(conflicting, amount + 1).otherwise(amount).alias("amount"),
-        F.lit("USD").alias("currency"),
-        merchant.alias("merchant"),
-        F.struct(
-            text("City-", place).alias("city"),
-            text("State-", place % 7).alias("state"),
-            F.lit("US").alias("country"),
-            (place + 25).cast("double").alias("latitude"),
-            (-place - 65).cast("double").alias("longitude"),
-        ).alias("location"),
-        F.struct(
-            text("CUST", F.col("user_id") + 100).alias("customer_id"),
-            text("Customer ", F.col("user_id")).alias("name"),
-            text("c", F.col("user_id"), "@example.com").alias("email"),
-            text("555-", F.col("user_id")).alias("phone"),
-        ).alias("customer"),
-        (e % 50 == 0).alias("is_fraud"),
-        every(11, "DECLINED", every(7, "FAILED", every(5, "COMPLETED", F.lit("PENDING")))).alias("status"),
-        F.struct(
-            F.element_at(devices, (e % 4 + 1).cast("int")).alias("device_type"),
-            text("10.0.0.", e % 256).alias("ip_address"),
-            text("S-", e).alias("session_id"),
-        ).alias("metadata"),
-        ingested.cast("timestamp").alias("ingestion_timestamp"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date_partition"),
-        (e * 2 + F.col("copy")).alias("offset"),
-        (e % 3).cast("int").alias("partition"),
-        (F.dayofmonth("ts") - 1).cast("bigint").alias("_batch_id"),
+    return copies.selectExpr(
+        "concat('TXN-', event_id) AS transaction_id",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS timestamp""",
+        "concat('ACC', user_id + 1000) AS account_id",
+        """CASE event_type WHEN 'purchase' THEN 'PURCHASE' WHEN 'view' THEN 'WITHDRAWAL' WHEN 'signup' THEN 'DEPOSIT'
+                WHEN 'click' THEN 'TRANSFER' WHEN 'error' THEN 'PAYMENT' END AS transaction_type""",
+        "CASE WHEN copy = 1 AND event_id % 60 = 0 THEN first_amount + 1 ELSE first_amount END AS amount",
+        "'USD' AS currency",
+        """CASE WHEN event_type IN ('purchase', 'error') AND event_id % 37 <> 0
+                THEN concat('MERCH-', (user_id * 7 + event_id) % 14) END AS merchant""",
+        """struct(concat('City-', place) AS city, concat('State-', place % 7) AS state, 'US' AS country,
+                CAST(place + 25 AS DOUBLE) AS latitude, CAST(-place - 65 AS DOUBLE) AS longitude) AS location""",
+        """struct(concat('CUST', user_id + 100) AS customer_id, concat('Customer ', user_id) AS name,
+                concat('c', user_id, '@example.com') AS email, concat('555-', user_id) AS phone) AS customer""",
+        "event_id % 50 = 0 AS is_fraud",
+        """CASE WHEN event_id % 11 = 0 THEN 'DECLINED' WHEN event_id % 7 = 0 THEN 'FAILED'
+                WHEN event_id % 5 = 0 THEN 'COMPLETED' ELSE 'PENDING' END AS status""",
+        """struct(CASE event_id % 4 WHEN 0 THEN 'mobile' WHEN 1 THEN 'web' WHEN 2 THEN 'atm' ELSE 'pos' END AS device_type,
+                concat('10.0.0.', event_id % 256) AS ip_address, concat('S-', event_id) AS session_id) AS metadata""",
+        """CAST(ts + CASE WHEN copy = 1 THEN INTERVAL 90 SECONDS ELSE INTERVAL 30 SECONDS END AS TIMESTAMP)
+                AS ingestion_timestamp""",
+        "date_format(ts, 'yyyy-MM-dd') AS date_partition",
+        "event_id * 2 + copy AS offset",
+        "CAST(event_id % 3 AS INT) AS partition",
+        "CAST(dayofmonth(ts) - 1 AS BIGINT) AS _batch_id",
     )
 
 
@@ -143,53 +129,45 @@ def with_damage(envelope: DataFrame) -> DataFrame:
 BUCKETS = (10, 50, 100, 500)
 
 
-def metric_samples(events: DataFrame) -> DataFrame:
+def metric_samples(events: DataFrame, *wanted: str) -> DataFrame:
     """Counters scraped once a minute: ``(ts, metric, labels, value)``.
 
     Events are first summed per series and minute, so the running totals scan
     one row per series and minute whatever the number of events.  The counters
-    of one broker restart from zero on 16 January.
+    of one broker restart from zero on 16 January.  Only ``wanted`` metrics
+    are produced, all by default.
     """
-    e = F.col("event_id")
-    seconds = F.col("value").cast("decimal(18,6)")
-    per_minute = (
-        events.groupBy(
-            F.col("event_type").alias("kind"),
-            F.concat(F.lit("kafka-"), e % 3 + 1).alias("broker_host"),
-            F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(seconds).alias("volume"),
-            *[F.count_if(F.col("value") <= le).alias(f"le_{le}") for le in BUCKETS],
-        )
-        .withColumn("idle", F.lit(60) - F.least(F.lit(60), F.col("volume")))
-        .withColumn(
-            "epoch",
-            (F.col("broker_host") == "kafka-2") & (F.col("ts") >= F.lit("2024-01-16").cast("timestamp")),
-        )
+    per_minute = events.groupBy(
+        F.col("event_type").alias("kind"),
+        F.expr("concat('kafka-', event_id % 3 + 1)").alias("broker_host"),
+        F.expr("date_trunc('minute', CAST(ts AS TIMESTAMP))").alias("ts"),
+    ).agg(
+        F.expr("count(*)").alias("n"),
+        F.expr("sum(CAST(value AS DECIMAL(18,6)))").alias("volume"),
+        *[F.expr(f"count_if(value <= {le})").alias(f"le_{le}") for le in BUCKETS],
     )
-    so_far = (
-        W.partitionBy("kind", "broker_host", "epoch").orderBy("ts").rowsBetween(W.unboundedPreceding, W.currentRow)
+    per_minute = per_minute.selectExpr(
+        "*",
+        "60 - least(60, volume) AS idle",
+        "broker_host = 'kafka-2' AND ts >= TIMESTAMP '2024-01-16' AS epoch",
     )
+    so_far = "OVER (PARTITION BY kind, broker_host, epoch ORDER BY ts ROWS UNBOUNDED PRECEDING)"
     counters = ["n", "volume", "idle", *[f"le_{le}" for le in BUCKETS]]
-    running = per_minute.select(
-        "kind", "broker_host", "ts", *[F.sum(c).over(so_far).cast("double").alias(c) for c in counters]
+    running = per_minute.selectExpr(
+        "kind", "broker_host", "ts", *[f"CAST(sum({c}) {so_far} AS DOUBLE) AS {c}" for c in counters]
     )
-
-    def sample(metric, column, **labels):
-        pairs = [F.lit("kind"), F.col("kind"), F.lit("broker_host"), F.col("broker_host")]
-        for name, value in labels.items():
-            pairs += [F.lit(name), F.lit(value)]
-        return F.struct(
-            F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), F.col(column).alias("value")
+    columns = [
+        ("messages_total", "n", {}),
+        ("bytes_total", "volume", {}),
+        ("cpu_seconds_total", "idle", {"mode": "idle"}),
+        *[("duration_bucket", f"le_{le}", {"le": str(le)}) for le in BUCKETS],
+        ("duration_bucket", "n", {"le": "+Inf"}),
+    ]
+    samples = [
+        "struct('{0}' AS metric, map('kind', kind, 'broker_host', broker_host{1}) AS labels, {2} AS value)".format(
+            metric, "".join(f", '{k}', '{v}'" for k, v in labels.items()), column
         )
-
-    samples = F.array(
-        sample("messages_total", "n"),
-        sample("bytes_total", "volume"),
-        sample("cpu_seconds_total", "idle", mode="idle"),
-        *[sample("duration_bucket", f"le_{le}", le=str(le)) for le in BUCKETS],
-        sample("duration_bucket", "n", le="+Inf"),
-    )
-    return running.select("ts", F.inline(samples))
+        for metric, column, labels in columns
+        if not wanted or metric in wanted
+    ]
+    return running.selectExpr("ts", f"inline(array({', '.join(samples)}))")

@@ -45,11 +45,17 @@ def start_ingest(
     refuse_foreign_target(envelope.sparkSession, target, checkpoint)
 
     def store(batch: DataFrame, batch_id: int):
-        readable = batch
-        if dead_letters:
-            readable, dead = split_dead_letters(batch)
+        if not dead_letters:
+            write_batch(enrich(decode(batch), ingested_at), batch_id, target)
+            return
+        # Two outputs of one batch: keep it (memory, then disk) for both.
+        kept = batch.persist()
+        try:
+            readable, dead = split_dead_letters(kept)
             write_batch(dead, batch_id, dead_letters, None)
-        write_batch(enrich(decode(readable), ingested_at), batch_id, target)
+            write_batch(enrich(decode(readable), ingested_at), batch_id, target)
+        finally:
+            kept.unpersist()
 
     return (
         envelope.writeStream.foreachBatch(store)
