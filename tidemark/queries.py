@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tidemark.operators import history, maintenance, metrics, pick
 from tidemark.plans import batch, bronze_reports, dashboards, gold, gold_reports, quality, silver, silver_reports
+from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
+from tidemark.session import configure
 from tidemark.sources import envelope, events
 from tidemark.storage import read_layer, shared_folder
-from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
 from tidemark.streaming import ingest, live
 
 AS_OF = "2024-01-31 00:00:00"
@@ -37,7 +38,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _query(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        configure(spark)
         return comparable(build(spark, sf_dir))
 
     return run

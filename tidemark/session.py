@@ -11,9 +11,18 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Stream state on executor disk with changelog checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+def configure(spark):
+    """Apply the settings to a session somebody else has built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def build_session(app_name="tidemark", master=None, shuffle_partitions=None, extra=None):
     """Session with the settings above.
 

@@ -51,8 +51,15 @@ def spread(df: DataFrame, partition_col: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition_col))
 
 
+def _in_table_order(df: DataFrame, table: str) -> DataFrame:
+    """Tables take columns by position, with the partition column last."""
+    return df.select(*df.sparkSession.table(table).columns)
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition_col: str, compression="snappy"):
     """Replace exactly the partitions present in ``df``."""
+    if not is_path(target):
+        df = _in_table_order(df, target)
     out = spread(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if is_path(target):
         out.option("compression", compression).partitionBy(partition_col).parquet(target)
@@ -62,24 +69,26 @@ def overwrite_partitions(df: DataFrame, target: str, partition_col: str, compres
 
 def replace_day(df: DataFrame, target: str, partition_col: str, day: str, compression="snappy"):
     """Replace one date partition with ``df``, also when ``df`` is empty."""
-    rows = df.drop(partition_col)
     if is_path(target):
         (
-            rows.hint("rebalance")
+            df.drop(partition_col)
+            .hint("rebalance")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .option("compression", compression)
             .parquet(f"{target}/{partition_col}={day}")
         )
     else:
+        rows = _in_table_order(df, target).drop(partition_col).hint("rebalance")
         df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {target} PARTITION ({partition_col} = '{day}') SELECT * FROM {{rows}}",
-            rows=rows.hint("rebalance"),
+            f"INSERT OVERWRITE TABLE {target} PARTITION ({partition_col} = '{day}') SELECT * FROM {{rows}}", rows=rows
         )
 
 
 def append_partitions(df: DataFrame, target: str, partition_col: str, compression="snappy"):
     """Plain append, for callers who want every run kept."""
+    if not is_path(target):
+        df = _in_table_order(df, target)
     out = spread(df, partition_col).write.mode("append")
     if is_path(target):
         out.option("compression", compression).partitionBy(partition_col).parquet(target)

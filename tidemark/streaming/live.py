@@ -30,6 +30,10 @@ def per_minute(transactions: DataFrame, delay="10 minutes") -> DataFrame:
 def dedup(transactions: DataFrame, delay="10 minutes", salts=16) -> DataFrame:
     """One delivery of each transaction id within the watermark delay.
 
+    Like every watermarked operator this ignores records that arrive later
+    than ``delay``; choose it from the redelivery horizon.  Silver does not
+    depend on it: its batch deduplication sees every stored record.
+
     Two rounds: first per id and content part, then per id.  A hot id, or the
     NULL id of broken records, is thinned by ``salts`` tasks before one task
     sees what is left of it.
