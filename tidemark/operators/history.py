@@ -41,14 +41,15 @@ def as_of_batch(table: DataFrame, batch_id: int) -> DataFrame:
     return table.filter(F.col(BATCH) <= batch_id)
 
 
-def as_of_time(table: DataFrame, moment) -> DataFrame:
+def as_of_time(table: DataFrame, moment, log: DataFrame | None = None) -> DataFrame:
     """The table at a time: all commits up to the newest one made by then.
 
-    The newest commit is a scalar subquery over two columns; its value then
-    prunes the partitions of the main read.
+    The newest commit is a scalar subquery whose value prunes the partitions
+    of the main read.  It comes from the commit ``log`` that ingest keeps, a
+    row per commit, or else from a scan of two columns of the table.
     """
     newest = (
-        snapshots(table)
+        (log if log is not None else snapshots(table))
         .filter(F.col("committed_at") <= now(moment))
         .agg(F.max("snapshot_id"))
         .scalar()

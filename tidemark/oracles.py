@@ -431,6 +431,8 @@ ORACLES = {
     # data quality
     "dq_duplicate_audit": f"""WITH {DELIVERIES}
         SELECT COUNT(*) AS total, COUNT(DISTINCT transaction_id) AS unique_ids FROM bronze""",
+    "dq_silver_duplicate_audit": f"""WITH {SILVER}
+        SELECT COUNT(*) AS total, COUNT(DISTINCT transaction_id) AS unique_ids FROM silver""",
     "dq_validation_counts": f"WITH {SILVER} SELECT validation_status, COUNT(*) AS count FROM silver GROUP BY 1",
     "dq_amount_bounds": f"""WITH {SILVER}
         SELECT MIN(amount) AS min_amount, MAX(amount) AS max_amount, {_mean("amount")} AS avg_amount FROM silver""",

@@ -1,39 +1,37 @@
 """The daily job: bronze -> silver -> gold, safe to run again."""
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import yesterday_text
 from tidemark.plans.gold import daily_account_summary, merchant_summary
 from tidemark.plans.silver import clean, for_day
-from tidemark.schemas import BRONZE, SILVER
+from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY, SILVER
 from tidemark.storage import overwrite_partitions, read_layer, replace_day
 
 
-def _counted(df, name):
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def run_day(spark: SparkSession, bronze: str, silver: str, accounts: str, merchants: str, day=None, processed_at=None):
     """Process one date (yesterday) and return the rows written per layer.
 
     Gold reads the stored silver partition, not the bronze lineage again.
     Each layer's partition of that day is replaced, so a second run changes
-    nothing.  Counts are observed while writing; no extra job counts rows.
+    nothing.  Rows are counted in the stored partition, from file footers:
+    no transform runs twice for the sake of a number.
     """
     day = day or yesterday_text()
-    rows = {}
 
-    def store(df, target, partition_col, name):
-        df, seen = _counted(df, name)
+    def store(df, target, columns, partition_col):
         replace_day(df, target, partition_col, day)
-        rows[name] = seen.get["rows"]
+        return read_layer(spark, target, columns).filter(F.col(partition_col) == F.lit(day).cast("date")).count()
 
-    store(clean(for_day(read_layer(spark, bronze, BRONZE), day), processed_at), silver, "date_partition", "silver")
+    cleaned = clean(for_day(read_layer(spark, bronze, BRONZE), day), processed_at)
+    rows = {"silver": store(cleaned, silver, SILVER, "date_partition")}
     cleaned = for_day(read_layer(spark, silver, SILVER), day)
-    store(daily_account_summary(cleaned, processed_at), accounts, "transaction_date", "daily_account_summary")
-    store(merchant_summary(cleaned, processed_at), merchants, "transaction_date", "merchant_summary")
+    for name, summary, target, columns in (
+        ("daily_account_summary", daily_account_summary, accounts, DAILY_ACCOUNT_SUMMARY),
+        ("merchant_summary", merchant_summary, merchants, MERCHANT_SUMMARY),
+    ):
+        rows[name] = store(summary(cleaned, processed_at), target, columns, "transaction_date")
     return rows
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import history, maintenance, metrics, pick
-from tidemark.plans import batch, bronze_reports, dashboards, gold, gold_reports, quality, silver, silver_reports
+from tidemark.plans import batch, bronze_reports, gold, silver
+from tidemark.plans.catalogue import REPORTS
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
 from tidemark.session import configure
 from tidemark.sources import envelope, events
@@ -80,12 +81,40 @@ def _from_silver(report, **options):
     return _over(_silver, report, **options)
 
 
-def _from_accounts(report, **options):
-    return _over(_accounts, report, **options)
+# Arguments of reports that do not run with their defaults.
+REPORT_OPTIONS = {
+    "type_totals_last_7d": {"as_of": AS_OF},
+    "bronze_day_count": {"as_of": AS_OF},
+    "fraud_by_customer": {"as_of": AS_OF},
+    "bronze_hourly_by_type": {"as_of": AS_OF},
+    "bronze_last_hour": {"as_of": AS_OF},
+    "silver_range_filter": {"start": "2024-01-10 06:00:00", "end": "2024-01-20 18:00:00", "account_id": "ACC1007"},
+    "silver_latest_hour": {"as_of": AS_OF},
+    "flagged_accounts": {"since": "2024-01-01 00:00:00"},
+    "busy_accounts": {"more_than": 50},
+    "gold_top_merchants": {"day": YESTERDAY},
+    "gold_top_merchants_all": {"n": 10},
+    "merchants_over_threshold": {"min_total": 1000},
+    "merchant_weekly_growth": {"as_of": AS_OF},
+    "tx_detail_table": {"first_day": "2024-01-05", "last_day": "2024-01-25", "min_amount": 10},
+    "tx_per_minute": {"as_of": AS_OF},
+    "today_counts": {"day": YESTERDAY},
+}
 
+DERIVED_LAYERS = {
+    "bronze": events.bronze,
+    "silver": _silver,
+    "daily_account_summary": _accounts,
+    "merchant_summary": _merchants,
+}
 
-def _from_merchants(report, **options):
-    return _over(_merchants, report, **options)
+
+def _report(name):
+    layers, build = REPORTS[name]
+    options = REPORT_OPTIONS.get(name, {})
+    return _query(
+        lambda spark, sf_dir: build(*[DERIVED_LAYERS[layer](spark, sf_dir) for layer in layers], **options)
+    )
 
 
 def _labelled(df: DataFrame, *values) -> DataFrame:
@@ -307,69 +336,11 @@ QUERIES = {
     ),
     "gold_daily_account_summary": _query(_accounts),
     "gold_merchant_summary": _query(_merchants),
-    "gold_weekly_summary": _from_accounts(gold.weekly_summary),
-    "gold_monthly_summary": _from_accounts(gold.monthly_summary),
     "layers_backfilled": _query(layers_backfilled),
-    # bronze reports
-    "bronze_count": _bronze(bronze_reports.row_count),
-    "bronze_sample": _bronze(bronze_reports.sample),
-    "bronze_type_summary": _bronze(bronze_reports.type_summary),
-    "bronze_fraud_summary": _bronze(bronze_reports.fraud_summary),
-    "bronze_type_totals": _bronze(bronze_reports.type_totals),
-    "type_totals_last_7d": _bronze(bronze_reports.type_totals_since, as_of=AS_OF),
-    "bronze_type_counts": _bronze(bronze_reports.type_counts),
-    "bronze_freshness": _bronze(bronze_reports.freshness),
-    "bronze_partition_totals": _bronze(bronze_reports.partition_totals),
-    "bronze_day_count": _bronze(bronze_reports.day_count, as_of=AS_OF),
-    "bronze_recent": _bronze(bronze_reports.recent),
-    "bronze_recently_ingested": _bronze(bronze_reports.recently_ingested),
-    "fraud_by_customer": _bronze(bronze_reports.fraud_by_customer, as_of=AS_OF),
-    "bronze_merchant_totals": _bronze(bronze_reports.merchant_totals),
-    "bronze_hourly_by_type": _bronze(bronze_reports.hourly_by_type, as_of=AS_OF),
-    "bronze_last_hour": _bronze(bronze_reports.last_hour, as_of=AS_OF),
+    # reports
+    **{name: _report(name) for name in REPORTS},
     "bronze_partition_scan": _bronze(lambda b: _flat(bronze_reports.partition_scan(b, "2024-01-17"))),
     "bronze_prefix_scan": _bronze(lambda b: _flat(bronze_reports.prefix_scan(b, "2024-01-17"))),
-    # silver reports
-    "silver_daily_volume": _from_silver(silver_reports.daily_volume),
-    "silver_range_filter": _from_silver(
-        silver_reports.time_range, start="2024-01-10 06:00:00", end="2024-01-20 18:00:00", account_id="ACC1007"
-    ),
-    "silver_type_totals": _from_silver(bronze_reports.type_totals),
-    "silver_flag_counts": _from_silver(silver_reports.flag_counts),
-    "silver_flagged_count": _from_silver(silver_reports.flagged_count),
-    "silver_top_flagged": _from_silver(silver_reports.top_flagged),
-    "silver_latest_hour": _from_silver(silver_reports.latest_in_hour, as_of=AS_OF),
-    "flagged_accounts": _from_silver(silver_reports.flagged_accounts, since="2024-01-01 00:00:00"),
-    "busy_accounts": _from_silver(silver_reports.busy_accounts, more_than=50),
-    "silver_account_totals": _from_silver(silver_reports.account_totals),
-    "account_debit_credit_check": _from_silver(silver_reports.debit_credit_check),
-    # gold reports and joins
-    "gold_accounts_top": _from_accounts(gold_reports.accounts_top),
-    "gold_account_totals": _from_accounts(gold_reports.account_grand_totals),
-    "gold_top_merchants": _from_merchants(gold_reports.top_merchants, day=YESTERDAY),
-    "gold_top_merchants_all": _from_merchants(gold_reports.top_merchants, n=10),
-    "merchants_over_threshold": _from_merchants(gold_reports.top_merchants, min_total=1000),
-    "merchant_trend": _from_merchants(gold_reports.merchant_trend),
-    "merchant_cross_layer": _from_silver(lambda s: gold_reports.merchant_cross_layer(gold.merchant_summary(s, AS_OF), s)),
-    "merchant_weekly_growth": _from_merchants(gold_reports.merchant_weekly_growth, as_of=AS_OF),
-    # dashboards and metrics of the layers
-    "kpi_tiles": _bronze(dashboards.kpi_tiles),
-    "tx_daily": _from_silver(dashboards.daily),
-    "tx_daily_by_type": _from_silver(dashboards.daily_by_type),
-    "tx_detail_table": _from_silver(dashboards.detail_table, first_day="2024-01-05", last_day="2024-01-25", min_amount=10),
-    "tx_per_minute": _bronze(dashboards.per_minute, as_of=AS_OF),
-    "fraud_by_type": _bronze(dashboards.fraud_by_type),
-    "fraud_by_location": _bronze(dashboards.fraud_by_location),
-    "today_counts": _from_silver(dashboards.today_counts, day=YESTERDAY),
-    "metric_fraud_rate": _bronze(dashboards.fraud_rate),
-    "metric_avg_value": _from_silver(dashboards.avg_value),
-    "metric_revenue": _bronze(dashboards.revenue),
-    # data quality
-    "dq_duplicate_audit": _bronze(quality.duplicate_audit),
-    "dq_validation_counts": _from_silver(quality.validation_counts),
-    "dq_amount_bounds": _from_silver(quality.amount_bounds),
-    "dq_pass_rate": _from_silver(quality.pass_rate),
-    "dq_gold_matches_silver": _from_silver(lambda s: quality.gold_matches_silver(s, gold.daily_account_summary(s, AS_OF))),
     # table history
     "table_snapshots": _versioned(
         lambda t: history.snapshot_report(t).withColumn("records_added", F.col("records_added").cast("bigint"))

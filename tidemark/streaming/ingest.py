@@ -13,14 +13,39 @@ def write_batch(rows: DataFrame, batch_id: int, target: str, partition_col: str
     """Put one micro-batch into its own folder, replacing an earlier attempt.
 
     Streams call back at least once; a repeated batch overwrites what its
-    first attempt left, so bronze holds every record once.
+    first attempt left, so bronze holds every record once.  Says whether
+    there was anything to write.
     """
     if rows.isEmpty():
-        return
+        return False
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         writer = writer.partitionBy(partition_col)
     writer.parquet(f"{target}/{BATCH}={batch_id}")
+    return True
+
+
+COMMIT = "committed_at TIMESTAMP, operation STRING, summary MAP<STRING, STRING>"
+
+
+def note_commit(spark: SparkSession, batch_id: int, target: str, log: str):
+    """One row per commit, shaped like ``history.snapshots``.
+
+    Counted from the stored batch, so the entry is right even when tasks were
+    repeated, and a replayed batch replaces its entry.
+    """
+    entry = (
+        spark.read.schema(BRONZE)
+        .parquet(f"{target}/{BATCH}={batch_id}")
+        .agg(F.max("ingestion_timestamp").alias("committed_at"), F.count(F.lit(1)).cast("string").alias("rows"))
+        .select("committed_at", F.lit("append").alias("operation"), F.create_map(F.lit("added-records"), "rows").alias("summary"))
+    )
+    entry.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{log}/snapshot_id={batch_id}")
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """Commits of an ingested table, without touching its data."""
+    return spark.read.schema(f"{COMMIT}, snapshot_id BIGINT").parquet(log)
 
 
 def refuse_foreign_target(spark: SparkSession, target: str, checkpoint: str):
@@ -35,25 +60,32 @@ def start_ingest(
     checkpoint: str,
     trigger=None,
     dead_letters: str | None = None,
+    log: str | None = None,
     ingested_at=None,
 ):
     """Start the stream ``envelope`` -> bronze folder ``target``.
 
     Without ``dead_letters`` unreadable records are stored with NULL columns;
-    with it they go, unchanged, to that folder instead.
+    with it they go, unchanged, to that folder instead.  With ``log`` every
+    commit is noted there, so time travel need not scan the table.
     """
     refuse_foreign_target(envelope.sparkSession, target, checkpoint)
 
+    def commit(readable: DataFrame, batch_id: int):
+        written = write_batch(enrich(decode(readable), ingested_at), batch_id, target)
+        if written and log:
+            note_commit(readable.sparkSession, batch_id, target, log)
+
     def store(batch: DataFrame, batch_id: int):
         if not dead_letters:
-            write_batch(enrich(decode(batch), ingested_at), batch_id, target)
+            commit(batch, batch_id)
             return
         # Two outputs of one batch: keep it (memory, then disk) for both.
         kept = batch.persist()
         try:
             readable, dead = split_dead_letters(kept)
             write_batch(dead, batch_id, dead_letters, None)
-            write_batch(enrich(decode(readable), ingested_at), batch_id, target)
+            commit(readable, batch_id)
         finally:
             kept.unpersist()
 
