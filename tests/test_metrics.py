@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
 
-START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+# Divisible by every window length used below, as windows count from 1970.
+START = datetime.fromtimestamp(86400 * 7 * 2800, timezone.utc)
 SCHEMA = "ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE"
 
 
@@ -27,7 +28,8 @@ def test_increase_counts_resets_and_crosses_windows(spark):
     assert out == {("a", 0): 8.0, ("a", 300): 1.0, ("a", 900): 1.0, ("b", 0): 0.0}
 
 
-def test_rate_against_a_plain_loop(spark):
+@pytest.mark.parametrize("window", [300, 700, 86400, 60])
+def test_rate_against_a_plain_loop(spark, window):
     rng = random.Random(7)
     rows, expected = [], {}
     for host in "xyz":
@@ -37,13 +39,13 @@ def test_rate_against_a_plain_loop(spark):
             value = rng.randint(0, 5) if rng.random() < 0.05 else value + rng.randint(0, 9)
             rows.append((at, "c", {"host": host}, value))
             grown = 0 if before is None else value - before if value >= before else value
-            key = (host, at // 300 * 300)
+            key = (host, at // window * window)
             expected[key] = expected.get(key, 0) + grown
             before = value
     rng.shuffle(rows)
-    out = metrics.rate(samples(spark, *rows), 300).collect()
+    out = metrics.rate(samples(spark, *rows), window).collect()
     got = {(r.labels["host"], int((r.window_start.replace(tzinfo=timezone.utc) - START).total_seconds())): r.rate for r in out}
-    assert got == pytest.approx({k: v / 300 for k, v in expected.items()})
+    assert got == pytest.approx({k: v / window for k, v in expected.items()})
 
 
 def test_label_matchers(spark):

@@ -102,7 +102,10 @@ def _run(spark, args):
 
 def main(argv=None):
     args = _parser().parse_args(argv)
-    spark = build_session(f"tidemark-{args.job}", args.master, args.shuffle_partitions)
+    # Writers want files of the advisory size rather than many parallel tasks.
+    extra = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    writes = args.job in ("batch", "backfill")
+    spark = build_session(f"tidemark-{args.job}", args.master, args.shuffle_partitions, extra if writes else None)
     spark.sparkContext.setLogLevel("WARN")
     try:
         _run(spark, args)

@@ -38,30 +38,32 @@ def latest(samples: DataFrame) -> DataFrame:
 def increase(samples: DataFrame, window_seconds=300) -> DataFrame:
     """Counter growth per series and window, restarts counted from zero.
 
-    The window function only ever orders the samples of one series inside one
-    window.  Windows are then chained through their first and last values, a
-    table with one row per series and window, so neither a long nor a dense
-    series is read by a single task.
+    The first window function only ever orders the samples of one series
+    inside one slice of at most five minutes.  Slices are then chained through
+    their first and last values, a table with one row per series and slice, so
+    neither a long nor a dense series is read by a single task.
     """
+    seconds = max(s for s in range(1, min(window_seconds, 300) + 1) if window_seconds % s == 0)
     series = F.array_sort(F.map_entries("labels"))
-    bucket = F.floor(F.unix_timestamp("ts") / window_seconds)
-    rows = samples.select("metric", series.alias("series"), bucket.alias("bucket"), "ts", "value")
-    value, before = F.col("value"), F.lag("value").over(W.partitionBy("metric", "series", "bucket").orderBy("ts"))
+    slot = F.floor(F.unix_timestamp("ts") / seconds)
+    rows = samples.select("metric", series.alias("series"), slot.alias("slot"), "ts", "value")
+    before = F.lag("value").over(W.partitionBy("metric", "series", "slot").orderBy("ts"))
 
     def growth(current, previous):
         return F.when(previous.isNull(), 0).when(current >= previous, current - previous).otherwise(current).cast(EXACT)
 
-    per_window = (
-        rows.withColumn("grown", growth(value, before))
-        .groupBy("metric", "series", "bucket")
+    slices = (
+        rows.withColumn("grown", growth(F.col("value"), before))
+        .groupBy("metric", "series", "slot")
         .agg(F.sum("grown").alias("inside"), F.min_by("value", "ts").alias("first"), F.max_by("value", "ts").alias("last"))
     )
-    carried = F.lag("last").over(W.partitionBy("metric", "series").orderBy("bucket"))
-    return per_window.select(
-        "metric",
-        F.map_from_entries("series").alias("labels"),
-        F.timestamp_seconds(F.col("bucket") * window_seconds).alias("window_start"),
-        (F.col("inside") + growth(F.col("first"), carried)).cast("double").alias("increase"),
+    carried = F.lag("last").over(W.partitionBy("metric", "series").orderBy("slot"))
+    window_start = F.timestamp_seconds(F.floor(F.col("slot") * seconds / window_seconds) * window_seconds)
+    return (
+        slices.withColumn("grown", F.col("inside") + growth(F.col("first"), carried))
+        .groupBy("metric", "series", window_start.alias("window_start"))
+        .agg(F.sum("grown").cast("double").alias("increase"))
+        .select("metric", F.map_from_entries("series").alias("labels"), "window_start", "increase")
     )
 
 

@@ -68,18 +68,21 @@ def overwrite_partitions(df: DataFrame, target: str, partition_col: str, compres
 
 
 def replace_day(df: DataFrame, target: str, partition_col: str, day: str, compression="snappy"):
-    """Replace one date partition with ``df``, also when ``df`` is empty."""
+    """Replace one date partition with ``df``, also when ``df`` is empty.
+
+    One partition needs no redistribution: the tasks of the last shuffle,
+    coalesced by AQE, write the files.
+    """
     if is_path(target):
         (
             df.drop(partition_col)
-            .hint("rebalance")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .option("compression", compression)
             .parquet(f"{target}/{partition_col}={day}")
         )
     else:
-        rows = _in_table_order(df, target).drop(partition_col).hint("rebalance")
+        rows = _in_table_order(df, target).drop(partition_col)
         df.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {target} PARTITION ({partition_col} = '{day}') SELECT * FROM {{rows}}", rows=rows
         )
