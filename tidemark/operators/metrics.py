@@ -44,7 +44,7 @@ def increase(samples: DataFrame, window_seconds=300) -> DataFrame:
     neither a long nor a dense series is read by a single task.
     """
     seconds = max(s for s in range(1, min(window_seconds, 300) + 1) if window_seconds % s == 0)
-    series = F.array_sort(F.map_entries("labels"))
+    series = F.sort_array(F.map_entries("labels"))
     slot = F.floor(F.unix_timestamp("ts") / seconds)
     rows = samples.select("metric", series.alias("series"), slot.alias("slot"), "ts", "value")
     before = F.lag("value").over(W.partitionBy("metric", "series", "slot").orderBy("ts"))
@@ -93,7 +93,7 @@ def _exact_sum(column: str) -> Column:
 
 def topk(values: DataFrame, k=5) -> DataFrame:
     """The ``k`` largest instant values; labels break ties."""
-    order = [F.desc("value"), "metric", F.array_sort(F.map_entries("labels"))]
+    order = [F.desc("value"), "metric", F.sort_array(F.map_entries("labels"))]
     return values.orderBy(*order).limit(k)
 
 
