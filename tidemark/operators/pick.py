@@ -16,6 +16,16 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def top(rows: DataFrame, n: int, order, output) -> DataFrame:
+    """The first ``n`` rows under ``order``, reduced to ``output``.
+
+    Rows equal under ``order`` are told apart by what is shown, so the answer
+    is the same on every run.  Each task keeps ``n`` rows; nothing is sorted
+    as a whole.
+    """
+    return rows.orderBy(*order, *output).select(*output).limit(n)
+
+
 # What silver reads: equal in all of these means equal for every consumer.
 TIE_BREAK = (
     "timestamp",

@@ -13,6 +13,17 @@ def _texts(values):
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
+def _by(*columns):
+    """Ascending order with NULL first, as Spark has it."""
+    return ", ".join(f"{c} NULLS FIRST" for c in columns)
+
+
+def _top(relation, n, order, columns, condition="true"):
+    """The first ``n`` rows; equal ones are told apart by the shown columns."""
+    names = [c.strip() for c in columns.split(",")]
+    return f"SELECT {columns} FROM {relation} WHERE {condition} ORDER BY {order}, {_by(*names)} LIMIT {n}"
+
+
 # -- building blocks -----------------------------------------------------------------
 
 AMOUNT = """CASE WHEN event_id % 101 = 0 THEN -value
@@ -58,7 +69,8 @@ SILVER = (
     + f""",
 ranked AS (
     SELECT *, row_number() OVER (
-        PARTITION BY date_partition, transaction_id ORDER BY ingestion_timestamp, amount
+        PARTITION BY date_partition, transaction_id
+        ORDER BY {_by("ingestion_timestamp", '"timestamp"', "account_id", "transaction_type", "amount", "merchant", "status")}
     ) AS delivery
     FROM bronze
 ),
@@ -223,7 +235,15 @@ WHERE wanted > 0 AND upto >= wanted AND (below IS NULL OR below < wanted)
 """
 )
 
-MERCHANT_COLUMNS = "merchant, transaction_date, total_transactions, total_amount, avg_amount, unique_accounts"
+# Columns of the top-n reports.
+SAMPLE = 'transaction_id, "timestamp", account_id, transaction_type, amount, currency, is_fraud, status'
+RECENT = 'transaction_id, "timestamp", account_id, transaction_type, amount, merchant, is_fraud'
+INGESTED = 'transaction_id, "timestamp", account_id, transaction_type, amount, is_fraud, ingestion_timestamp'
+FLAGGED = "account_id, transaction_type, amount, merchant, transaction_timestamp, is_flagged"
+LATEST = "transaction_id, transaction_timestamp, account_id, transaction_type, amount, merchant, is_flagged"
+ACCOUNT_DAY = """account_id, transaction_date, total_transactions, total_debits, total_credits, net_amount,
+    flagged_transactions"""
+MERCHANT_DAY = "merchant, transaction_date, total_transactions, total_amount, avg_amount, unique_accounts"
 SILVER_COLUMNS = """transaction_id, account_id, transaction_type, amount, currency, merchant, transaction_timestamp,
     status, is_flagged, validation_status, processing_timestamp, date_partition"""
 
@@ -246,8 +266,7 @@ ORACLES = {
     "stream_dead_letters": f"""WITH {DELIVERIES}
         SELECT account_id AS key, CASE WHEN "offset" % 97 = 0 THEN 'garbage' END AS value, "partition", "offset"
         FROM bronze WHERE {DAMAGED}""",
-    "stream_dedup": f"""WITH {DELIVERIES}
-        SELECT DISTINCT transaction_id, "timestamp", account_id, transaction_type FROM bronze""",
+    "stream_dedup": f"WITH {DELIVERIES} SELECT DISTINCT transaction_id FROM bronze",
     "stream_tx_per_minute": f"""WITH {DELIVERIES}
         SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze GROUP BY 1""",
     "enrich_customers": f"""WITH {DELIVERIES}
@@ -281,9 +300,7 @@ ORACLES = {
         USING (transaction_date)""",
     # bronze reports
     "bronze_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS total_records FROM bronze",
-    "bronze_sample": f"""WITH {DELIVERIES}
-        SELECT transaction_id, "timestamp", account_id, transaction_type, amount, currency, is_fraud, status
-        FROM bronze ORDER BY transaction_id, ingestion_timestamp LIMIT 10""",
+    "bronze_sample": f"WITH {DELIVERIES} {_top('bronze', 10, 'transaction_id NULLS FIRST', SAMPLE)}",
     "bronze_type_summary": f"""WITH {DELIVERIES}
         SELECT transaction_type, COUNT(*) AS count, {_mean("money")} AS avg_amount, MIN(money) AS min_amount,
             MAX(money) AS max_amount FROM bronze GROUP BY transaction_type""",
@@ -300,12 +317,8 @@ ORACLES = {
         SELECT date_partition, COUNT(*) AS transaction_count, {_total("SUM(money)")} AS total_amount
         FROM bronze GROUP BY 1""",
     "bronze_day_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS bronze_count FROM bronze WHERE date_partition = '2024-01-30'",
-    "bronze_recent": f"""WITH {DELIVERIES}
-        SELECT transaction_id, "timestamp", account_id, transaction_type, amount, merchant, is_fraud
-        FROM bronze ORDER BY "timestamp" DESC, transaction_id, ingestion_timestamp LIMIT 100""",
-    "bronze_recently_ingested": f"""WITH {DELIVERIES}
-        SELECT transaction_id, "timestamp", account_id, transaction_type, amount, is_fraud, ingestion_timestamp
-        FROM bronze ORDER BY ingestion_timestamp DESC, transaction_id LIMIT 10""",
+    "bronze_recent": f"""WITH {DELIVERIES} {_top('bronze', 100, '"timestamp" DESC', RECENT)}""",
+    "bronze_recently_ingested": f"WITH {DELIVERIES} {_top('bronze', 10, 'ingestion_timestamp DESC', INGESTED)}",
     "fraud_by_customer": f"""WITH {DELIVERIES}
         SELECT customer_id, COUNT(*) AS suspicious_txn_count, {_total("SUM(money)")} AS total_amount,
             MAX(date_partition) AS last_date
@@ -338,13 +351,9 @@ ORACLES = {
         SELECT transaction_type, COUNT(*) AS count, {_total("SUM(amount)")} AS total_amount FROM silver GROUP BY 1""",
     "silver_flag_counts": f"WITH {SILVER} SELECT is_flagged, COUNT(*) AS count FROM silver GROUP BY 1",
     "silver_flagged_count": f"WITH {SILVER} SELECT COUNT(*) AS flagged FROM silver WHERE is_flagged",
-    "silver_top_flagged": f"""WITH {SILVER}
-        SELECT account_id, transaction_type, amount, merchant, transaction_timestamp, is_flagged
-        FROM silver WHERE is_flagged ORDER BY amount DESC, transaction_id, date_partition LIMIT 50""",
+    "silver_top_flagged": f"WITH {SILVER} {_top('silver', 50, 'amount DESC', FLAGGED, 'is_flagged')}",
     "silver_latest_hour": f"""WITH {SILVER}
-        SELECT transaction_id, transaction_timestamp, account_id, transaction_type, amount, merchant, is_flagged
-        FROM silver WHERE transaction_timestamp > {AS_OF} - INTERVAL 1 HOUR
-        ORDER BY transaction_timestamp DESC, transaction_id LIMIT 100""",
+        {_top('silver', 100, 'transaction_timestamp DESC', LATEST, f'transaction_timestamp > {AS_OF} - INTERVAL 1 HOUR')}""",
     "flagged_accounts": f"""WITH {SILVER}
         SELECT account_id, COUNT(*) AS flagged_count, {_total("SUM(amount)")} AS total_flagged_amount,
             MAX(amount) AS max_transaction
@@ -357,20 +366,14 @@ ORACLES = {
         SELECT account_id, COUNT(*) AS tx_count, {_total(DEBITS)} AS debits, {_total(CREDITS)} AS credits
         FROM silver GROUP BY 1""",
     # gold reports and joins
-    "gold_accounts_top": f"""WITH {GOLD}
-        SELECT account_id, transaction_date, total_transactions, total_debits, total_credits, net_amount, flagged_transactions
-        FROM accounts ORDER BY transaction_date DESC, net_amount DESC, account_id LIMIT 100""",
+    "gold_accounts_top": f"WITH {GOLD} {_top('accounts', 100, 'transaction_date DESC, net_amount DESC', ACCOUNT_DAY)}",
     "gold_account_totals": f"""WITH {GOLD}
         SELECT CAST(SUM(total_transactions) AS BIGINT) AS total_tx, {_total("SUM(total_debits)")} AS total_debits,
             {_total("SUM(total_credits)")} AS total_credits FROM accounts""",
     "gold_top_merchants": f"""WITH {GOLD}
-        SELECT {MERCHANT_COLUMNS} FROM merchants WHERE transaction_date = DATE '2024-01-30'
-        ORDER BY total_amount DESC, merchant, transaction_date LIMIT 20""",
-    "gold_top_merchants_all": f"""WITH {GOLD}
-        SELECT {MERCHANT_COLUMNS} FROM merchants ORDER BY total_amount DESC, merchant, transaction_date LIMIT 10""",
-    "merchants_over_threshold": f"""WITH {GOLD}
-        SELECT {MERCHANT_COLUMNS} FROM merchants WHERE total_amount > 1000
-        ORDER BY total_amount DESC, merchant, transaction_date LIMIT 20""",
+        {_top("merchants", 20, "total_amount DESC", MERCHANT_DAY, "transaction_date = DATE '2024-01-30'")}""",
+    "gold_top_merchants_all": f"WITH {GOLD} {_top('merchants', 10, 'total_amount DESC', MERCHANT_DAY)}",
+    "merchants_over_threshold": f"WITH {GOLD} {_top('merchants', 20, 'total_amount DESC', MERCHANT_DAY, 'total_amount > 1000')}",
     "merchant_trend": f"""WITH {GOLD}
         SELECT merchant, transaction_date, total_transactions, total_amount FROM merchants""",
     "merchant_cross_layer": f"""WITH {GOLD}
@@ -470,7 +473,7 @@ ORACLES = {
     "latest_by_key": f"""WITH {DELIVERIES},
         newest AS (
             SELECT *, row_number() OVER (
-                PARTITION BY account_id ORDER BY ingestion_timestamp DESC, "partition", "offset" DESC
+                PARTITION BY account_id ORDER BY ingestion_timestamp DESC, "partition" NULLS FIRST, "offset" DESC
             ) AS r FROM bronze
         )
         SELECT account_id AS key, "partition", "offset", ingestion_timestamp AS "timestamp" FROM newest WHERE r = 1""",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import day_text, iso_timestamp, today, within
 from tidemark.functions.money import average, money, total
+from tidemark.operators.pick import top
 
 
 def in_last(bronze: DataFrame, hours: int, as_of=None) -> DataFrame:
@@ -15,12 +16,14 @@ def row_count(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.count(F.lit(1)).alias("total_records"))
 
 
+SAMPLE = ["transaction_id", "timestamp", "account_id", "transaction_type", "amount", "currency", "is_fraud", "status"]
+RECENT = ["transaction_id", "timestamp", "account_id", "transaction_type", "amount", "merchant", "is_fraud"]
+INGESTED = ["transaction_id", "timestamp", "account_id", "transaction_type", "amount", "is_fraud", "ingestion_timestamp"]
+
+
 def sample(bronze: DataFrame, n=10, ordered=True) -> DataFrame:
     """``n`` rows; the unordered form stops at the first rows it finds."""
-    columns = ["transaction_id", "timestamp", "account_id", "transaction_type", "amount", "currency", "is_fraud", "status"]
-    if ordered:
-        bronze = bronze.orderBy("transaction_id", "ingestion_timestamp")
-    return bronze.select(*columns).limit(n)
+    return top(bronze, n, ["transaction_id"], SAMPLE) if ordered else bronze.select(*SAMPLE).limit(n)
 
 
 def type_summary(bronze: DataFrame) -> DataFrame:
@@ -79,20 +82,11 @@ def day_count(bronze: DataFrame, as_of=None) -> DataFrame:
 
 
 def recent(bronze: DataFrame, n=100) -> DataFrame:
-    return (
-        bronze.select("transaction_id", "timestamp", "account_id", "transaction_type", "amount", "merchant", "is_fraud", "ingestion_timestamp")
-        .orderBy(F.desc("timestamp"), "transaction_id", "ingestion_timestamp")
-        .limit(n)
-        .drop("ingestion_timestamp")
-    )
+    return top(bronze, n, [F.desc("timestamp")], RECENT)
 
 
 def recently_ingested(bronze: DataFrame, n=10) -> DataFrame:
-    return (
-        bronze.select("transaction_id", "timestamp", "account_id", "transaction_type", "amount", "is_fraud", "ingestion_timestamp")
-        .orderBy(F.desc("ingestion_timestamp"), "transaction_id")
-        .limit(n)
-    )
+    return top(bronze, n, [F.desc("ingestion_timestamp")], INGESTED)
 
 
 def fraud_by_customer(bronze: DataFrame, days=1, as_of=None) -> DataFrame:

@@ -4,14 +4,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import today
+from tidemark.operators.pick import top
+
+
+ACCOUNT_DAY = [
+    "account_id",
+    "transaction_date",
+    "total_transactions",
+    "total_debits",
+    "total_credits",
+    "net_amount",
+    "flagged_transactions",
+]
+MERCHANT_DAY = ["merchant", "transaction_date", "total_transactions", "total_amount", "avg_amount", "unique_accounts"]
 
 
 def accounts_top(daily: DataFrame, n=100) -> DataFrame:
-    return (
-        daily.orderBy(F.desc("transaction_date"), F.desc("net_amount"), "account_id")
-        .select("account_id", "transaction_date", "total_transactions", "total_debits", "total_credits", "net_amount", "flagged_transactions")
-        .limit(n)
-    )
+    return top(daily, n, [F.desc("transaction_date"), F.desc("net_amount")], ACCOUNT_DAY)
 
 
 def account_grand_totals(daily: DataFrame) -> DataFrame:
@@ -29,11 +38,7 @@ def top_merchants(merchants: DataFrame, n=20, day=None, min_total=None) -> DataF
         rows = rows.filter(F.col("transaction_date") == F.lit(day).cast("date"))
     if min_total is not None:
         rows = rows.filter(F.col("total_amount") > F.lit(min_total))
-    return (
-        rows.orderBy(F.desc("total_amount"), "merchant", "transaction_date")
-        .select("merchant", "transaction_date", "total_transactions", "total_amount", "avg_amount", "unique_accounts")
-        .limit(n)
-    )
+    return top(rows, n, [F.desc("total_amount")], MERCHANT_DAY)
 
 
 def merchant_trend(merchants: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import now, within
 from tidemark.functions.money import credit, debit
+from tidemark.operators.pick import top
 
 
 def _sum(column):
@@ -43,22 +44,17 @@ def flagged_count(silver: DataFrame) -> DataFrame:
     return silver.filter("is_flagged").agg(F.count(F.lit(1)).alias("flagged"))
 
 
+FLAGGED = ["account_id", "transaction_type", "amount", "merchant", "transaction_timestamp", "is_flagged"]
+LATEST = ["transaction_id", "transaction_timestamp", "account_id", "transaction_type", "amount", "merchant", "is_flagged"]
+
+
 def top_flagged(silver: DataFrame, n=50) -> DataFrame:
-    return (
-        silver.filter("is_flagged")
-        .orderBy(F.desc("amount"), "transaction_id", "date_partition")
-        .select("account_id", "transaction_type", "amount", "merchant", "transaction_timestamp", "is_flagged")
-        .limit(n)
-    )
+    return top(silver.filter("is_flagged"), n, [F.desc("amount")], FLAGGED)
 
 
 def latest_in_hour(silver: DataFrame, n=100, as_of=None) -> DataFrame:
-    return (
-        silver.filter(within(F.col("transaction_timestamp"), F.col("date_partition"), as_of, hours=1))
-        .select("transaction_id", "transaction_timestamp", "account_id", "transaction_type", "amount", "merchant", "is_flagged")
-        .orderBy(F.desc("transaction_timestamp"), "transaction_id")
-        .limit(n)
-    )
+    rows = silver.filter(within(F.col("transaction_timestamp"), F.col("date_partition"), as_of, hours=1))
+    return top(rows, n, [F.desc("transaction_timestamp")], LATEST)
 
 
 def flagged_accounts(silver: DataFrame, since: str | None = None, more_than=3) -> DataFrame:

@@ -183,7 +183,7 @@ def dead_letter_split(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     folder = shared_folder(spark, "dedup")
     decoded = envelope.decode(events.as_envelope(events.stream_events(spark, sf_dir)))
-    unique = live.dedup(decoded.select("transaction_id", "timestamp", "account_id", "transaction_type", "amount")).drop("amount")
+    unique = live.dedup(decoded.select("transaction_id", "timestamp", "account_id", "amount")).select("transaction_id")
     _run(
         unique.writeStream.format("parquet")
         .outputMode("append")
