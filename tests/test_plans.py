@@ -76,6 +76,12 @@ def test_column_pruning(bronze, cleaned):
     assert "PushedFilters: [IsNotNull(merchant)]" in read
 
 
+def test_silver_reads_no_nested_columns(bronze):
+    scan = next(line for line in text(silver.clean(bronze)).splitlines() if "FileScan" in line)
+    for name in ("location", "customer", "metadata", "is_fraud"):
+        assert name not in scan.split("ReadSchema")[1]
+
+
 def test_dedup_limits_groups_before_the_shuffle(bronze):
     lines = text(dedup_transactions(bronze)).splitlines()
     first_exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)

@@ -26,7 +26,10 @@ def _write_new(spark: SparkSession, table: DataFrame, target: str, partition_col
 
 
 def compact(spark: SparkSession, table: DataFrame, target: str, partition_cols, file_mb=256):
-    """Rewrite into few large files per partition; the rows stay the same."""
+    """Rewrite into few large files per partition; the rows stay the same.
+
+    ``table`` may be a filtered read, to compact some partitions only.
+    """
     _write_new(spark, table, target, partition_cols, file_mb)
 
 

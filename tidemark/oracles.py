@@ -141,30 +141,66 @@ FLAT = """transaction_id, "timestamp", account_id, transaction_type, amount, cur
     customer_id, 'Customer ' || user_id AS name, 'c' || user_id || '@example.com' AS email, '555-' || user_id AS phone,
     is_fraud, status, device_type, '10.0.0.' || (event_id % 256) AS ip_address, 'S-' || event_id AS session_id"""
 
-JSON = """'{"transaction_id":"' || transaction_id || '","timestamp":"' || "timestamp"
-    || '","account_id":"' || account_id || '","transaction_type":"' || transaction_type
-    || '","amount":' || CAST(amount AS VARCHAR) || ',"currency":"USD"'
-    || CASE WHEN merchant IS NULL THEN '' ELSE ',"merchant":"' || merchant || '"' END
-    || ',"location":{"city":"City-' || place || '","state":"State-' || (place % 7) || '","country":"US","latitude":'
-    || (place + 25) || '.0,"longitude":' || (-place - 65) || '.0}'
-    || ',"customer":{"customer_id":"' || customer_id || '","name":"Customer ' || user_id
-    || '","email":"c' || user_id || '@example.com","phone":"555-' || user_id || '"}'
-    || ',"is_fraud":' || CAST(is_fraud AS VARCHAR) || ',"status":"' || status
-    || '","metadata":{"device_type":"' || device_type || '","ip_address":"10.0.0.' || (event_id % 256)
-    || '","session_id":"S-' || event_id || '"}}'"""
+
+def _json(**fields):
+    """JSON object text; fields whose value is NULL are left out."""
+    parts = " || ".join(f"""coalesce(',"{name}":' || {value}, '')""" for name, value in fields.items())
+    return f"('{{' || substr({parts}, 2) || '}}')"
+
+
+def _quoted(expression):
+    return f"""'"' || {expression} || '"'"""
+
+
+JSON = _json(
+    transaction_id=_quoted("transaction_id"),
+    timestamp=_quoted('"timestamp"'),
+    account_id=_quoted("account_id"),
+    transaction_type=_quoted("transaction_type"),
+    amount="CAST(amount AS VARCHAR)",
+    currency=_quoted("currency"),
+    merchant=_quoted("merchant"),
+    location=_json(
+        city=_quoted("'City-' || place"),
+        state=_quoted("'State-' || (place % 7)"),
+        country=_quoted("'US'"),
+        latitude="(place + 25) || '.0'",
+        longitude="(-place - 65) || '.0'",
+    ),
+    customer=_json(
+        customer_id=_quoted("customer_id"),
+        name=_quoted("'Customer ' || user_id"),
+        email=_quoted("'c' || user_id || '@example.com'"),
+        phone=_quoted("'555-' || user_id"),
+    ),
+    is_fraud="CAST(is_fraud AS VARCHAR)",
+    status=_quoted("status"),
+    metadata=_json(
+        device_type=_quoted("device_type"),
+        ip_address=_quoted("'10.0.0.' || (event_id % 256)"),
+        session_id=_quoted("'S-' || event_id"),
+    ),
+)
+SHORT_JSON = _json(
+    transaction_id=_quoted("transaction_id"),
+    account_id=_quoted("account_id"),
+    transaction_type=_quoted("transaction_type"),
+    is_fraud="CAST(is_fraud AS VARCHAR)",
+    status=_quoted("status"),
+)
 
 KEYS = "transaction_id, account_id, amount, ingestion_timestamp, date_partition, _batch_id"
-DAMAGED = '("offset" % 97 = 0 OR "offset" % 89 = 0)'
+DAMAGED = '("offset" IS NULL OR "offset" % 97 = 0 OR "offset" % 89 = 0)'
 
 BUCKETS = (10, 50, 100, 500)
 COUNTERS = ("n", "volume", "idle", *[f"le_{b}" for b in BUCKETS])
 
 SAMPLES = f"""
 per_minute AS (
-    SELECT event_type AS kind, 'kafka-' || (event_id % 3 + 1) AS broker_host, date_trunc('minute', ts) AS ts,
-        COUNT(*) AS n, SUM(CAST(value AS DECIMAL(18,6))) AS volume,
+    SELECT coalesce(event_type, '') AS kind, coalesce('kafka-' || (event_id % 3 + 1), '') AS broker_host,
+        date_trunc('minute', ts) AS ts, COUNT(*) AS n, coalesce(SUM(CAST(value AS DECIMAL(18,6))), 0) AS volume,
         {", ".join(f"COUNT(*) FILTER (WHERE value <= {b}) AS le_{b}" for b in BUCKETS)}
-    FROM events GROUP BY ALL
+    FROM events WHERE ts IS NOT NULL GROUP BY ALL
 ),
 filled AS (
     SELECT *, 60 - least(60, volume) AS idle,
@@ -255,10 +291,7 @@ ORACLES = {
     "decode_transactions": f"WITH {DELIVERIES} SELECT {FLAT} FROM bronze",
     "bronze_enrich": f"""WITH {DELIVERIES}
         SELECT {FLAT}, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp, date_partition FROM bronze""",
-    "encode_envelope": f"""WITH {DELIVERIES}
-        SELECT account_id AS key, '{{"transaction_id":"' || transaction_id || '","account_id":"' || account_id
-            || '","transaction_type":"' || transaction_type || '","is_fraud":' || CAST(is_fraud AS VARCHAR)
-            || ',"status":"' || status || '"}}' AS value FROM bronze""",
+    "encode_envelope": f"WITH {DELIVERIES} SELECT account_id AS key, {SHORT_JSON} AS value FROM bronze",
     "stream_bronze_ingest": f"""WITH {DELIVERIES}
         SELECT {FLAT}, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp, date_partition FROM bronze""",
     "dead_letter_split": f"""WITH {DELIVERIES}
@@ -268,7 +301,7 @@ ORACLES = {
         FROM bronze WHERE {DAMAGED}""",
     "stream_dedup": f"WITH {DELIVERIES} SELECT DISTINCT transaction_id FROM bronze",
     "stream_tx_per_minute": f"""WITH {DELIVERIES}
-        SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze GROUP BY 1""",
+        SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze WHERE ts IS NOT NULL GROUP BY 1""",
     "enrich_customers": f"""WITH {DELIVERIES}
         SELECT transaction_id, ingestion_timestamp, customer_id, c_name AS customer_name, c_mktsegment AS segment,
             CAST(c_nationkey AS BIGINT) AS nation_key
@@ -297,7 +330,7 @@ ORACLES = {
         FROM (SELECT transaction_date, CAST(SUM(total_transactions) AS BIGINT) AS transactions,
                   {_total("SUM(net_amount)")} AS net_amount FROM accounts GROUP BY 1) a
         LEFT JOIN (SELECT transaction_date, {_total("SUM(total_amount)")} AS merchant_amount FROM merchants GROUP BY 1) m
-        USING (transaction_date)""",
+        USING (transaction_date) WHERE transaction_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
     # bronze reports
     "bronze_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS total_records FROM bronze",
     "bronze_sample": f"WITH {DELIVERIES} {_top('bronze', 10, 'transaction_id NULLS FIRST', SAMPLE)}",

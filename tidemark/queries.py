@@ -226,7 +226,7 @@ def table_expired(spark, sf_dir):
 
 def schema_evolution_union(spark, sf_dir):
     rows = events.versioned_bronze(spark, sf_dir)
-    old = rows.filter(F.col("_batch_id") < 15).select("transaction_id", "amount", "date_partition")
+    old = rows.filter(F.coalesce(F.col("_batch_id") < 15, F.lit(True))).select("transaction_id", "amount", "date_partition")
     new = rows.filter(F.col("_batch_id") >= 15).select(
         "transaction_id", "amount", "date_partition", F.col("metadata.device_type").alias("new_field")
     )

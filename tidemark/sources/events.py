@@ -135,15 +135,15 @@ def metric_samples(events: DataFrame, *wanted: str) -> DataFrame:
     Events are first summed per series and minute, so the running totals scan
     one row per series and minute whatever the number of events.  The counters
     of one broker restart from zero on 16 January.  Only ``wanted`` metrics
-    are produced, all by default.
+    are produced, all by default.  Events without a time are no samples.
     """
-    per_minute = events.groupBy(
-        F.col("event_type").alias("kind"),
-        F.expr("concat('kafka-', event_id % 3 + 1)").alias("broker_host"),
+    per_minute = events.filter("ts IS NOT NULL").groupBy(
+        F.expr("coalesce(event_type, '')").alias("kind"),
+        F.expr("coalesce(concat('kafka-', event_id % 3 + 1), '')").alias("broker_host"),
         F.expr("date_trunc('minute', CAST(ts AS TIMESTAMP))").alias("ts"),
     ).agg(
         F.expr("count(*)").alias("n"),
-        F.expr("sum(CAST(value AS DECIMAL(18,6)))").alias("volume"),
+        F.expr("coalesce(sum(CAST(value AS DECIMAL(18,6))), 0)").alias("volume"),
         *[F.expr(f"count_if(value <= {le})").alias(f"le_{le}") for le in BUCKETS],
     )
     per_minute = per_minute.selectExpr(

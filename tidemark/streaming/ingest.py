@@ -69,7 +69,8 @@ def start_ingest(
     with it they go, unchanged, to that folder instead.  With ``log`` every
     commit is noted there, so time travel need not scan the table.
     """
-    refuse_foreign_target(envelope.sparkSession, target, checkpoint)
+    for folder in filter(None, (target, dead_letters, log)):
+        refuse_foreign_target(envelope.sparkSession, folder, checkpoint)
 
     def commit(readable: DataFrame, batch_id: int):
         written = write_batch(enrich(decode(readable), ingested_at), batch_id, target)
