@@ -64,3 +64,5 @@ def test_topic_options():
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10000"
     assert "maxOffsetsPerTrigger" not in envelope.topic_stream_options("h:1", "t", None)
     assert envelope.topic_batch_options("h:1", "t")["endingOffsets"] == "latest"
+    assert envelope.topic_batch_options("h:1", "t", 64)["minPartitions"] == "64"
+    assert "minPartitions" not in options and "minPartitions" not in envelope.topic_batch_options("h:1", "t")

@@ -70,15 +70,21 @@ def test_compaction_keeps_rows_and_merges_files(spark, stored, tmp_path):
         maintenance.compact(spark, table, target, ["date_partition"])
 
 
-def test_expiry_folds_old_commits(spark, stored, tmp_path):
-    table = read_bronze(spark, stored)
-    maintenance.expire_batches(spark, table, str(tmp_path / "kept"), "2024-01-21 00:00:00")
-    kept = read_bronze(spark, str(tmp_path / "kept"))
+def test_expiry_folds_old_commits_only(spark, stored, tmp_path):
+    table, target = read_bronze(spark, stored), str(tmp_path / "folded")
+    maintenance.expire_batches(spark, table, target, "2024-01-21 00:00:00")
+    assert {r[0] for r in read_bronze(spark, target).select("_batch_id").distinct().collect()} == {19}
+    kept = maintenance.read_folded(spark, table, target)
     assert multiset(kept) == multiset(table)
     assert kept.agg(F.min("_batch_id")).first()[0] == 19
     assert multiset(history.as_of_batch(kept, 25)) == multiset(history.as_of_batch(table, 25))
-    maintenance.expire_batches(spark, table, str(tmp_path / "all"), "2000-01-01 00:00:00")
-    assert multiset(read_bronze(spark, str(tmp_path / "all")), "_batch_id") == multiset(table, "_batch_id")
+
+
+def test_nothing_to_expire(spark, stored, tmp_path):
+    table, target = read_bronze(spark, stored), str(tmp_path / "folded")
+    maintenance.expire_batches(spark, table, target, "2000-01-01 00:00:00", log=history.snapshots(table))
+    kept = maintenance.read_folded(spark, table, target)
+    assert multiset(kept, "_batch_id") == multiset(table, "_batch_id")
 
 
 def test_columns_added_later(spark, tmp_path):

@@ -37,6 +37,7 @@ def _parser():
         job.add_argument("--path")
         job.add_argument("--servers")
         job.add_argument("--topic")
+        job.add_argument("--min-partitions", type=int, help="read tasks at least, beyond the topic's partitions")
         return job
 
     job = topic(jobs.add_parser("ingest"))
@@ -73,9 +74,9 @@ def _source(spark, args, streaming):
         read = envelope.stream_envelope if streaming else envelope.read_envelope
         return read(spark, args.format, args.path)
     if not streaming:
-        return envelope.read_envelope(spark, **envelope.topic_batch_options(args.servers, args.topic))
+        return envelope.read_envelope(spark, **envelope.topic_batch_options(args.servers, args.topic, args.min_partitions))
     limit = getattr(args, "max_offsets", None)
-    return envelope.stream_envelope(spark, **envelope.topic_stream_options(args.servers, args.topic, limit))
+    return envelope.stream_envelope(spark, **envelope.topic_stream_options(args.servers, args.topic, limit, args.min_partitions))
 
 
 def _run(spark, args):

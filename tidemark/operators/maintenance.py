@@ -1,9 +1,8 @@
 """Rewrites of a stored layer.
 
 Both jobs write a new folder and never touch the one they read, so a lost
-executor or driver leaves the old table whole.  The caller then points the
-readers at the new folder (``ALTER TABLE ... SET LOCATION`` for a catalog
-table) and drops the old one when nobody reads it any more.
+executor or driver leaves the old table whole.  The caller then lets readers
+use the new folder and drops the old files when nobody reads them any more.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +32,28 @@ def compact(spark: SparkSession, table: DataFrame, target: str, partition_cols,
     _write_new(spark, table, target, partition_cols, file_mb)
 
 
-def expire_batches(spark: SparkSession, table: DataFrame, target: str, older_than, file_mb=256):
+def expire_batches(spark: SparkSession, table: DataFrame, target: str, older_than, log=None, file_mb=256):
     """Fold all commits made before ``older_than`` into the newest of them.
 
-    No row is lost; reads as of an earlier commit are no longer possible.
-    The boundary is one number, looked up as a scalar subquery.
+    Only those old rows are read and rewritten, to ``target``; newer commits
+    stay where they are.  ``read_folded`` puts both together.  No row is lost;
+    reads as of an earlier commit are no longer possible.  The boundary is one
+    number, a scalar subquery over the commit ``log`` or else the table.
     """
     boundary = (
-        snapshots(table)
+        (log if log is not None else snapshots(table))
         .filter(F.col("committed_at") < F.lit(older_than).cast("timestamp"))
         .agg(F.max("snapshot_id"))
         .scalar()
     )
-    folded = table.withColumn(BATCH, F.greatest(F.col(BATCH), F.coalesce(boundary, F.col(BATCH))))
+    folded = table.filter(F.col(BATCH) <= boundary).withColumn(BATCH, boundary)
     _write_new(spark, folded, target, [BATCH, "date_partition"], file_mb)
+
+
+def read_folded(spark: SparkSession, table: DataFrame, target: str) -> DataFrame:
+    """The table with its old commits replaced by the folded one."""
+    folded = spark.read.schema(table.schema).parquet(target)
+    boundary = folded.agg(F.max(BATCH)).scalar()
+    newer = F.col(BATCH) > F.coalesce(boundary, F.lit(-1))
+    # Rows without a commit number are older than any commit log.
+    return folded.unionByName(table.filter(F.coalesce(newer, F.lit(True))))

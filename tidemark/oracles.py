@@ -501,7 +501,7 @@ ORACLES = {
         committed AS (SELECT _batch_id, MAX(ingestion_timestamp) AS committed_at FROM bronze GROUP BY 1),
         base AS (SELECT MAX(_batch_id) AS b FROM committed WHERE committed_at < TIMESTAMP '2024-01-16 00:00:00')
         SELECT transaction_id, account_id, amount, ingestion_timestamp, date_partition,
-            greatest(_batch_id, (SELECT coalesce(b, 0) FROM base)) AS _batch_id
+            CASE WHEN _batch_id <= (SELECT b FROM base) THEN (SELECT b FROM base) ELSE _batch_id END AS _batch_id
         FROM bronze""",
     "latest_by_key": f"""WITH {DELIVERIES},
         newest AS (

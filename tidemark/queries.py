@@ -220,8 +220,9 @@ def table_compacted(spark, sf_dir):
 
 def table_expired(spark, sf_dir):
     target = f"{shared_folder(spark, 'expired')}/bronze"
-    maintenance.expire_batches(spark, _stored_versions(spark, sf_dir), target, MID_MONTH)
-    return ingest.read_bronze(spark, target).select(*KEY_COLUMNS)
+    table = _stored_versions(spark, sf_dir)
+    maintenance.expire_batches(spark, table, target, MID_MONTH)
+    return maintenance.read_folded(spark, table, target).select(*KEY_COLUMNS)
 
 
 def schema_evolution_union(spark, sf_dir):

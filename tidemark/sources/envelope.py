@@ -28,18 +28,22 @@ def _topic_options(servers, topic, **more):
     }
 
 
-def topic_stream_options(servers, topic, max_offsets=10000):
-    """Options of the rate-limited stream; ``max_offsets=None`` lifts the limit."""
-    limit = {} if max_offsets is None else {"maxOffsetsPerTrigger": str(max_offsets)}
-    return _topic_options(servers, topic, **limit)
+def topic_stream_options(servers, topic, max_offsets=10000, min_partitions=None):
+    """Options of the rate-limited stream; ``max_offsets=None`` lifts the limit.
+
+    ``min_partitions`` cuts big topic partitions into several read tasks.
+    """
+    more = {"maxOffsetsPerTrigger": max_offsets, "minPartitions": min_partitions}
+    return _topic_options(servers, topic, **{k: str(v) for k, v in more.items() if v is not None})
 
 
-def topic_batch_options(servers, topic):
+def topic_batch_options(servers, topic, min_partitions=None):
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "endingOffsets": "latest",
+        **({} if min_partitions is None else {"minPartitions": str(min_partitions)}),
     }
 
 
