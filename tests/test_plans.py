@@ -39,7 +39,8 @@ def test_no_python_and_no_products(name, spark):
 
 
 def pruned(df, column="date_partition"):
-    return [line for line in text(df).splitlines() if "FileScan" in line and "PartitionFilters: [" in line and column in line.split("PartitionFilters: [")[1].split("]")[0]]
+    scans = [line for line in text(df).splitlines() if "PartitionFilters: [" in line]
+    return [line for line in scans if column in line.split("PartitionFilters: [")[1].split("]")[0]]
 
 
 def test_partition_pruning(bronze, cleaned):

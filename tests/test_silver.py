@@ -3,7 +3,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidemark.operators.pick import dedup_transactions
-from tidemark.plans import silver
+from tidemark.plans import bronze_reports, silver
 
 
 def by_id(df):
@@ -79,3 +79,10 @@ def test_day_selection(bronze_rows, spark):
     assert silver.for_day(rows).count() == 0  # live clock: yesterday
     cleaned = silver.clean(rows)
     assert silver.for_day(cleaned, "2024-01-05").count() == 1
+
+
+def test_bronze_totals_round_once_at_the_end(bronze_rows):
+    rows = bronze_rows(*[dict(amount=0.004) for _ in range(1000)])
+    total = bronze_reports.type_totals(rows).first()
+    assert total["count"] == 1000 and total["total_amount"] == Decimal("4.00")
+    assert bronze_reports.fraud_summary(rows).first()["avg_amount"] == Decimal("0.00")

@@ -6,18 +6,27 @@ from pyspark.sql import functions as F
 from tidemark.schemas import CREDIT_TYPES, DEBIT_TYPES
 
 
+def _column(col) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
 def money(col) -> Column:
     """Exact cents, half-up; what does not fit (NaN, overflow) is NULL."""
-    return (F.col(col) if isinstance(col, str) else col).try_cast("decimal(18,2)")
+    return _column(col).try_cast("decimal(18,2)")
+
+
+def exact(col) -> Column:
+    """Raw amounts to a millionth, so that sums do not depend on their order."""
+    return _column(col).try_cast("decimal(24,6)")
 
 
 def total(col) -> Column:
-    """Sum of cents, wide enough for 10**8 times the largest single value."""
-    return F.sum(money(col)).cast("decimal(28,2)")
+    """Sum of raw amounts, rounded to cents once at the end."""
+    return F.sum(exact(col)).cast("decimal(28,2)")
 
 
 def average(col) -> Column:
-    return F.avg(money(col)).cast("decimal(18,2)")
+    return F.avg(exact(col)).cast("decimal(18,2)")
 
 
 def debit(amount="amount", kind="transaction_type") -> Column:

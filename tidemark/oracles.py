@@ -61,7 +61,9 @@ deliveries AS (
         strftime(ts, '%Y-%m-%d') AS date_partition
     FROM copies
 ),
-bronze AS (SELECT *, CAST(amount AS DECIMAL(18,2)) AS money FROM deliveries)
+bronze AS (
+    SELECT *, CAST(amount AS DECIMAL(18,2)) AS money, CAST(amount AS DECIMAL(24,6)) AS exact FROM deliveries
+)
 """
 
 SILVER = (
@@ -99,11 +101,12 @@ def _ratio(numerator, denominator, scale):
     return f"((2 * {n} + {d}) // (2 * {d}))"
 
 
-def _mean(column):
-    """Average of cents: first to 6 digits, then to 2, like a stored decimal."""
-    cents = f"SUM(CAST({column} * 100 AS HUGEINT))"
-    six = _ratio(cents, f"COUNT({column})", 4)
-    return f"CAST(sign({cents}) * (({six} + 5000) // 10000) / 100.0 AS DECIMAL(18,2))"
+def _mean(column, scale=2):
+    """Average of decimals: first to ``scale`` + 4 digits, then to cents."""
+    units = f"SUM(CAST({column} * {10**scale} AS HUGEINT))"
+    fine = _ratio(units, f"COUNT({column})", 4)
+    step = 10 ** (scale + 2)
+    return f"CAST(sign({units}) * (({fine} + {step // 2}) // {step}) / 100.0 AS DECIMAL(18,2))"
 
 
 GOLD = (
@@ -335,35 +338,35 @@ ORACLES = {
     "bronze_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS total_records FROM bronze",
     "bronze_sample": f"WITH {DELIVERIES} {_top('bronze', 10, 'transaction_id NULLS FIRST', SAMPLE)}",
     "bronze_type_summary": f"""WITH {DELIVERIES}
-        SELECT transaction_type, COUNT(*) AS count, {_mean("money")} AS avg_amount, MIN(money) AS min_amount,
+        SELECT transaction_type, COUNT(*) AS count, {_mean("exact", 6)} AS avg_amount, MIN(money) AS min_amount,
             MAX(money) AS max_amount FROM bronze GROUP BY transaction_type""",
     "bronze_fraud_summary": f"""WITH {DELIVERIES}
-        SELECT is_fraud, COUNT(*) AS count, {_mean("money")} AS avg_amount FROM bronze GROUP BY is_fraud""",
+        SELECT is_fraud, COUNT(*) AS count, {_mean("exact", 6)} AS avg_amount FROM bronze GROUP BY is_fraud""",
     "bronze_type_totals": f"""WITH {DELIVERIES}
-        SELECT transaction_type, COUNT(*) AS count, {_total("SUM(money)")} AS total_amount FROM bronze GROUP BY 1""",
+        SELECT transaction_type, COUNT(*) AS count, {_total("SUM(exact)")} AS total_amount FROM bronze GROUP BY 1""",
     "type_totals_last_7d": f"""WITH {DELIVERIES}
-        SELECT transaction_type, COUNT(*) AS count, {_total("SUM(money)")} AS total_amount
+        SELECT transaction_type, COUNT(*) AS count, {_total("SUM(exact)")} AS total_amount
         FROM bronze WHERE date_partition >= '2024-01-24' GROUP BY 1""",
     "bronze_type_counts": f"WITH {DELIVERIES} SELECT transaction_type, COUNT(*) AS count FROM bronze GROUP BY 1",
     "bronze_freshness": f"WITH {DELIVERIES} SELECT MAX(ingestion_timestamp) AS latest_ingestion FROM bronze",
     "bronze_partition_totals": f"""WITH {DELIVERIES}
-        SELECT date_partition, COUNT(*) AS transaction_count, {_total("SUM(money)")} AS total_amount
+        SELECT date_partition, COUNT(*) AS transaction_count, {_total("SUM(exact)")} AS total_amount
         FROM bronze GROUP BY 1""",
     "bronze_day_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS bronze_count FROM bronze WHERE date_partition = '2024-01-30'",
     "bronze_recent": f"""WITH {DELIVERIES} {_top('bronze', 100, '"timestamp" DESC', RECENT)}""",
     "bronze_recently_ingested": f"WITH {DELIVERIES} {_top('bronze', 10, 'ingestion_timestamp DESC', INGESTED)}",
     "fraud_by_customer": f"""WITH {DELIVERIES}
-        SELECT customer_id, COUNT(*) AS suspicious_txn_count, {_total("SUM(money)")} AS total_amount,
+        SELECT customer_id, COUNT(*) AS suspicious_txn_count, {_total("SUM(exact)")} AS total_amount,
             MAX(date_partition) AS last_date
         FROM bronze WHERE is_fraud AND date_partition >= '2024-01-30' GROUP BY customer_id""",
     "bronze_merchant_totals": f"""WITH {DELIVERIES}
-        SELECT merchant, COUNT(*) AS count, {_total("SUM(money)")} AS total_amount
+        SELECT merchant, COUNT(*) AS count, {_total("SUM(exact)")} AS total_amount
         FROM bronze WHERE merchant IS NOT NULL GROUP BY merchant""",
     "bronze_hourly_by_type": f"""WITH {DELIVERIES}
-        SELECT date_trunc('hour', ts) AS hour, transaction_type, COUNT(*) AS count, {_mean("money")} AS avg_amount
+        SELECT date_trunc('hour', ts) AS hour, transaction_type, COUNT(*) AS count, {_mean("exact", 6)} AS avg_amount
         FROM bronze WHERE ts > {AS_OF} - INTERVAL 24 HOUR AND ts <= {AS_OF} GROUP BY 1, 2""",
     "bronze_last_hour": f"""WITH {DELIVERIES}
-        SELECT COUNT(*) AS count, {_total("SUM(money)")} AS total_amount
+        SELECT COUNT(*) AS count, {_total("SUM(exact)")} AS total_amount
         FROM bronze WHERE ts > {AS_OF} - INTERVAL 1 HOUR AND ts <= {AS_OF}""",
     **{
         key: f"WITH {DELIVERIES} SELECT {FLAT}, ingestion_timestamp, date_partition FROM bronze WHERE {condition}"
@@ -434,7 +437,7 @@ ORACLES = {
         FROM cents ORDER BY c DESC, merchant LIMIT 20""",
     # dashboards and metrics of the layers
     "kpi_tiles": f"""WITH {DELIVERIES}
-        SELECT COUNT(*) AS total_transactions, {_total("SUM(money)")} AS total_amount, {_mean("money")} AS avg_amount,
+        SELECT COUNT(*) AS total_transactions, {_total("SUM(exact)")} AS total_amount, {_mean("exact", 6)} AS avg_amount,
             COUNT(*) FILTER (WHERE is_fraud) AS fraud_count FROM bronze""",
     "tx_daily": f"""WITH {SILVER}
         SELECT date_partition AS day, COUNT(*) AS count, {_total("SUM(amount)")} AS total_amount FROM silver GROUP BY 1""",
@@ -452,7 +455,7 @@ ORACLES = {
         SELECT transaction_type, COUNT(*) AS fraud_count FROM bronze WHERE is_fraud GROUP BY 1""",
     "fraud_by_location": f"""WITH {DELIVERIES}
         SELECT 'State-' || (place % 7) AS state, 'City-' || place AS city, COUNT(*) AS fraud_count,
-            {_total("SUM(money)")} AS total_amount, CAST(place + 25 AS DOUBLE) AS latitude,
+            {_total("SUM(exact)")} AS total_amount, CAST(place + 25 AS DOUBLE) AS latitude,
             CAST(-place - 65 AS DOUBLE) AS longitude
         FROM bronze WHERE is_fraud GROUP BY place""",
     "today_counts": f"""WITH {SILVER}
@@ -462,7 +465,7 @@ ORACLES = {
         SELECT CAST(COUNT(*) FILTER (WHERE is_fraud) AS DOUBLE) / COUNT(*) AS fraud_rate FROM bronze""",
     "metric_avg_value": f"WITH {SILVER} SELECT {_mean('amount')} AS avg_transaction_value FROM silver",
     "metric_revenue": f"""WITH {DELIVERIES}
-        SELECT {_total("SUM(CASE WHEN transaction_type IN ('PURCHASE', 'PAYMENT') THEN money ELSE 0 END)")} AS revenue
+        SELECT {_total("SUM(CASE WHEN transaction_type IN ('PURCHASE', 'PAYMENT') THEN exact ELSE 0 END)")} AS revenue
         FROM bronze""",
     # data quality
     "dq_duplicate_audit": f"""WITH {DELIVERIES}

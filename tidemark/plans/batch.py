@@ -35,7 +35,9 @@ def run_day(spark: SparkSession, bronze: str, silver: str, accounts: str, mercha
     return rows
 
 
-def backfill(spark: SparkSession, bronze: str, silver: str, accounts: str, merchants: str, first_day, last_day, processed_at=None):
+def backfill(
+    spark: SparkSession, bronze: str, silver: str, accounts: str, merchants: str, first_day, last_day, processed_at=None
+):
     """All dates of a range in one pass per layer."""
     day = F.col("date_partition")
     raw = read_layer(spark, bronze, BRONZE).filter((day >= F.lit(first_day)) & (day <= F.lit(last_day)))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import iso_timestamp
-from tidemark.functions.money import average, money, total
+from tidemark.functions.money import average, exact, total
 from tidemark.plans.bronze_reports import in_last
 from tidemark.schemas import REVENUE_TYPES
 
@@ -99,10 +99,10 @@ def fraud_rate(bronze: DataFrame) -> DataFrame:
 
 def avg_value(rows: DataFrame) -> DataFrame:
     """Sum over count of all rows."""
-    value = F.try_divide(F.sum(money("amount")).cast("decimal(28,2)"), F.count(F.lit(1)))
+    value = F.try_divide(F.sum(exact("amount")), F.count(F.lit(1)))
     return rows.agg(value.cast("decimal(18,2)").alias("avg_transaction_value"))
 
 
 def revenue(rows: DataFrame) -> DataFrame:
-    counted = F.when(F.col("transaction_type").isin(*REVENUE_TYPES), money("amount")).otherwise(0)
-    return rows.agg(F.sum(counted).cast("decimal(28,2)").alias("revenue"))
+    counted = F.when(F.col("transaction_type").isin(*REVENUE_TYPES), F.col("amount")).otherwise(0)
+    return rows.agg(total(counted).alias("revenue"))

@@ -314,7 +314,9 @@ QUERIES = {
     "decode_transactions": _over(_envelope, lambda e: _flat(envelope.decode(e))),
     "bronze_enrich": _over(_envelope, lambda e: _flat(envelope.enrich(envelope.decode(e), INGESTED_AT))),
     "encode_envelope": _bronze(
-        lambda b: envelope.encode_envelope(b.select("transaction_id", "account_id", "transaction_type", "is_fraud", "status"))
+        lambda b: envelope.encode_envelope(
+            b.select("transaction_id", "account_id", "transaction_type", "is_fraud", "status")
+        )
     ),
     "stream_bronze_ingest": _query(stream_bronze_ingest),
     "dead_letter_split": _query(dead_letter_split),
