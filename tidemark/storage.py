@@ -4,7 +4,6 @@ A target holding a ``/`` is a directory of Parquet files, anything else a
 catalog table.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +21,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor sees.
+    """A fresh folder that the driver and every executor see.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Below ``spark.checkpoint.dir``, or else below the warehouse folder, which
+    all sessions of a cluster share.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
