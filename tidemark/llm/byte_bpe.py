@@ -1,11 +1,8 @@
 """Byte-level BPE: encode with the ranks of a public vocabulary, decode by offsets.
 
-Pre-tokenisation uses no regex.  Every code point is looked up in a class array; a
-small automaton over the classes says where the pattern's matches start.  Its
-transition functions are associative, so a batch of texts is laid out in columns:
-all columns are scanned at once for every start state, the functions of the columns
-are combined by a prefix scan, and a second pass fills in the states.  Slices between
-the starts go through a cache of merged pairs.
+``pretokens`` cuts the texts without regex; each distinct piece is merged once and
+kept.  The byte at which every token ends is retained, and decoding fetches all bytes
+of a text at once by these offsets.
 
 Defined results
     NULL text is the empty text and has no ids.  Control strings are ordinary text.
@@ -14,11 +11,9 @@ Defined results
 """
 
 import base64
+import bisect
 import heapq
-import sys
-import unicodedata
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,120 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import slices, texts
+from tidemark.llm.pretokens import SCAN_BYTES, PieceCache
 
-#: Bytes of text scanned at a time, and characters of one column of the scan.
-SCAN_BYTES, COLUMN = 1 << 20, 64
-#: Merged pieces kept per worker; a scan never needs more than SCAN_BYTES of them at once.
-CACHED = 400_000
-
-# -- the pattern as an automaton ---------------------------------------------------
-
-# Classes of code points.  The contractions 's 't 'm 'd 're 've 'll need letters of
-# their own (fixed values of the pattern).
-LETTER, NUMBER, OTHER, QUOTE, BLANK, SPACE, STMD, RV, ELL, E, END = range(11)
-# States: what the last code point belongs to.  START is also white space but a blank.
-START, IN_BLANK, IN_LETTER, IN_NUMBER, IN_OTHER, IN_QUOTE, WANTS_E, WANTS_L, DONE = range(9)
-STATES = 9
-
-
-@lru_cache(1)
-def classes():
-    """Class of every code point; the entry after the last is the end of a text."""
-    out = np.full(sys.maxunicode + 2, OTHER, np.uint8)
-    for i in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(i))[0]
-        if kind in "LN":
-            out[i] = LETTER if kind == "L" else NUMBER
-    # Unicode's White_Space, without the separators U+001C to U+001F that str.isspace adds
-    out[[9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
-    out[[ord(c) for c in "stmd"]] = STMD
-    out[[ord(c) for c in "rv"]] = RV
-    out[ord("l")], out[ord("e")], out[ord("'")], out[ord(" ")], out[-1] = ELL, E, QUOTE, BLANK, END
-    return out
-
-
-@lru_cache(1)
-def transitions():
-    """The state after reading a class in a state, as one flat array."""
-    to = np.empty((11, STATES), np.uint8)
-    to[[LETTER, STMD, RV, ELL, E]] = IN_LETTER
-    to[NUMBER], to[OTHER], to[BLANK], to[SPACE], to[END] = IN_NUMBER, IN_OTHER, IN_BLANK, START, START
-    # a quote starts a token unless a blank or other signs stand before it
-    to[QUOTE] = IN_QUOTE
-    to[QUOTE, [IN_BLANK, IN_OTHER, IN_QUOTE]] = IN_OTHER
-    to[STMD, IN_QUOTE], to[RV, IN_QUOTE], to[ELL, IN_QUOTE] = DONE, WANTS_E, WANTS_L
-    to[E, WANTS_E], to[ELL, WANTS_L] = DONE, DONE
-    return to.ravel()
-
-
-def scan(symbols):
-    """State after every symbol, for a text that begins in START."""
-    n, to = len(symbols), transitions()
-    columns = -(-n // COLUMN)
-    padded = np.full(columns * COLUMN, END, np.uint8)
-    padded[:n] = symbols
-    steps = np.ascontiguousarray(padded.reshape(columns, COLUMN).T).astype(np.intp) * STATES
-    run = np.tile(np.arange(STATES, dtype=np.uint8), (columns, 1))
-    # most columns soon end in one state whatever they start in; then one state is carried
-    one, several = np.zeros(columns, np.uint8), np.arange(columns)
-    for i, step in enumerate(steps):
-        one = to[step + one]
-        if len(several):
-            run[several] = far = to[step[several, None] + run[several]]
-            if i % 4 == 3:
-                several = several[(far != far[:, :1]).any(1)]
-    settled = np.ones(columns, bool)
-    settled[several] = False
-    run[settled] = one[settled, None]
-    reach = 1
-    while reach < columns:  # prefix scan: the function of all columns up to each
-        run[reach:] = np.take_along_axis(run[reach:], run[:-reach].astype(np.intp), 1)
-        reach *= 2
-    state = np.empty(columns, np.uint8)
-    state[0], state[1:] = START, run[:-1, START]
-    out = np.empty((COLUMN, columns), np.uint8)
-    for i, step in enumerate(steps):
-        out[i] = state = to[step + state]
-    return out.T.ravel()[:n]
-
-
-def starts(symbols):
-    """Whether a match of the pattern starts at each symbol."""
-    state = scan(symbols)
-    before = np.concatenate(([np.uint8(START)], state[:-1]))
-    after = np.concatenate((state[1:], [np.uint8(START)]))
-    blank = (symbols == BLANK) | (symbols == SPACE)
-    blank_before = np.concatenate(([False], blank[:-1]))
-    # the last of several white spaces goes with what follows, if anything does
-    solid_after = np.concatenate((~blank[1:] & (symbols[1:] != END), [False]))
-    first = np.concatenate(([True], symbols[:-1] == END))
-    begun = first.copy()
-    letter = state == IN_LETTER
-    begun |= letter & (before != IN_LETTER) & (before != IN_BLANK) & (before != WANTS_E) & (before != WANTS_L)
-    begun |= ((state == WANTS_E) | (state == WANTS_L)) & (after != DONE)
-    begun |= (state == IN_NUMBER) & (before != IN_NUMBER) & (before != IN_BLANK)
-    begun |= (state == IN_OTHER) & (before != IN_OTHER) & (before != IN_QUOTE) & (before != IN_BLANK)
-    begun |= state == IN_QUOTE
-    begun |= blank & (~blank_before | solid_after)
-    return begun & (symbols != END)
-
-
-def pieces(words):
-    """Cut texts into the pattern's matches: the bytes of each, and each text's first."""
-    ends = np.array([sys.maxunicode + 1], np.uint32)
-    points = np.concatenate([x for w in words for x in (np.frombuffer(w.encode("utf-32-le"), np.uint32), ends)])
-    symbols = classes()[points]
-    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    end = symbols == END
-    width[end] = 0
-    at = np.cumsum(width) - width
-    begun = starts(symbols)
-    cut = at[begun]
-    data = "".join(words).encode()
-    cuts = [*cut.tolist(), len(data)]
-    count = np.cumsum(begun)[end]
-    return [data[i:j] for i, j in zip(cuts, cuts[1:])], [0, *count.tolist()]
-
+#: Above every rank.
+NONE = np.int32(2**31 - 1)
 
 # -- merging -----------------------------------------------------------------------
 
@@ -191,12 +76,8 @@ class Pairs:
         return out
 
 
-#: Above every rank.
-NONE = np.int32(2**31 - 1)
-
-
-class Vocabulary(dict):
-    """A cache: the ids of a piece as little-endian 32-bit integers."""
+class Vocabulary:
+    """Tokens, their merges, and a cache of merged pieces."""
 
     def __init__(self, path):
         with open(path, "rb") as lines:
@@ -209,24 +90,18 @@ class Vocabulary(dict):
         self.start = np.cumsum(self.length) - self.length
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.pair = Pairs(self.ranks)
-
-    def learn(self, cut):
-        """Merge the pieces that the cache lacks, all of about one length together."""
-        new = set(filterfalse(self.__contains__, cut))
-        if len(self) + len(new) > CACHED:
-            self.clear()
-            new = set(cut)
-        shorter = 0
-        for longest in (8, 16, 32):
-            some = [p for p in new if shorter < len(p) <= longest]
-            if some:
-                self.update(zip(some, self._merge_all(some, longest)))
-            shorter = longest
-        for piece in new:
-            if len(piece) > shorter:
-                self[piece] = np.array(self.merge(piece), "<u4").tobytes()
-
-    def _merge_all(self, some, longest):
+        self.cache = PieceCache(self.merge_all)
+
+    def merge_all(self, new):
+        """Ids of pieces that come sorted by length; those of about one length are merged together."""
+        length = [len(p) for p in new]
+        edges = [bisect.bisect_right(length, n) for n in (0, 8, 16, 32)]
+        groups = [self._merge_rows(new[i:j], n) for i, j, n in zip(edges, edges[1:], (8, 16, 32)) if i < j]
+        rest = [self.merge(p) for p in new[edges[-1] :]]
+        groups += [(np.array([len(r)], np.int64), np.array(r, np.int32)) for r in rest]
+        return np.concatenate([c for c, _ in groups]), np.concatenate([i for _, i in groups])
+
+    def _merge_rows(self, some, longest):
         """Merge one pair of every piece per round; a row holds a piece's tokens."""
         count = np.array([len(p) for p in some])
         raw = np.frombuffer(b"".join(p.ljust(longest, b"\0") for p in some), np.uint8).reshape(-1, longest)
@@ -254,9 +129,7 @@ class Vocabulary(dict):
                 pairs[e, first[e]] = self.pair(part[e, first[e]], part[e, first[e] + 1])
             ids[rows], low[rows] = part, pairs
             rows = rows[pairs.min(1) < NONE]
-        out = ids[column[None, :] < count[:, None]].astype("<u4").tobytes()
-        ends = [0, *(4 * np.cumsum(count)).tolist()]
-        return [out[i:j] for i, j in zip(ends, ends[1:])]
+        return count, ids[column[None, :] < count[:, None]]
 
     def merge(self, piece):
         """Join the pair of lowest rank, the leftmost first, until none has a rank."""
@@ -283,10 +156,8 @@ class Vocabulary(dict):
         return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
     def encode(self, words):
-        """Ids of each text, as bytes."""
-        cut, first = pieces(words)
-        self.learn(cut)
-        return [b"".join(map(self.__getitem__, cut[i:j])) for i, j in zip(first, first[1:])]
+        """Ids of each text, as arrays."""
+        return self.cache.texts(words)
 
     def offsets(self, ids):
         """Byte offset in the text at which each id's token ends."""
@@ -321,7 +192,8 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
         vocab = vocabulary(path)
         for batch in slices(batches, "text", SCAN_BYTES):
             ids = vocab.encode(texts(batch))
-            ends = [vocab.offsets(np.frombuffer(i, "<u4")).astype("<u4").tobytes() for i in ids]
+            ends = [vocab.offsets(i) for i in ids]
+            ids, ends = ([x.astype("<u4").tobytes() for x in column] for column in (ids, ends))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], ["row", "ids", "offsets"]
             )

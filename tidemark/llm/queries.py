@@ -4,7 +4,7 @@ Where SQL cannot express a result there is no twin; ``tests/llm`` holds those
 queries against brute force.
 """
 
-from tidemark.llm import byte_bpe, exact_dedup, mixing
+from tidemark.llm import byte_bpe, exact_dedup, mixing, piece_counts, token_files
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -19,6 +19,8 @@ def _query(operator, table="documents"):
 
 QUERIES = {
     "op3_exact_dedup": _query(exact_dedup),
+    "op7_token_files": _query(token_files),
+    "op8_piece_counts": _query(piece_counts),
     "op9_byte_bpe": _query(byte_bpe),
     "op10_mixing": _query(mixing),
 }
