@@ -17,7 +17,7 @@ Defined results
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import stored, whole_text
 
 #: Characters of a chunk: from the first number on it ends at the next cut, at the second in any case.
 SHORTEST, LONGEST = 512, 4096
@@ -63,13 +63,14 @@ def recipes(docs: DataFrame, *keep: str) -> DataFrame:
 def groups(docs: DataFrame, *keep: str) -> DataFrame:
     """Every row with its group: ``row, doc_id, keep_id, group_size, kept, text_sha256``.
 
-    One row per group after partial aggregation meets the rows again, so a group
-    that holds a third of all rows is split by the join like any skewed key.
+    One row per group after partial aggregation meets the rows again.  It is stored
+    first: between two plain exchanges the join splits a group that holds a third
+    of all rows, which it can't when it shares a stage with the aggregation.
     """
     listed = recipes(docs, *keep)
     # the row that stays is the largest id, then the one read first
     rank = F.struct("doc_id", (-F.col("read_at")).alias("first"))
-    best = listed.groupBy("recipe").agg(F.max(rank).alias("best"), F.count("*").alias("group_size"))
+    best = stored(listed.groupBy("recipe").agg(F.max(rank).alias("best"), F.count("*").alias("group_size")), "recipes")
     return listed.join(best, "recipe").select(
         "row",
         "doc_id",
