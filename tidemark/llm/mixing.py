@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, whole_text
+from tidemark.llm.common import WORD, stored, whole_text
 
 #: Mean weights of the sources in order, repeated from the start (fixed values of the contract).
 WEIGHTS = (1, 2, 3)
@@ -127,7 +127,9 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
         F.shiftrightunsigned("h", 64 - PART_BITS).alias("part"),
         F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int").alias("k"),
     )
-    parts = sized.groupBy("key", "part", "k").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
+    # the sums below read this narrow table, not the texts again
+    narrow = stored(sized.drop("row"), "sizes")
+    parts = narrow.groupBy("key", "part", "k").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
     sizes = parts.groupBy("key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     goal = targets(sizes).select(
         "source_size", "target", "weight", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key")
@@ -153,7 +155,7 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
         F.sum("small").over(W.partitionBy("key")).alias("all_small"),
     )
     large = (
-        sized.join(per_part.select("key", "part", "source_size", "rest"), ["key", "part"])
+        narrow.join(per_part.select("key", "part", "source_size", "rest"), ["key", "part"])
         .filter(is_large & (F.col("size") > 0))
         .groupBy("key", "h")
         .agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
