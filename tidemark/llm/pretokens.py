@@ -16,7 +16,7 @@ import numpy as np
 #: Bytes of text scanned at a time, and characters of one column of the scan.
 SCAN_BYTES, COLUMN = 1 << 20, 64
 #: Pieces kept by a cache, as a power of two, and the longest that its table holds.
-CACHE_BITS, TABLE_BYTES = 19, 24
+CACHE_BITS, TABLE_BYTES = 20, 24
 
 # -- the pattern as an automaton ---------------------------------------------------
 

@@ -1,21 +1,22 @@
 """Token files: ids of a corpus, coded by a static range asymmetric numeral system.
 
 Documents are range-sorted by ``doc_id``, encoded with a public tokenizer, and written
-as blocks of about ``BLOCK_TOKENS`` ids, whole documents each.  All blocks share one
-frequency table, counted over the whole corpus.  In a block the ids are dealt to
+as segments of about ``SEGMENT_TOKENS`` ids, whole documents each.  A segment's blocks
+share one frequency table, counted over all its ids.  In a block the ids are dealt to
 ``LANES`` coder states that advance together as numpy arrays; their 32-bit words are
 interleaved in one stream.  Every ``CHECKPOINT`` steps the states and the place in the
-stream are noted, so that a long block can be decoded by several readers.  A block
-carries its documents' ids and lengths and a checksum, and is decoded by itself.
+stream are noted, so that a block can be decoded by several readers.  A block carries its
+documents' ids and lengths and a checksum, and needs nothing but the table.
 
-The files are Parquet with one block per row, so that Spark's writers and readers reach
-them wherever they are: ``part`` and ``seq`` (order of the blocks), ``n_docs``,
-``n_tokens``, ``block``; beside them the folder ``table`` with ``id, freq``.
+The files are Parquet with one segment per row, so that Spark's writers and readers reach
+them wherever they are: ``part`` and ``seq`` (order of the segments), ``n_tokens``,
+``table`` (ids and frequencies) and ``blocks``.  A task holds one segment at a time, and
+no count passes through the driver.
 
 Defined results
     NULL text is the empty text: the end id alone.  Rows go in the order of ``doc_id``,
     NULL first, equal ones by a hash of their text; all are written.  An empty table
-    gives no blocks.  The caller's further columns are not looked at.
+    gives no segments.  The caller's further columns are not looked at.
 """
 
 import os
@@ -37,7 +38,9 @@ from tidemark.storage import shared_folder
 
 #: Id that ends a document (fixed value of the contract).
 END_ID = 0
-BLOCK_TOKENS, LANES, CHECKPOINT = 1 << 18, 1024, 128
+SEGMENT_TOKENS, BLOCK_TOKENS, LANES, CHECKPOINT = 1 << 22, 1 << 18, 1024, 128
+#: Segments handed to a reader at a time.
+SEGMENT_ROWS = 4
 #: Frequencies add up to 2^SCALE_BITS; a state lies between 2^LOW_BITS and 2^(LOW_BITS+32), so that
 #: quotients of doubles are exact and a step writes one word per lane at most.
 SCALE_BITS, LOW_BITS = 20, 20
@@ -77,22 +80,6 @@ def encoder(path):
     return Encoder(path)
 
 
-def frequencies(docs: DataFrame, path: str) -> DataFrame:
-    """``id, n`` over the whole corpus, summed per task before the shuffle."""
-
-    def run(batches):
-        n = np.zeros(0, np.int64)
-        for batch in slices(batches, "text", SCAN_BYTES):
-            found = np.bincount(np.concatenate(encoder(path).documents(texts(batch))))
-            if len(found) > len(n):
-                n, found = found, n
-            n[: len(found)] += found
-        ids = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], ["id", "n"])
-
-    return docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-
-
 def scaled(ids, n):
     """Frequencies with the sum 2^SCALE_BITS, at least 1 each; ids sorted."""
     order = np.argsort(ids)
@@ -112,6 +99,22 @@ def scaled(ids, n):
 class Table:
     """A frequency table as arrays by id and by slot."""
 
+    @classmethod
+    def of(cls, ids):
+        n = np.bincount(ids)
+        found = np.flatnonzero(n)
+        return cls(*scaled(found, n[found]))
+
+    @classmethod
+    def unpack(cls, data):
+        pairs = np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64).reshape(2, -1)
+        return cls(np.cumsum(pairs[0]), pairs[1])
+
+    def pack(self):
+        """Steps from id to id, then the frequencies."""
+        ids = np.flatnonzero(self.freq)
+        return zlib.compress(np.concatenate((np.diff(ids, prepend=0), self.freq[ids])).astype("<u4").tobytes())
+
     def __init__(self, ids, freq):
         size = int(ids.max()) + 1
         self.freq, self.start = np.zeros(size, np.int64), np.zeros(size, np.int64)
@@ -214,108 +217,102 @@ def unpack(block):
 
 # -- files -------------------------------------------------------------------------
 
+SCHEMA = "part long, seq long, n_tokens long, table binary, blocks array<binary>"
+
+
+def segment(doc_ids, tokens):
+    """Table and blocks of some documents, in order."""
+    table, blocks, start, size = Table.of(np.concatenate(tokens)), [], 0, 0
+    for i, ids in enumerate(tokens):
+        if i > start and size + len(ids) > BLOCK_TOKENS:
+            blocks.append((start, i))
+            start, size = i, 0
+        size += len(ids)
+    blocks.append((start, len(tokens)))
+    packed = [pack(doc_ids[i:j], [len(x) for x in tokens[i:j]], np.concatenate(tokens[i:j]), table) for i, j in blocks]
+    return table.pack(), packed
+
 
 def write(docs: DataFrame, path: str, folder: str) -> None:
-    """Encode ``doc_id, text`` and write the files."""
-    spark = docs.sparkSession
-    frequencies(docs, path).write.parquet(f"{folder}/counts")
-    # one row per id that occurs: no more than the vocabulary has
-    found = spark.read.parquet(f"{folder}/counts").toPandas()
-    if not len(found):
-        ids, freq = np.zeros(1, np.int64), np.full(1, 1 << SCALE_BITS)
-    else:
-        ids, freq = scaled(found["id"].to_numpy(), found["n"].to_numpy())
-    rows = list(zip(ids.tolist(), freq.tolist()))
-    spark.createDataFrame(rows, "id long, freq long").coalesce(1).write.parquet(f"{folder}/table")
-    shared = spark.sparkContext.broadcast((ids, freq))
+    """Encode ``doc_id, text`` and write the files.
+
+    ``path`` names a tokenizer file that every executor can open.
+    """
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, seq, table = TaskContext.get().partitionId(), 0, Table(*shared.value)
+        part, seq, held, tokens, size = TaskContext.get().partitionId(), 0, [], [], 0
 
-        def block():
+        def row():
+            table, blocks = segment(held, tokens)
+            values = [[part], [seq], [size], [table], [blocks]]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int64()),
-                    pa.array([seq], pa.int64()),
-                    pa.array([len(held)], pa.int64()),
-                    pa.array([size], pa.int64()),
-                    pa.array([pack(held, [len(x) for x in tokens], np.concatenate(tokens), table)], pa.binary()),
-                ],
-                ["part", "seq", "n_docs", "n_tokens", "block"],
+                [pa.array(v, k) for v, k in zip(values, kinds)], ["part", "seq", "n_tokens", "table", "blocks"]
             )
 
-        held, tokens, size = [], [], 0
         for batch in slices(batches, "text", SCAN_BYTES):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(path).documents(texts(batch))):
-                if held and size + len(ids) > BLOCK_TOKENS:
-                    yield block()
+                if held and size + len(ids) > SEGMENT_TOKENS:
+                    yield row()
                     held, tokens, size, seq = [], [], 0, seq + 1
                 held.append(doc_id)
                 tokens.append(ids)
                 size += len(ids)
         if held:
-            yield block()
+            yield row()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    schema = "part long, seq long, n_docs long, n_tokens long, block binary"
-    ordered.mapInArrow(run, schema).write.parquet(f"{folder}/blocks")
+    ordered.mapInArrow(run, SCHEMA).write.parquet(folder)
 
 
 def read(spark, folder: str, digest, fields: T.StructType) -> DataFrame:
-    """Decode all blocks: ``doc_id, start`` and what ``digest(ids)`` gives of each document.
+    """Decode all blocks: ``doc_id, start, n_tokens`` and what ``digest(ids)`` gives of each document.
 
-    ``start`` counts the ids before the document: whole parts, then blocks of the
-    part, then documents of the block.
+    ``start`` counts the ids before the document: whole parts, then segments of the
+    part, then documents of the segment.
     """
-    blocks = spark.read.parquet(f"{folder}/blocks")
-    sizes = blocks.select("part", "seq", "n_tokens")
+    segments = spark.read.schema(SCHEMA).parquet(folder)
+    sizes = segments.select("part", "seq", "n_tokens")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row per written part
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")
-    )
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
     within = W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        "part", "seq", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("seq_start")
-    ).join(parts, "part")
-    placed = starts.select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("block_start"))
-    table = [tuple(r) for r in spark.read.parquet(f"{folder}/table").collect()]  # bounded by the vocabulary
-    shared = spark.sparkContext.broadcast(tuple(np.array(x, np.int64) for x in zip(*table)))
+    starts = sizes.select("part", "seq", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("seq_start"))
+    starts = starts.join(parts, "part").select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("first"))
     schema = T.StructType(
         [*(T.StructField(c, T.LongType()) for c in ("part", "seq", "doc_id", "n_before", "n_tokens")), *fields]
     )
 
     def run(batches):
-        freq = Table(*shared.value)
         for batch in batches:
-            for part, seq, block in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "block"))):
-                doc_ids, lengths, n, points, stream = unpack(block)
-                ids = decode_ids(n, points, stream, freq)
-                ends = np.cumsum(lengths)
-                found = [digest(x) for x in np.split(ids, ends[:-1])]
-                columns = [
-                    pa.array([part] * len(doc_ids), pa.int64()),
-                    pa.array([seq] * len(doc_ids), pa.int64()),
-                    pa.array(doc_ids, pa.int64()),
-                    pa.array(ends - lengths),
-                    pa.array(lengths),
-                    *(pa.array(list(column)) for column in zip(*found)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BLOCK_ROWS)
-    decoded = blocks.select("part", "seq", "block").mapInArrow(run, schema)
-    return decoded.join(placed, ["part", "seq"]).select(
-        "doc_id", (F.col("block_start") + F.col("n_before")).alias("start"), "n_tokens", *fields.names
+            for part, seq, table, blocks in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "table", "blocks"))):
+                freq, done = Table.unpack(table), 0
+                for block in blocks:
+                    doc_ids, lengths, n, points, stream = unpack(block)
+                    ids = decode_ids(n, points, stream, freq)
+                    ends = np.cumsum(lengths)
+                    found = [digest(x) for x in np.split(ids, ends[:-1])]
+                    columns = [
+                        pa.array([part] * len(doc_ids), pa.int64()),
+                        pa.array([seq] * len(doc_ids), pa.int64()),
+                        pa.array(doc_ids, pa.int64()),
+                        pa.array(done + ends - lengths),
+                        pa.array(lengths),
+                        *(pa.array(list(column)) for column in zip(*found)),
+                    ]
+                    done += n
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", SEGMENT_ROWS)
+    decoded = segments.select("part", "seq", "table", "blocks").mapInArrow(run, schema)
+    return decoded.join(starts, ["part", "seq"]).select(
+        "doc_id", (F.col("first") + F.col("n_before")).alias("start"), "n_tokens", *fields.names
     )
 
 
-#: Blocks handed to a reader at a time.
-BLOCK_ROWS = 16
-
-
 def crc(ids):
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
     return (zlib.crc32(ids.astype("<u4").tobytes()),)
