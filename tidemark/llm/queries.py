@@ -4,7 +4,7 @@ Where SQL cannot express a result there is no twin; ``tests/llm`` holds those
 queries against brute force.
 """
 
-from tidemark.llm import byte_bpe, exact_dedup, fingerprints, mixing, ngram_join, piece_counts, token_files
+from tidemark.llm import byte_bpe, chat_format, exact_dedup, fingerprints, mixing, ngram_join, piece_counts, token_files
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -19,6 +19,7 @@ def _query(operator, table="documents"):
 
 QUERIES = {
     "op1_fingerprints": _query(fingerprints),
+    "op2_chat_format": _query(chat_format, "conversations"),
     "op3_exact_dedup": _query(exact_dedup),
     "op6_ngram_join": _query(ngram_join),
     "op7_token_files": _query(token_files),
@@ -28,6 +29,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_chat_format": _query(chat_format, "conversations"),
     "op3_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
