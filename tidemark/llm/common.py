@@ -9,12 +9,13 @@ from tidemark.storage import shared_folder
 
 #: A word, as all word-based operators take it (fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows handed to Python at a time: 256 very long texts still fit a worker.
-BATCH_ROWS = 256
+#: Rows and bytes handed to Python at a time; a longer text comes by itself.
+BATCH_ROWS, BATCH_BYTES = 8192, "8m"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -4,7 +4,7 @@ Where SQL cannot express a result there is no twin; ``tests/llm`` holds those
 queries against brute force.
 """
 
-from tidemark.llm import byte_bpe, chat_format, exact_dedup, fingerprints, mixing, ngram_join, piece_counts, token_files, toxicity
+from tidemark.llm import byte_bpe, chat_format, exact_dedup, fingerprints, mixing, ngram_join, piece_counts, substring_dedup, token_files, toxicity
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -26,6 +26,7 @@ QUERIES = {
     "op1_fingerprints": _query(fingerprints),
     "op2_chat_format": _query(chat_format, "conversations"),
     "op3_exact_dedup": _query(exact_dedup),
+    "op4_substring_dedup": _query(substring_dedup),
     "op5_toxicity": _toxicity,
     "op6_ngram_join": _query(ngram_join),
     "op7_token_files": _query(token_files),

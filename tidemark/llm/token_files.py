@@ -39,8 +39,6 @@ from tidemark.storage import shared_folder
 #: Id that ends a document (fixed value of the contract).
 END_ID = 0
 SEGMENT_TOKENS, BLOCK_TOKENS, LANES, CHECKPOINT = 1 << 22, 1 << 18, 1024, 128
-#: Segments handed to a reader at a time.
-SEGMENT_ROWS = 4
 #: Frequencies add up to 2^SCALE_BITS; a state lies between 2^LOW_BITS and 2^(LOW_BITS+32), so that
 #: quotients of doubles are exact and a step writes one word per lane at most.
 SCALE_BITS, LOW_BITS = 20, 20
@@ -306,7 +304,6 @@ def read(spark, folder: str, digest, fields: T.StructType) -> DataFrame:
                     done += n
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", SEGMENT_ROWS)
     decoded = segments.select("part", "seq", "table", "blocks").mapInArrow(run, schema)
     return decoded.join(starts, ["part", "seq"]).select(
         "doc_id", (F.col("first") + F.col("n_before")).alias("start"), "n_tokens", *fields.names
