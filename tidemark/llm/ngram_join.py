@@ -331,10 +331,15 @@ def _columns(table):
 ROW = "key", "cut", "role", "node", "n", "payload"
 
 
-def links(rows: DataFrame, kind) -> DataFrame:
+def _any_large(rows: DataFrame) -> bool:
+    return not rows.filter("cuts > 1").isEmpty()
+
+
+def links(rows: DataFrame, kind, any_large: bool) -> DataFrame:
     """``a, b`` that connect the groups of ``key, node, n, payload, cuts``.
 
-    ``cuts`` is the number of blocks that a group is cut in.
+    ``cuts`` is the number of blocks that a group is cut in, ``any_large`` whether any is
+    cut in more than one.
     """
     one = rows.filter("cuts = 1").select("key", F.lit(0).alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
     large = rows.filter("cuts > 1")
@@ -352,7 +357,7 @@ def links(rows: DataFrame, kind) -> DataFrame:
         ordered = some.select(*ROW).repartition("key", "cut").sortWithinPartitions("key", "cut", "role", "node")
         return ordered.mapInArrow(_compare(kind), "key long, a long, b long")
 
-    if large.isEmpty():
+    if not any_large:
         return compared(one).select("a", "b").filter("a <> b").distinct()
     first = stored(compared(one.union(member).union(pivot)), "links")
     strays = first.filter("a = b").select("key", F.col("a").alias("node")).distinct()
@@ -389,11 +394,12 @@ def joined(docs: DataFrame) -> DataFrame:
     rows = stored(rows, "sets")
     classes = stored(class_table(rows), "classes")
 
-    token = classes.select(F.explode("prefix").alias("key"), "node", "n")
+    token = classes.select(F.explode("prefix").alias("key"), "node")
     shared = token.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
-    token = token.join(shared, "key").join(classes.select("node", F.col("blocks").alias("payload")), "node")
-    token = stored(token.withColumn("cuts", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")), "shared")
-    grouped = components(links(token, ByBlocks))
+    shared = shared.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("cuts"))
+    token = stored(token.join(shared, "key"), "shared")
+    filled = token.join(classes.select("node", "n", F.col("blocks").alias("payload")), "node")
+    grouped = components(links(filled, ByBlocks, _any_large(token)))
 
     grouped = grouped.join(classes.select("node", "low", "n"), "node")
     size = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
@@ -403,7 +409,7 @@ def joined(docs: DataFrame) -> DataFrame:
         grouped.join(size, "component").select("node", F.col("component").alias("key"), "cuts", F.xxhash64("low").alias("at")),
         "members",
     )
-    link = stored(links(_with_sets(source, member), BySets), "links")
+    link = stored(links(_with_sets(source, member), BySets, _any_large(member)), "links")
     named = components(link)
 
     low = classes.select("node", "low").join(named, "node", "left")
