@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import batch
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, SILVER
 from tidemark.sources import catalog, events
-from tidemark.storage import append_partitions, is_path, overwrite_partitions, read_layer, shared_folder
+from tidemark.storage import append_partitions, is_path, read_layer, shared_folder
+from tidemark.streaming.ingest import write_batch
 
 SF_DIR = "/root/testdata/sf0.001"
 DAY = "2024-01-15"
@@ -57,7 +59,7 @@ def test_default_day_is_yesterday(spark, paths):
 
 def test_catalog_tables(spark):
     catalog.create_layers(spark)
-    overwrite_partitions(events.bronze(spark, SF_DIR), "bronze.transactions", "date_partition")
+    write_batch(events.bronze(spark, SF_DIR), 0, "bronze.transactions")
     names = ("bronze.transactions", "silver.transactions", "gold.daily_account_summary", "gold.merchant_summary")
     batch.backfill(spark, *names, "2024-01-01", "2024-01-30")
     total = spark.table("silver.transactions").count()
@@ -68,6 +70,17 @@ def test_catalog_tables(spark):
     assert spark.table("silver.transactions").count() == total == 891
 
 
+def test_backfill_empties_days_that_lost_their_rows(spark, tmp_path):
+    names = {n: str(tmp_path / n) for n in ("bronze", "silver", "accounts", "merchants")}
+    rows = events.bronze(spark, SF_DIR).filter("date_partition IN ('2024-01-14', '2024-01-15')")
+    declined = rows.withColumn("status", F.when(F.col("date_partition") == "2024-01-15", "DECLINED").otherwise(F.col("status")))
+    for bronze, days in ((rows, 2), (declined, 1)):
+        bronze.write.mode("overwrite").partitionBy("date_partition").parquet(names["bronze"])
+        batch.backfill(spark, **names, first_day="2024-01-14", last_day="2024-01-15")
+        for name, day in (("silver", "date_partition"), ("accounts", "transaction_date"), ("merchants", "transaction_date")):
+            assert spark.read.parquet(names[name]).select(day).distinct().count() == days
+
+
 def test_layer_schemas(spark, paths):
     batch.run_day(spark, **paths, day=DAY)
     assert len(read_layer(spark, paths["bronze"], BRONZE).columns) == 14

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import history, maintenance
+from tidemark.operators import history
 from tidemark.sources import catalog, events
 from tidemark.streaming.ingest import read_bronze
 
@@ -60,40 +60,13 @@ def test_files(spark, stored):
     assert history.files(table, 10).count() == 10
 
 
-def test_compaction_keeps_rows_and_merges_files(spark, stored, tmp_path):
-    table, target = read_bronze(spark, stored), str(tmp_path / "compacted")
-    maintenance.compact(spark, table, target, ["date_partition"])
-    compacted = spark.read.schema(table.schema).parquet(target)
-    assert multiset(compacted, "_batch_id") == multiset(table, "_batch_id")
-    assert len(compacted.inputFiles()) < len(table.inputFiles())
-    with pytest.raises(ValueError, match="new folder"):
-        maintenance.compact(spark, table, target, ["date_partition"])
-
-
-def test_expiry_folds_old_commits_only(spark, stored, tmp_path):
-    table, target = read_bronze(spark, stored), str(tmp_path / "folded")
-    maintenance.expire_batches(spark, table, target, "2024-01-21 00:00:00")
-    assert {r[0] for r in read_bronze(spark, target).select("_batch_id").distinct().collect()} == {19}
-    kept = maintenance.read_folded(spark, table, target)
-    assert multiset(kept) == multiset(table)
-    assert kept.agg(F.min("_batch_id")).first()[0] == 19
-    assert multiset(history.as_of_batch(kept, 25)) == multiset(history.as_of_batch(table, 25))
-
-
-def test_nothing_to_expire(spark, stored, tmp_path):
-    table, target = read_bronze(spark, stored), str(tmp_path / "folded")
-    maintenance.expire_batches(spark, table, target, "2000-01-01 00:00:00", log=history.snapshots(table))
-    kept = maintenance.read_folded(spark, table, target)
-    assert multiset(kept, "_batch_id") == multiset(table, "_batch_id")
-
-
 def test_columns_added_later(spark, tmp_path):
     old, new = spark.createDataFrame([(1,)], "a INT"), spark.createDataFrame([(2, "x")], "a INT, b STRING")
     assert sorted(tuple(r) for r in history.evolve(old, new).collect()) == [(1, None), (2, "x")]
     path = str(tmp_path / "files")
     old.write.parquet(path)
     new.write.mode("append").parquet(path)
-    assert sorted(tuple(r) for r in history.read_evolved(spark, path).collect()) == [(1, None), (2, "x")]
+    assert sorted(tuple(r) for r in history.read_evolved(spark, path, "a INT, b STRING").collect()) == [(1, None), (2, "x")]
 
 
 def test_catalog(spark):

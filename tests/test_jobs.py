@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import jobs
-from tidemark.operators import history
 from tidemark.plans.catalogue import REPORTS, run_report
 from tidemark.sources import events
 from tidemark.streaming import ingest
@@ -21,7 +20,7 @@ def folder(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("jobs")
     events.as_envelope(events.read_events(spark, SF_DIR)).write.parquet(str(folder / "topic"))
     source = ["--format", "parquet", "--path", folder / "topic"]
-    run(spark, "ingest", *source, "--target", folder / "bronze", "--checkpoint", folder / "cp", "--log", folder / "log", "--once")
+    run(spark, "ingest", *source, "--target", folder / "bronze", "--checkpoint", folder / "cp", "--once")
     layers = [x for n in ("bronze", "silver", "accounts", "merchants") for x in (f"--{n}", folder / n)]
     run(spark, "backfill", *layers, "--first-day", "2024-01-01", "--last-day", "2024-01-30")
     run(spark, "batch", *layers, "--day", "2024-01-30")
@@ -33,15 +32,6 @@ def test_layers_were_written(spark, folder):
     assert spark.read.parquet(str(folder / "accounts")).agg(F.sum("total_transactions")).first()[0] == 891
 
 
-def test_commit_log_serves_time_travel(spark, folder):
-    table, log = ingest.read_bronze(spark, str(folder / "bronze")), ingest.read_log(spark, str(folder / "log"))
-    assert sorted(log.columns) == sorted(history.snapshots(table).columns)
-    ours = log.select("snapshot_id", "operation", "summary").collect()
-    assert ours == history.snapshots(table).select("snapshot_id", "operation", "summary").collect()
-    assert history.as_of_time(table, "2100-01-01 00:00:00", log).count() == 1050
-    assert history.as_of_time(table, "2000-01-01 00:00:00", log).count() == 0
-
-
 def test_diagnostics(spark, folder, capsys):
     source = ["--format", "parquet", "--path", folder / "topic"]
     run(spark, "peek", *source)
@@ -54,6 +44,8 @@ def test_report_job(spark, folder, capsys):
     assert "WITHDRAWAL" in capsys.readouterr().out
     run(spark, "report", "busy_accounts", "--silver", folder / "silver", "--option", "more_than=55")
     assert "ACC1005" in capsys.readouterr().out
+    run(spark, "report", "bronze_type_counts", "--bronze", folder / "bronze", "--output", folder / "report")
+    assert spark.read.parquet(str(folder / "report")).agg(F.sum("count")).first()[0] == 1050
 
 
 NEEDS = {

@@ -70,14 +70,20 @@ def test_latest_and_topk(spark):
     assert [r.value for r in metrics.topk(newest, 3).collect()] == [75.0, 65.0, 55.0]
 
 
-def test_sum_by_and_busy_percent(spark):
+def test_sum_by(spark):
     data = samples(
         spark, (0, "idle", {"h": "a", "cpu": "0"}, 0), (150, "idle", {"h": "a", "cpu": "0"}, 150),
         (0, "idle", {"h": "a", "cpu": "1"}, 0), (150, "idle", {"h": "a", "cpu": "1"}, 75),
     )
-    rates = metrics.rate(data, 300)
-    assert metrics.sum_by(rates, "h").first().rate == pytest.approx(0.75)
-    assert metrics.busy_percent(rates, "h").first().busy_pct == pytest.approx(62.5)
+    assert metrics.sum_by(metrics.rate(data, 300), "h").first().rate == pytest.approx(0.75)
+
+
+def test_quantile_in_a_first_bucket_below_zero(spark):
+    window = F.lit("2024-01-01").cast("timestamp").alias("window_start")
+    buckets = spark.createDataFrame(
+        [({"le": "-10", "h": "a"}, 5.0), ({"le": "+Inf", "h": "a"}, 8.0)], "labels MAP<STRING, STRING>, rate DOUBLE"
+    ).select("labels", window, "rate")
+    assert metrics.histogram_quantile(0.5, buckets, "h").first().quantile == -10.0
 
 
 @pytest.mark.parametrize("q, expected", [(0.5, 10.0), (0.25, 5.0), (0.6, 46.0), (0.75, 100.0), (0.99, 100.0), (0.0, None)])

@@ -11,7 +11,7 @@ from tidemark.storage import overwrite_partitions, read_layer
 
 SF_DIR = "/root/testdata/sf0.001"
 BANNED = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas")
-WRITES_OR_STREAMS = {n for n in QUERIES if n.startswith(("stream_", "table_compacted", "table_expired", "layers_"))}
+WRITES_OR_STREAMS = {n for n in QUERIES if n.startswith(("stream_", "layers_"))}
 
 
 def text(df):

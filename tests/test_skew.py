@@ -31,7 +31,6 @@ NAMES = [
     "latest_by_key",
     "bronze_as_of_timestamp",
     "table_snapshots",
-    "table_expired",
     "metric_rate",
     "metric_histogram_quantile",
     "layers_backfilled",

@@ -16,8 +16,14 @@ def money(col) -> Column:
 
 
 def exact(col) -> Column:
-    """Raw amounts to a millionth, so that sums do not depend on their order."""
-    return _column(col).try_cast("decimal(24,6)")
+    """Raw amounts as decimals, so that sums do not depend on their order.
+
+    28 digits before the point hold any amount there is; NaN, infinity and more
+    fail the query rather than leave a row out of a total.
+    """
+    raw = _column(col)
+    number = raw.try_cast("decimal(34,6)")
+    return F.when(raw.isNotNull() & number.isNull(), F.raise_error(F.lit("an amount is no finite number"))).otherwise(number)
 
 
 def total(col) -> Column:

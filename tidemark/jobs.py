@@ -44,8 +44,9 @@ def _parser():
     job.add_argument("--target", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--dead-letters")
-    job.add_argument("--log")
-    job.add_argument("--max-offsets", type=int, default=10000)
+    job.add_argument("--max-offsets", type=int, help="records a trigger takes of a topic; all by default")
+    job.add_argument("--max-files", type=int, help="files a trigger takes of a folder; all by default")
+    job.add_argument("--compression", default="snappy")
     job.add_argument("--every", default="30 seconds")
     job.add_argument("--once", action="store_true", help="take what is there, then stop")
     topic(jobs.add_parser("peek"))
@@ -66,13 +67,18 @@ def _parser():
         job.add_argument(f"--{layer.replace('_', '-')}")
     job.add_argument("--option", action="append", default=[], help="name=value, e.g. n=20")
     job.add_argument("--rows", type=int, default=100, help="rows to print")
+    job.add_argument("--output", help="folder for the whole result, as Parquet, instead of printing")
     return parser
 
 
 def _source(spark, args, streaming):
     if args.format != "kafka":
-        read = envelope.stream_envelope if streaming else envelope.read_envelope
-        return read(spark, args.format, args.path)
+        if not streaming:
+            return envelope.read_envelope(spark, args.format, args.path)
+        files = getattr(args, "max_files", None)
+        return envelope.stream_envelope(
+            spark, args.format, args.path, **({} if files is None else {"maxFilesPerTrigger": str(files)})
+        )
     if not streaming:
         return envelope.read_envelope(spark, **envelope.topic_batch_options(args.servers, args.topic, args.min_partitions))
     limit = getattr(args, "max_offsets", None)
@@ -83,7 +89,7 @@ def _run(spark, args):
     if args.job == "ingest":
         trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
         source = _source(spark, args, streaming=True)
-        ingest.start_ingest(source, args.target, args.checkpoint, trigger, args.dead_letters, args.log).awaitTermination()
+        ingest.start_ingest(source, args.target, args.checkpoint, trigger, args.dead_letters, args.compression).awaitTermination()
     elif args.job == "peek":
         print(ingest.preview(envelope.envelope_text(_source(spark, args, streaming=False))), "records")
     elif args.job == "watch":
@@ -92,7 +98,13 @@ def _run(spark, args):
     elif args.job == "report":
         tables = {layer: getattr(args, layer) for layer in LAYERS if getattr(args, layer)}
         options = {k: _literal(v) for k, v in (o.split("=", 1) for o in args.option)}
-        run_report(spark, args.name, tables, **options).show(args.rows, truncate=False)
+        result = run_report(spark, args.name, tables, **options)
+        if args.output:
+            result.write.parquet(args.output)
+        else:
+            result.show(args.rows, truncate=False)
+            if not result.offset(args.rows).isEmpty():
+                print(f"only the first {args.rows} rows are shown; --output stores all")
     else:
         layers = {n: getattr(args, n) for n in ("bronze", "silver", "accounts", "merchants")}
         if args.job == "batch":

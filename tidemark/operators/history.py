@@ -82,6 +82,10 @@ def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def read_evolved(spark, path: str) -> DataFrame:
-    """Read files written before and after columns were added."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_evolved(spark, path: str, schema: str) -> DataFrame:
+    """Read files written before and after columns were added.
+
+    ``schema`` is the table's with the new columns: no footer is read to infer it, and
+    date text stays text.  Older files give NULL for what they lack.
+    """
+    return spark.read.schema(schema).parquet(path)

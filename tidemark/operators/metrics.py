@@ -80,13 +80,6 @@ def sum_by(rates: DataFrame, *names: str) -> DataFrame:
     return rates.groupBy(*keys, "window_start").agg(_exact_sum("rate").alias("rate"))
 
 
-def busy_percent(idle_rates: DataFrame, *names: str) -> DataFrame:
-    """100 minus the mean idle rate in percent, per label set and window."""
-    keys = [label(n).alias(n) for n in names]
-    idle = _exact_sum("rate") / F.count("rate")
-    return idle_rates.groupBy(*keys, "window_start").agg((F.lit(100.0) - idle * 100).alias("busy_pct"))
-
-
 def _exact_sum(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(38,12)")).cast("double")
 
@@ -124,7 +117,9 @@ def histogram_quantile(q: float, bucket_rates: DataFrame, *names: str) -> DataFr
     )
     lower, below = F.coalesce("lower", F.lit(0.0)), F.coalesce("below", F.lit(0.0))
     inside = lower + (F.col("le") - lower) * (F.col("rank") - below) / (F.col("upto") - below)
-    value = F.when(F.col("le") == F.lit(float("inf")), F.col("lower")).otherwise(inside)
+    # a first bucket that ends at or below zero has no lower end to measure from
+    at_bound = F.col("lower").isNull() & (F.col("le") <= 0)
+    value = F.when(F.col("le") == F.lit(float("inf")), F.col("lower")).when(at_bound, F.col("le")).otherwise(inside)
     return ranked.filter(found).select(*names, "window_start", value.alias("quantile"))
 
 

@@ -38,20 +38,28 @@ TIE_BREAK = (
 )
 
 
-def dedup_transactions(bronze: DataFrame) -> DataFrame:
+EVERY_COLUMN = (*TIE_BREAK, "is_fraud", "location", "customer", "metadata")
+
+
+def dedup_transactions(bronze: DataFrame, tie_break=EVERY_COLUMN) -> DataFrame:
     """Earliest delivery of each transaction id within each date partition.
 
-    The id leads the sort key: its first bytes already decide most
+    Deliveries of one time are told apart by ``tie_break``, all columns unless the
+    caller reads fewer.  The id leads the sort key: its first bytes already decide most
     comparisons, while the date text starts alike everywhere.
     """
     return first_per_key(
         bronze,
         ["transaction_id", "date_partition"],
-        ["ingestion_timestamp", *TIE_BREAK],
+        ["ingestion_timestamp", *tie_break],
     )
 
 
 def latest_by_key(envelope: DataFrame) -> DataFrame:
-    """Compacted-topic view: the newest record of every key."""
-    order = [F.col("timestamp").desc(), F.col("partition"), F.col("offset").desc()]
+    """Compacted-topic view: the record of every key with the highest offset.
+
+    A topic keeps a key in one partition; should it not, the newest time decides
+    between partitions that have equal offsets.
+    """
+    order = [F.col("offset").desc(), F.col("timestamp").desc(), F.col("partition")]
     return first_per_key(envelope, ["key"], order)

@@ -41,8 +41,8 @@ deliveries AS (
     SELECT *,
         (user_id * 3 + event_id) % 10 AS place,
         event_id * 2 + copy AS "offset",
-        CAST(event_id % 3 AS INTEGER) AS "partition",
-        CAST(day(ts) - 1 AS BIGINT) AS _batch_id,
+        CAST(user_id % 3 AS INTEGER) AS "partition",
+        CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS BIGINT) AS _batch_id,
         'TXN-' || event_id AS transaction_id,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
         'ACC' || (1000 + user_id) AS account_id,
@@ -184,19 +184,11 @@ JSON = _json(
         session_id=_quoted("'S-' || event_id"),
     ),
 )
-SHORT_JSON = _json(
-    transaction_id=_quoted("transaction_id"),
-    account_id=_quoted("account_id"),
-    transaction_type=_quoted("transaction_type"),
-    is_fraud="CAST(is_fraud AS VARCHAR)",
-    status=_quoted("status"),
-)
-
 KEYS = "transaction_id, account_id, amount, ingestion_timestamp, date_partition, _batch_id"
-DAMAGED = '("offset" IS NULL OR "offset" % 97 = 0 OR "offset" % 89 = 0)'
+DAMAGED = 'coalesce("offset" % 97 = 0, false)'
 
 BUCKETS = (10, 50, 100, 500)
-COUNTERS = ("n", "volume", "idle", *[f"le_{b}" for b in BUCKETS])
+COUNTERS = ("n", "volume", *[f"le_{b}" for b in BUCKETS])
 
 SAMPLES = f"""
 per_minute AS (
@@ -206,7 +198,7 @@ per_minute AS (
     FROM events WHERE ts IS NOT NULL GROUP BY ALL
 ),
 filled AS (
-    SELECT *, 60 - least(60, volume) AS idle,
+    SELECT *,
         broker_host = 'kafka-2' AND ts >= TIMESTAMP '2024-01-16' AS epoch
     FROM per_minute
 ),
@@ -218,7 +210,6 @@ counters AS (
 samples AS (
     SELECT 'messages_total' AS metric, kind, broker_host, '' AS mode, '' AS le, ts, n AS value FROM counters
     UNION ALL SELECT 'bytes_total', kind, broker_host, '', '', ts, volume FROM counters
-    UNION ALL SELECT 'cpu_seconds_total', kind, broker_host, 'idle', '', ts, idle FROM counters
     {" ".join(f"UNION ALL SELECT 'duration_bucket', kind, broker_host, '', '{b}', ts, le_{b} FROM counters" for b in BUCKETS)}
     UNION ALL SELECT 'duration_bucket', kind, broker_host, '', '+Inf', ts, n FROM counters
 ),
@@ -294,15 +285,21 @@ ORACLES = {
     "decode_transactions": f"WITH {DELIVERIES} SELECT {FLAT} FROM bronze",
     "bronze_enrich": f"""WITH {DELIVERIES}
         SELECT {FLAT}, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp, date_partition FROM bronze""",
-    "encode_envelope": f"WITH {DELIVERIES} SELECT account_id AS key, {SHORT_JSON} AS value FROM bronze",
+    "encode_envelope": f"WITH {DELIVERIES} SELECT account_id AS key, {JSON} AS value FROM bronze",
     "stream_bronze_ingest": f"""WITH {DELIVERIES}
         SELECT {FLAT}, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp, date_partition FROM bronze""",
     "dead_letter_split": f"""WITH {DELIVERIES}
         SELECT account_id AS key, "partition", "offset", {DAMAGED} AS dead FROM bronze""",
     "stream_dead_letters": f"""WITH {DELIVERIES}
-        SELECT account_id AS key, CASE WHEN "offset" % 97 = 0 THEN 'garbage' END AS value, "partition", "offset"
+        SELECT account_id AS key, 'garbage' AS value, "partition", "offset"
         FROM bronze WHERE {DAMAGED}""",
-    "stream_dedup": f"WITH {DELIVERIES} SELECT DISTINCT transaction_id FROM bronze",
+    "stream_dedup": f"""WITH {DELIVERIES},
+        told AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY transaction_id ORDER BY ingestion_timestamp NULLS FIRST, "partition" NULLS FIRST, "offset"
+            ) AS delivery FROM bronze WHERE transaction_id IS NOT NULL
+        )
+        SELECT transaction_id, "timestamp", account_id, amount, status FROM told WHERE delivery = 1""",
     "stream_tx_per_minute": f"""WITH {DELIVERIES}
         SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze WHERE ts IS NOT NULL GROUP BY 1""",
     "enrich_customers": f"""WITH {DELIVERIES}
@@ -333,7 +330,7 @@ ORACLES = {
         FROM (SELECT transaction_date, CAST(SUM(total_transactions) AS BIGINT) AS transactions,
                   {_total("SUM(net_amount)")} AS net_amount FROM accounts GROUP BY 1) a
         LEFT JOIN (SELECT transaction_date, {_total("SUM(total_amount)")} AS merchant_amount FROM merchants GROUP BY 1) m
-        USING (transaction_date) WHERE transaction_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
+        USING (transaction_date)""",
     # bronze reports
     "bronze_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS total_records FROM bronze",
     "bronze_sample": f"WITH {DELIVERIES} {_top('bronze', 10, 'transaction_id NULLS FIRST', SAMPLE)}",
@@ -499,17 +496,12 @@ ORACLES = {
     "schema_evolution_union": f"""WITH {DELIVERIES}
         SELECT transaction_id, amount, date_partition, CASE WHEN _batch_id >= 15 THEN device_type END AS new_field
         FROM bronze""",
-    "table_compacted": f"WITH {DELIVERIES} SELECT {KEYS} FROM bronze",
-    "table_expired": f"""WITH {DELIVERIES},
-        committed AS (SELECT _batch_id, MAX(ingestion_timestamp) AS committed_at FROM bronze GROUP BY 1),
-        base AS (SELECT MAX(_batch_id) AS b FROM committed WHERE committed_at < TIMESTAMP '2024-01-16 00:00:00')
-        SELECT transaction_id, account_id, amount, ingestion_timestamp, date_partition,
-            CASE WHEN _batch_id <= (SELECT b FROM base) THEN (SELECT b FROM base) ELSE _batch_id END AS _batch_id
-        FROM bronze""",
+    "table_files": f"""WITH {DELIVERIES}
+        SELECT date_partition, COUNT(*) AS record_count, true AS has_size FROM bronze GROUP BY 1""",
     "latest_by_key": f"""WITH {DELIVERIES},
         newest AS (
             SELECT *, row_number() OVER (
-                PARTITION BY account_id ORDER BY ingestion_timestamp DESC, "partition" NULLS FIRST, "offset" DESC
+                PARTITION BY account_id ORDER BY "offset" DESC, ingestion_timestamp DESC, "partition" NULLS FIRST
             ) AS r FROM bronze
         )
         SELECT account_id AS key, "partition", "offset", ingestion_timestamp AS "timestamp" FROM newest WHERE r = 1""",
@@ -525,9 +517,6 @@ ORACLES = {
     "metric_rate_by_label": f"""WITH {_rates(300)}
         SELECT broker_host, window_start, {EXACT_RATE} AS rate FROM rates
         WHERE metric = 'bytes_total' GROUP BY 1, 2""",
-    "metric_busy_pct": f"""WITH {_rates(300)}
-        SELECT broker_host, window_start, 100.0::DOUBLE - {EXACT_RATE} / COUNT(rate) * 100 AS busy_pct FROM rates
-        WHERE metric = 'cpu_seconds_total' AND mode = 'idle' GROUP BY 1, 2""",
     "metric_topk": f"""WITH {SAMPLES}
         SELECT kind, broker_host, value FROM latest WHERE metric = 'bytes_total' AND kind <> ''
         ORDER BY value DESC, broker_host, kind LIMIT 5""",

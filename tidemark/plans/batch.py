@@ -7,7 +7,7 @@ from tidemark.functions.clock import yesterday_text
 from tidemark.plans.gold import daily_account_summary, merchant_summary
 from tidemark.plans.silver import clean, for_day
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY, SILVER
-from tidemark.storage import overwrite_partitions, read_layer, replace_day
+from tidemark.storage import overwrite_range, read_layer, replace_day
 
 
 def run_day(spark: SparkSession, bronze: str, silver: str, accounts: str, merchants: str, day=None, processed_at=None):
@@ -38,12 +38,16 @@ def run_day(spark: SparkSession, bronze: str, silver: str, accounts: str, mercha
 def backfill(
     spark: SparkSession, bronze: str, silver: str, accounts: str, merchants: str, first_day, last_day, processed_at=None
 ):
-    """All dates of a range in one pass per layer."""
+    """All dates of a range in one pass per layer.
+
+    A date that has lost its rows is emptied in every layer, so a second run leaves
+    nothing of the first.
+    """
     day = F.col("date_partition")
     raw = read_layer(spark, bronze, BRONZE).filter((day >= F.lit(first_day)) & (day <= F.lit(last_day)))
-    overwrite_partitions(clean(raw, processed_at), silver, "date_partition")
+    overwrite_range(clean(raw, processed_at), silver, "date_partition", first_day, last_day)
     cleaned = read_layer(spark, silver, SILVER).filter(
         (day >= F.lit(first_day).cast("date")) & (day <= F.lit(last_day).cast("date"))
     )
-    overwrite_partitions(daily_account_summary(cleaned, processed_at), accounts, "transaction_date")
-    overwrite_partitions(merchant_summary(cleaned, processed_at), merchants, "transaction_date")
+    overwrite_range(daily_account_summary(cleaned, processed_at), accounts, "transaction_date", first_day, last_day)
+    overwrite_range(merchant_summary(cleaned, processed_at), merchants, "transaction_date", first_day, last_day)

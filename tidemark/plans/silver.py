@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import day_text, iso_timestamp, now, today
 from tidemark.functions.money import money
-from tidemark.operators.pick import dedup_transactions
+from tidemark.operators.pick import TIE_BREAK, dedup_transactions
 from tidemark.schemas import ACCEPTED_STATUSES, FLAG_ABOVE
 
 
@@ -30,7 +30,7 @@ def clean(bronze: DataFrame, processed_at=None) -> DataFrame:
     """
     amount = F.col("amount")
     return (
-        dedup_transactions(bronze)
+        dedup_transactions(bronze, TIE_BREAK)
         .filter((amount > 0) & F.col("status").isin(*ACCEPTED_STATUSES))
         .select(
             "transaction_id",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import history, maintenance, metrics, pick
+from tidemark.operators import history, metrics, pick
 from tidemark.plans import batch, bronze_reports, gold, silver
 from tidemark.plans.catalogue import REPORTS
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
@@ -180,24 +180,25 @@ def dead_letter_split(spark, sf_dir):
     return both.select(F.col("key").cast("string").alias("key"), "partition", "offset", "dead")
 
 
+def _topic_files(spark, sf_dir):
+    """The deliveries as four files of a topic, the newest taken first, one per trigger."""
+    folder = f"{shared_folder(spark, 'topic')}/files"
+    rows = _envelope(spark, sf_dir)
+    parts = rows.withColumn("_part", F.pmod(F.xxhash64("offset"), F.lit(4)))
+    parts.repartition(4, "_part").drop("_part").write.parquet(folder)
+    return envelope.stream_envelope(spark, "parquet", folder, maxFilesPerTrigger="1", latestFirst="true")
+
+
 def stream_dedup(spark, sf_dir):
     folder = shared_folder(spark, "dedup")
-    decoded = envelope.decode(events.as_envelope(events.stream_events(spark, sf_dir)))
-    unique = live.dedup(decoded.select("transaction_id", "timestamp", "account_id", "amount")).select("transaction_id")
-    _run(
-        unique.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{folder}/rows")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    return spark.read.schema(unique.schema).parquet(f"{folder}/rows")
+    source = _topic_files(spark, sf_dir)
+    _run(live.start_dedup(source, f"{folder}/rows", f"{folder}/checkpoint", trigger={"availableNow": True}))
+    return live.read_unique(spark, f"{folder}/rows").select("transaction_id", "timestamp", "account_id", "amount", "status")
 
 
 def stream_tx_per_minute(spark, sf_dir):
     folder = shared_folder(spark, "minutes")
-    decoded = envelope.decode(events.as_envelope(events.stream_events(spark, sf_dir)))
+    decoded = envelope.decode(_topic_files(spark, sf_dir))
     _run(live.start_minute_board(decoded, f"{folder}/board", f"{folder}/checkpoint", trigger={"availableNow": True}))
     return live.read_minute_board(spark, f"{folder}/board")
 
@@ -205,24 +206,22 @@ def stream_tx_per_minute(spark, sf_dir):
 # -- table history ----------------------------------------------------------------
 
 
-def _stored_versions(spark, sf_dir):
+def _stored_bronze(spark, sf_dir):
+    """Bronze as ingest lays it out: folders by date, then batch."""
     path = f"{shared_folder(spark, 'versions')}/bronze"
     rows = events.versioned_bronze(spark, sf_dir)
-    rows.hint("rebalance", F.col("_batch_id")).write.partitionBy("_batch_id", "date_partition").parquet(path)
+    rows.hint("rebalance", F.col("date_partition")).write.partitionBy("date_partition", "_batch_id").parquet(path)
     return ingest.read_bronze(spark, path)
 
 
-def table_compacted(spark, sf_dir):
-    target = f"{shared_folder(spark, 'compacted')}/bronze"
-    maintenance.compact(spark, _stored_versions(spark, sf_dir), target, ["date_partition"])
-    return read_layer(spark, target, f"{BRONZE}, _batch_id BIGINT").select(*KEY_COLUMNS)
-
-
-def table_expired(spark, sf_dir):
-    target = f"{shared_folder(spark, 'expired')}/bronze"
-    table = _stored_versions(spark, sf_dir)
-    maintenance.expire_batches(spark, table, target, MID_MONTH)
-    return maintenance.read_folded(spark, table, target).select(*KEY_COLUMNS)
+def table_files(spark, sf_dir):
+    """Files of stored bronze; each lies below one date."""
+    listed = history.files(_stored_bronze(spark, sf_dir))
+    day = F.regexp_extract("file_path", "date_partition=([0-9-]+)", 1)
+    return (
+        listed.groupBy(F.when(day != "", day).alias("date_partition"))
+        .agg(F.sum("record_count").alias("record_count"), (F.min("size_mb") > 0).alias("has_size"))
+    )
 
 
 def schema_evolution_union(spark, sf_dir):
@@ -240,7 +239,8 @@ def layers_backfilled(spark, sf_dir):
     paths = {name: f"{folder}/{name}" for name in ("bronze", "silver", "accounts", "merchants")}
     raw = events.bronze(spark, sf_dir)
     raw.hint("rebalance", F.col("date_partition")).write.partitionBy("date_partition").parquet(paths["bronze"])
-    batch.backfill(spark, **paths, first_day="2024-01-01", last_day=YESTERDAY, processed_at=AS_OF)
+    first, last = raw.agg(F.min("date_partition"), F.max("date_partition")).first()
+    batch.backfill(spark, **paths, first_day=first, last_day=last, processed_at=AS_OF)
     return (
         read_layer(spark, paths["accounts"], DAILY_ACCOUNT_SUMMARY)
         .groupBy("transaction_date")
@@ -289,10 +289,6 @@ def metric_rate_by_label(spark, sf_dir):
     return metrics.sum_by(_rates(spark, sf_dir, "bytes_total"), "broker_host")
 
 
-def metric_busy_pct(spark, sf_dir):
-    return metrics.busy_percent(_rates(spark, sf_dir, "cpu_seconds_total", equal={"mode": "idle"}), "broker_host")
-
-
 def metric_topk(spark, sf_dir):
     rows = metrics.select_series(_samples(spark, sf_dir, "bytes_total"), "bytes_total", not_equal={"kind": ""})
     return _labelled(metrics.topk(metrics.latest(rows), 5), "value")
@@ -313,11 +309,7 @@ QUERIES = {
     "envelope_batch_read": _over(_envelope, lambda e: envelope.envelope_text(e)),
     "decode_transactions": _over(_envelope, lambda e: _flat(envelope.decode(e))),
     "bronze_enrich": _over(_envelope, lambda e: _flat(envelope.enrich(envelope.decode(e), INGESTED_AT))),
-    "encode_envelope": _bronze(
-        lambda b: envelope.encode_envelope(
-            b.select("transaction_id", "account_id", "transaction_type", "is_fraud", "status")
-        )
-    ),
+    "encode_envelope": _bronze(lambda b: envelope.encode_envelope(b.select(*events.TRANSACTION_COLUMNS))),
     "stream_bronze_ingest": _query(stream_bronze_ingest),
     "dead_letter_split": _query(dead_letter_split),
     "stream_dead_letters": _query(stream_dead_letters),
@@ -342,20 +334,18 @@ QUERIES = {
     "layers_backfilled": _query(layers_backfilled),
     # reports
     **{name: _report(name) for name in REPORTS},
-    "bronze_partition_scan": _bronze(lambda b: _flat(bronze_reports.partition_scan(b, "2024-01-17"))),
+    "bronze_partition_scan": _over(_stored_bronze, lambda b: _flat(bronze_reports.partition_scan(b, "2024-01-17"))),
     "bronze_prefix_scan": _bronze(lambda b: _flat(bronze_reports.prefix_scan(b, "2024-01-17"))),
     # table history
     "table_snapshots": _versioned(
         lambda t: history.snapshot_report(t).withColumn("records_added", F.col("records_added").cast("bigint"))
     ),
-    "bronze_as_of_timestamp": _versioned(lambda t: history.as_of_time(t, MID_MONTH).select(*KEY_COLUMNS)),
-    "bronze_as_of_version": _versioned(lambda t: history.as_of_batch(t, 9).select(*KEY_COLUMNS)),
-    "bronze_incremental": _versioned(lambda t: history.since_batch(t, 24).select(*KEY_COLUMNS)),
+    "bronze_as_of_timestamp": _over(_stored_bronze, lambda t: history.as_of_time(t, MID_MONTH).select(*KEY_COLUMNS)),
+    "bronze_as_of_version": _over(_stored_bronze, lambda t: history.as_of_batch(t, 9).select(*KEY_COLUMNS)),
+    "bronze_incremental": _over(_stored_bronze, lambda t: history.since_batch(t, 24).select(*KEY_COLUMNS)),
     "table_partitions": _versioned(history.partitions),
-    "table_files": _query(lambda spark, sf_dir: history.files(events.read_events(spark, sf_dir))),
+    "table_files": _query(table_files),
     "schema_evolution_union": _query(schema_evolution_union),
-    "table_compacted": _query(table_compacted),
-    "table_expired": _query(table_expired),
     "latest_by_key": _over(
         _envelope,
         lambda e: pick.latest_by_key(e).select(F.col("key").cast("string").alias("key"), "partition", "offset", "timestamp"),
@@ -365,7 +355,6 @@ QUERIES = {
     "metric_label_filter": _query(metric_label_filter),
     "metric_rate": _query(metric_rate),
     "metric_rate_by_label": _query(metric_rate_by_label),
-    "metric_busy_pct": _query(metric_busy_pct),
     "metric_topk": _query(metric_topk),
     "metric_histogram_quantile": _query(metric_histogram_quantile),
     "metric_alerts": _query(metric_alerts),

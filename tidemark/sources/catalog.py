@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.history import BATCH
 from tidemark.schemas import LAYERS
 
 
@@ -9,11 +10,13 @@ def create_layers(spark: SparkSession, location=None, layers=LAYERS):
     """Create schemas and tables that are missing, partitioned by date."""
     for name, (table, columns, partition_col) in layers.items():
         database = table.split(".")[0]
+        # a micro-batch is a partition of bronze, so that a repeated one replaces itself
+        more, parts = (f", {BATCH} BIGINT", f"{partition_col}, {BATCH}") if name == "bronze" else ("", partition_col)
         where = f" LOCATION '{location}/{database}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-            f"USING parquet PARTITIONED BY ({partition_col}) "
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}{more}) "
+            f"USING parquet PARTITIONED BY ({parts}) "
             "TBLPROPERTIES ('parquet.compression' = 'snappy')"
         )
 
@@ -25,13 +28,14 @@ def register_views(frames: dict[str, DataFrame]):
 
 
 def list_objects(spark: SparkSession) -> DataFrame:
-    """Databases and tables of the current catalog, as SHOW commands list them."""
-    rows = [
-        (database.name, table.name, table.tableType)
-        for database in spark.catalog.listDatabases()
-        for table in spark.catalog.listTables(database.name)
-    ]
-    return spark.createDataFrame(rows, "database STRING, table STRING, kind STRING")
+    """Databases and tables of the current catalog: one SHOW TABLES per database."""
+    found = None
+    for database in spark.catalog.listDatabases():
+        tables = spark.sql(f"SHOW TABLES IN `{database.name}`").selectExpr(
+            "namespace AS database", "tableName AS table", "if(isTemporary, 'TEMPORARY', 'TABLE') AS kind"
+        )
+        found = tables if found is None else found.union(tables)
+    return found
 
 
 def add_column(spark: SparkSession, table: str, column: str, kind: str):

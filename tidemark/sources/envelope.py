@@ -28,8 +28,8 @@ def _topic_options(servers, topic, **more):
     }
 
 
-def topic_stream_options(servers, topic, max_offsets=10000, min_partitions=None):
-    """Options of the rate-limited stream; ``max_offsets=None`` lifts the limit.
+def topic_stream_options(servers, topic, max_offsets=None, min_partitions=None):
+    """Options of the stream; ``max_offsets`` limits what one trigger takes.
 
     ``min_partitions`` cuts big topic partitions into several read tasks.
     """
@@ -88,14 +88,30 @@ def enrich(decoded: DataFrame, ingested_at=None) -> DataFrame:
     )
 
 
-def split_dead_letters(envelope: DataFrame):
-    """(readable, dead) envelopes: dead ones give no transaction id.
+DOCUMENT = "_document"
+
+
+def parsed(envelope: DataFrame) -> DataFrame:
+    """The envelope with its value decoded once, in a struct column."""
+    return envelope.withColumn(DOCUMENT, F.from_json(F.col("value").cast("string"), TRANSACTION))
+
+
+def is_dead(document=DOCUMENT):
+    """A value that gives no transaction id, or an amount that is no number.
 
-    Both halves are filters over one decode, so together they keep every row.
+    A record without value is not dead: it is the topic's way to delete a key, and is
+    stored with NULL columns.
     """
-    document = F.from_json(F.col("value").cast("string"), TRANSACTION)
-    readable = F.coalesce(document["transaction_id"].isNotNull(), F.lit(False))
-    return envelope.filter(readable), envelope.filter(~readable)
+    amount = F.col(f"{document}.amount")
+    odd = F.isnan(amount) | (F.abs(amount) == F.lit(float("inf")))
+    no_id = F.col(f"{document}.transaction_id").isNull()
+    return F.col("value").isNotNull() & (no_id | F.coalesce(odd, F.lit(False)))
+
+
+def split_dead_letters(envelope: DataFrame):
+    """(readable, dead) envelopes: filters over one decode, so together they keep every row."""
+    both = parsed(envelope)
+    return both.filter(~is_dead()).drop(DOCUMENT), both.filter(is_dead()).drop(DOCUMENT)
 
 
 def encode_envelope(transactions: DataFrame) -> DataFrame:

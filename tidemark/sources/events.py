@@ -89,8 +89,8 @@ def deliveries(events: DataFrame) -> DataFrame:
                 AS ingestion_timestamp""",
         "date_format(ts, 'yyyy-MM-dd') AS date_partition",
         "event_id * 2 + copy AS offset",
-        "CAST(event_id % 3 AS INT) AS partition",
-        "CAST(dayofmonth(ts) - 1 AS BIGINT) AS _batch_id",
+        "CAST(user_id % 3 AS INT) AS partition",
+        "CAST(datediff(ts, DATE'2024-01-01') AS BIGINT) AS _batch_id",
     )
 
 
@@ -148,18 +148,16 @@ def metric_samples(events: DataFrame, *wanted: str) -> DataFrame:
     )
     per_minute = per_minute.selectExpr(
         "*",
-        "60 - least(60, volume) AS idle",
         "broker_host = 'kafka-2' AND ts >= TIMESTAMP '2024-01-16' AS epoch",
     )
     so_far = "OVER (PARTITION BY kind, broker_host, epoch ORDER BY ts ROWS UNBOUNDED PRECEDING)"
-    counters = ["n", "volume", "idle", *[f"le_{le}" for le in BUCKETS]]
+    counters = ["n", "volume", *[f"le_{le}" for le in BUCKETS]]
     running = per_minute.selectExpr(
         "kind", "broker_host", "ts", *[f"CAST(sum({c}) {so_far} AS DOUBLE) AS {c}" for c in counters]
     )
     columns = [
         ("messages_total", "n", {}),
         ("bytes_total", "volume", {}),
-        ("cpu_seconds_total", "idle", {"mode": "idle"}),
         *[("duration_bucket", f"le_{le}", {"le": str(le)}) for le in BUCKETS],
         ("duration_bucket", "n", {"le": "+Inf"}),
     ]

@@ -5,47 +5,34 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import BATCH
 from tidemark.schemas import BRONZE, ENVELOPE
-from tidemark.sources.envelope import decode, enrich, split_dead_letters
-from tidemark.storage import path_exists
+from tidemark.sources.envelope import DOCUMENT, enrich, is_dead, parsed
+from tidemark.storage import is_path, path_exists, spread
 
 
-def write_batch(rows: DataFrame, batch_id: int, target: str, partition_col: str | None = "date_partition"):
-    """Put one micro-batch into its own folder, replacing an earlier attempt.
-
-    Streams call back at least once; a repeated batch overwrites what its
-    first attempt left, so bronze holds every record once.  Says whether
-    there was anything to write.
-    """
-    if rows.isEmpty():
-        return False
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
+def write_folder(rows: DataFrame, batch_id: int, target: str, compression="snappy"):
+    """Put one micro-batch into its own folder, replacing an earlier attempt."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
     writer.parquet(f"{target}/{BATCH}={batch_id}")
-    return True
-
-
-COMMIT = "committed_at TIMESTAMP, operation STRING, summary MAP<STRING, STRING>"
 
 
-def note_commit(spark: SparkSession, batch_id: int, target: str, log: str):
-    """One row per commit, shaped like ``history.snapshots``.
+def write_batch(rows: DataFrame, batch_id: int, target: str, compression="snappy"):
+    """Put one micro-batch into bronze, a folder or a catalog table.
 
-    Counted from the stored batch, so the entry is right even when tasks were
-    repeated, and a replayed batch replaces its entry.
+    The layout is date, then batch: a read of one date lists no other.  Streams call
+    back at least once; a repeated batch overwrites the partitions of its first attempt,
+    so bronze holds every record once.  Rows of a date are gathered to files of the
+    advisory size.
     """
-    entry = (
-        spark.read.schema(BRONZE)
-        .parquet(f"{target}/{BATCH}={batch_id}")
-        .agg(F.max("ingestion_timestamp").alias("committed_at"), F.count(F.lit(1)).cast("string").alias("rows"))
-        .select("committed_at", F.lit("append").alias("operation"), F.create_map(F.lit("added-records"), "rows").alias("summary"))
-    )
-    entry.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{log}/snapshot_id={batch_id}")
-
-
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    """Commits of an ingested table, without touching its data."""
-    return spark.read.schema(f"{COMMIT}, snapshot_id BIGINT").parquet(log)
+    rows = spread(rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), "date_partition")
+    if is_path(target):
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
+        writer.partitionBy("date_partition", BATCH).parquet(target)
+        return
+    columns = rows.sparkSession.table(target).columns
+    if columns[-2:] != ["date_partition", BATCH]:
+        raise ValueError(f"{target} is not partitioned by date_partition and {BATCH}; see create_layers")
+    writer = rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.insertInto(target)
 
 
 def refuse_foreign_target(spark: SparkSession, target: str, checkpoint: str):
@@ -60,35 +47,26 @@ def start_ingest(
     checkpoint: str,
     trigger=None,
     dead_letters: str | None = None,
-    log: str | None = None,
+    compression="snappy",
     ingested_at=None,
 ):
-    """Start the stream ``envelope`` -> bronze folder ``target``.
+    """Start the stream ``envelope`` -> bronze ``target``, a folder or a catalog table.
 
-    Without ``dead_letters`` unreadable records are stored with NULL columns;
-    with it they go, unchanged, to that folder instead.  With ``log`` every
-    commit is noted there, so time travel need not scan the table.
+    Without ``dead_letters`` unreadable records are stored with NULL columns; with it
+    they go, unchanged, to that folder instead.  Every value is decoded once per output.
     """
-    for folder in filter(None, (target, dead_letters, log)):
-        refuse_foreign_target(envelope.sparkSession, folder, checkpoint)
-
-    def commit(readable: DataFrame, batch_id: int):
-        written = write_batch(enrich(decode(readable), ingested_at), batch_id, target)
-        if written and log:
-            note_commit(readable.sparkSession, batch_id, target, log)
+    for folder in filter(None, (target, dead_letters)):
+        if is_path(folder):
+            refuse_foreign_target(envelope.sparkSession, folder, checkpoint)
+        elif folder == dead_letters or not envelope.sparkSession.catalog.tableExists(folder):
+            raise ValueError(f"{folder} is neither a folder nor an existing table")
 
     def store(batch: DataFrame, batch_id: int):
-        if not dead_letters:
-            commit(batch, batch_id)
-            return
-        # Two outputs of one batch: keep it (memory, then disk) for both.
-        kept = batch.persist()
-        try:
-            readable, dead = split_dead_letters(kept)
-            write_batch(dead, batch_id, dead_letters, None)
-            commit(readable, batch_id)
-        finally:
-            kept.unpersist()
+        rows = parsed(batch)
+        if dead_letters:
+            write_folder(rows.filter(is_dead()).drop(DOCUMENT), batch_id, dead_letters, compression)
+            rows = rows.filter(~is_dead())
+        write_batch(enrich(rows.select(f"{DOCUMENT}.*"), ingested_at), batch_id, target, compression)
 
     return (
         envelope.writeStream.foreachBatch(store)
