@@ -330,7 +330,7 @@ ORACLES = {
         FROM (SELECT transaction_date, CAST(SUM(total_transactions) AS BIGINT) AS transactions,
                   {_total("SUM(net_amount)")} AS net_amount FROM accounts GROUP BY 1) a
         LEFT JOIN (SELECT transaction_date, {_total("SUM(total_amount)")} AS merchant_amount FROM merchants GROUP BY 1) m
-        USING (transaction_date)""",
+        USING (transaction_date) WHERE transaction_date IS NOT NULL""",
     # bronze reports
     "bronze_count": f"WITH {DELIVERIES} SELECT COUNT(*) AS total_records FROM bronze",
     "bronze_sample": f"WITH {DELIVERIES} {_top('bronze', 10, 'transaction_id NULLS FIRST', SAMPLE)}",
