@@ -84,20 +84,27 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _take_large(rows: Column, share: Column) -> Column:
+def _take_large(rows: Column, share: Column, words: Column, most: Column) -> Column:
     """Choose ``share`` of the words of a source's large units, from the largest on.
 
-    Each unit adds its part to a credit and is taken when the credit covers half
-    of it, so what is left over is less than half of the smallest.
+    Each unit adds its part to a credit and is taken when the credit covers half of it
+    and what is still wanted covers all of it; what then remains is less than half of
+    the smallest.  A credit that a very large unit has left is spent on more copies of
+    the next ones, ``most`` each.
     """
-    start = F.struct(F.lit(0.0).alias("credit"), F.array().cast("array<bigint>").alias("taken"))
+    kind = "array<struct<h: bigint, n: int>>"
+    start = F.struct(F.lit(0.0).alias("credit"), words.cast("double").alias("left"), F.array().cast(kind).alias("taken"))
 
     def step(state, row):
-        credit = state["credit"] + share * row["size"]
-        take = credit * 2 >= row["size"]
+        credit, left = state["credit"] + share * row["size"], state["left"] - row["size"]
+        fit = F.least(F.floor(credit / row["size"] + 0.5), F.floor((credit + share * left) / row["size"] + 1e-9))
+        n = F.greatest(F.least(fit, most), F.lit(0)).cast("int")
         return F.struct(
-            F.when(take, credit - row["size"]).otherwise(credit).alias("credit"),
-            F.when(take, F.concat(state["taken"], F.array(row["h"]))).otherwise(state["taken"]).alias("taken"),
+            (credit - n * row["size"]).alias("credit"),
+            left.alias("left"),
+            F.when(n > 0, F.concat(state["taken"], F.array(F.struct(row["h"].alias("h"), n.alias("n"))))).otherwise(
+                state["taken"]
+            ).alias("taken"),
         )
 
     return F.aggregate(F.sort_array(rows, asc=False), start, step)
@@ -110,7 +117,7 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
     ``source_size``, ``target``, ``copies`` (0 to 3) and ``times`` (one per copy).
 
     A source wanted r times takes every document floor(r) times and a part of them
-    once more: its large documents one by one, of which there can be no more than
+    more often: its large documents one by one, of which there can be no more than
     1/LARGE; then small ones in hash order until the words are reached.  A source's
     rows are summed in ``2**PART_BITS`` parts, so that a hot source is no hot task.
     """
@@ -155,17 +162,17 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
         F.sum("small").over(W.partitionBy("key")).alias("all_small"),
     )
     large = (
-        narrow.join(per_part.select("key", "part", "source_size", "rest"), ["key", "part"])
+        narrow.join(per_part.select("key", "part", "source_size", "full", "rest"), ["key", "part"])
         .filter(is_large & (F.col("size") > 0))
         .groupBy("key", "h")
-        .agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
+        .agg(F.sum("size").alias("size"), *[F.first(c).alias(c) for c in ("full", "rest", "source_size")])
         .groupBy("key")
-        .agg(F.collect_list(F.struct("size", "h")).alias("rows"), F.first("rest").alias("rest"))
-        .select("key", _take_large(F.col("rows"), F.col("rest")).alias("large"))
+        .agg(F.collect_list(F.struct("size", "h")).alias("rows"), *[F.first(c).alias(c) for c in ("full", "rest", "source_size")])
+        .select("key", _take_large(F.col("rows"), F.col("rest"), F.col("source_size"), MOST_COPIES - F.col("full")).alias("large"))
     )
     per_part = per_part.join(large, "key", "left").select(
         "key", "part", "source_size", "target", "weight", "full", "rest", "words_before", "small_before",
-        F.coalesce(F.col("large.taken"), F.array().cast("array<bigint>")).alias("large_taken"),
+        F.map_from_entries("large.taken").alias("large_taken"), "all_small",
         (F.col("rest") * F.col("all_small") + F.coalesce("large.credit", F.lit(0.0))).alias("small_wanted"),
     )
 
@@ -180,14 +187,14 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
             + F.col("size") / 2
         ).alias("small_middle"),
     )
-    extra = F.when(is_large, F.array_contains("large_taken", F.col("h"))).otherwise(
-        F.col("small_middle") <= F.col("small_wanted")
-    )
-    placed = placed.select(
-        "*", (F.col("full") + F.when(extra & (F.col("rest") > 0) & (F.col("size") > 0), 1).otherwise(0)).alias("copies")
-    )
+    # small documents: all of them as often as wanted, then in hash order until the words are reached
+    rounds = F.greatest(F.floor(F.col("small_wanted") / F.greatest("all_small", F.lit(1))), F.lit(0))
+    extra = rounds + (F.col("small_middle") <= F.col("small_wanted") - rounds * F.col("all_small")).cast("int")
+    extra = F.when(is_large, F.coalesce(F.element_at("large_taken", F.col("h")), F.lit(0))).otherwise(extra)
+    extra = F.when((F.col("rest") > 0) & (F.col("size") > 0), F.least(extra, MOST_COPIES - F.col("full"))).otherwise(0)
+    placed = placed.select("*", (F.col("full") + extra).cast("int").alias("copies"))
     return placed.select(
-        "row", "size", "source", "source_size", "target", F.col("copies").cast("int").alias("copies"), _times().alias("times")
+        "row", "size", "source", "source_size", "target", "copies", _times().alias("times")
     )
 
 
@@ -197,6 +204,7 @@ def _times() -> Column:
     wanted = F.col("full") + F.col("rest")
 
     def time(copy):
+        # copies beyond the whole passes lie in the partial one
         into = F.when(copy < F.col("full"), copy + through).otherwise(F.col("full") + F.col("rest") * through)
         share = F.least(into / wanted, F.lit(1.0))
         out = F.lit(0.0)
