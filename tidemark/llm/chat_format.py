@@ -163,17 +163,16 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 turns = parse(text)
                 loss = "".join(unescape(t) for t in masked_texts(text, starts, ends, masked))
                 whole = "".join(f"{role}\n{said}\n" for role, said in turns)
-                rows.append((len(turns), sha(whole), len(loss), sha(loss), len(text), len(masked)))
+                rows.append((len(turns), sha(whole), len(loss), sha(loss), len(text)))
             columns = [pa.array(list(c)) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"), *columns],
-                ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"],
+                ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
             )
 
     return formatted.mapInArrow(
         run,
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
-        "n_tokens long",
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
 
 

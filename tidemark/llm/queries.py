@@ -36,7 +36,26 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op2_chat_format": _query(chat_format, "conversations"),
+    # the template adds 17 signs to a turn, and one to every control string inside
+    "op2_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        marked AS (
+            SELECT *, regexp_replace(role || chr(0) || text, '([<\[])(\\*)(/s>|s>|/INST\]|INST\]|\|endoftext\|>)', '\1+\2\3', 'g')
+                AS escaped FROM turns
+        ),
+        whole AS (
+            SELECT conv_id, count(*) AS n_turns, CAST(sum(length(escaped) + 16) AS BIGINT) AS formatted_chars,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+                coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '') AS loss
+            FROM marked GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+            formatted_chars FROM whole
+    """,
     "op3_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
