@@ -123,18 +123,15 @@ def histogram_quantile(q: float, bucket_rates: DataFrame, *names: str) -> DataFr
     return ranked.filter(found).select(*names, "window_start", value.alias("quantile"))
 
 
+RULES = "alert STRING, metric STRING, threshold DOUBLE"
+
+
 def alerts(values: DataFrame, rules) -> DataFrame:
     """Instant values above their rule's threshold.
 
-    ``rules`` is a short hand-written list of (alert, metric, threshold); it
-    becomes one predicate per rule, not a join.
+    ``rules`` is a table of ``RULES`` columns, or a list of such rows.
     """
-    matches = [
-        F.when(
-            (F.col("metric") == metric) & (F.col("value") > threshold),
-            F.struct(F.lit(alert).alias("alert"), F.lit(float(threshold)).alias("threshold")),
-        )
-        for alert, metric, threshold in rules
-    ]
-    fired = F.filter(F.array(*matches), lambda m: m.isNotNull())
-    return values.select("metric", "labels", "ts", "value", F.inline(fired))
+    if not isinstance(rules, DataFrame):
+        rules = values.sparkSession.createDataFrame([(a, m, float(t)) for a, m, t in rules], RULES)
+    fired = values.join(rules, "metric").filter(F.col("value") > F.col("threshold"))
+    return fired.select("metric", "labels", "ts", "value", "alert", "threshold")
