@@ -42,7 +42,8 @@ def signatures(words):
     """A row of ``HASHES`` 16-bit values for every text.
 
     Each hash is x -> a x + b modulo 2^64 with odd a, a permutation, over all shingles
-    of the batch at once; the minimum's high bits are kept.
+    of the batch at once.  The smallest of n values is about 2^64/n, so its high bits say
+    little in a long text: the whole minimum is mixed before 16 bits of it are kept.
     """
     hashes, count = S.words([t.encode() for t in words])
     found, number = S.shingles(hashes, count, WIDTH)
@@ -57,7 +58,7 @@ def signatures(words):
             part, at = found[start[i] : stop], start[i:j] - start[i]
             for k in range(HASHES):
                 out[k, some[i:j]] = np.minimum.reduceat(part * _FACTOR[k] + _TERM[k], at)
-    return (out >> np.uint64(48)).astype(">u2").T.copy()
+    return (S.mix(out) >> np.uint64(48)).astype(">u2").T.copy()
 
 
 def likeness(a, b):
