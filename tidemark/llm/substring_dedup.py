@@ -12,7 +12,11 @@ becomes a level, and levels of equal size merge, so an entry is rewritten a loga
 number of times.  Last, the texts at forks meet once and their windows are compared.
 
 Tasks first drop what repeats within their own texts, so a passage that many documents
-share sends one row per task to its seed, not one per document.
+share sends one row per task to its seed, not one per document.  A seed that goes on in
+many ways within a task (a frequent line in differing surroundings) is dealt by its
+stretches instead, all of them forks, and leaves a mark at the seed, which makes forks of
+its stretches from elsewhere.  Forks of a seed that has many are compared window by
+window: narrow rows, one per task and distinct window, dealt by the window's hash.
 
 Defined results
     NULL and empty texts have no bytes and lose none.  A NULL ``doc_id`` comes before all
@@ -36,11 +40,15 @@ from tidemark.llm.common import stored, texts, whole_text
 BATCH_BYTES = 4 << 30
 #: Bytes of a text looked at in one go (less than 2^24), and stretches that a task sorts at once.
 PART_BYTES, SORTED = 1 << 22, 1 << 20
+#: Stretches of a seed within one sort, and forks of a seed, from which on they are dealt to many tasks.
+HOT_NAMES, HOT_FORKS = 64, 4096
+#: Parts that a seed's forks are dealt in while the seeds with many are looked up; stretches cut in windows at once.
+SALTS, CUT_AT_ONCE = 64, 1 << 14
 FIRST_ID = -(2**63)
-REPEAT, FORK, ENTRY = range(3)
+REPEAT, FORK, ENTRY, MARK = range(4)
 
-COLUMNS = ("kind", "key", "name", "doc_id", "row", "first", "last", "at")
-SCHEMA = "kind int, key long, name long, doc_id long, row long, first long, last long, at long"
+COLUMNS = ("kind", "key", "name", "doc_id", "row", "first", "last", "at", "route")
+SCHEMA = "kind int, key long, name long, doc_id long, row long, first long, last long, at long, route long"
 
 
 def stretches(data):
@@ -67,7 +75,7 @@ def _repeats(doc_id, row, first, last):
     end = np.concatenate((begin[1:], [len(row)])) - 1
     n, key = len(begin), A.mix(row[begin].astype(np.uint64)).view(np.int64)
     zero = np.zeros(n, np.int64)
-    return _table([np.full(n, REPEAT, np.int32), key, zero, doc_id[begin], row[begin], first[begin], last[end], zero])
+    return _table([np.full(n, REPEAT, np.int32), key, zero, doc_id[begin], row[begin], first[begin], last[end], zero, zero])
 
 
 def arrays(docs: DataFrame) -> DataFrame:
@@ -82,7 +90,14 @@ def arrays(docs: DataFrame) -> DataFrame:
             key, name, doc_id, row, first, last, at = (x[order] for x in (key, name, doc_id, row, first, last, at))
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])))
             kind = np.full(int(new.sum()), ENTRY, np.int32)
-            yield _table([kind, *(x[new] for x in (key, name, doc_id, row, first, last, at))])
+            begin = np.flatnonzero(np.concatenate(([True], key[new][1:] != key[new][:-1])))
+            names = np.diff(np.append(begin, len(kind)))
+            route = np.where(np.repeat(names > HOT_NAMES, names), name[new], 0)
+            yield _table([kind, *(x[new] for x in (key, name, doc_id, row, first, last, at)), route])
+            hot = key[new][begin[names > HOT_NAMES]]
+            if len(hot):
+                zero = np.zeros(len(hot), np.int64)
+                yield _table([np.full(len(hot), MARK, np.int32), hot, *[zero] * 7])
             if not new.all():
                 yield _repeats(*(x[~new] for x in (doc_id, row, first, last)))
 
@@ -110,28 +125,38 @@ def merge_scan(new: DataFrame, levels: list) -> DataFrame:
     """Scan the sorted arrays of a batch and of the levels side by side.
 
     Returns the batch's repeats, the forks (first stretches of a name whose key has other
-    names as well), and the new entries.  Entries of a level have ``level`` set.
+    names as well, or a mark), the new entries and the new marks.  ``old`` are a level's.
     """
     rows = new.select(*COLUMNS, F.lit(False).alias("old"))
     for level in levels:
         rows = rows.unionByName(level.select(*COLUMNS, F.lit(True).alias("old")))
 
     def scan(c):
-        kind, key, name, doc_id, row, first, last, at, old = c
-        plain = kind == REPEAT
+        plain = c[0] == REPEAT
         if plain.any():
-            yield _table([x[plain] for x in (kind, key, name, doc_id, row, first, last, at)])
-            kind, key, name, doc_id, row, first, last, at, old = (x[~plain] for x in c)
+            yield _table([x[plain] for x in c[:-1]])
+            c = [x[~plain] for x in c]
+        if not len(c[0]):
+            return
+        begin = np.flatnonzero(np.concatenate(([True], (c[1][1:] != c[1][:-1]) | (c[8][1:] != c[8][:-1]))))
+        mark = c[0] == MARK
+        marked = np.repeat(np.logical_or.reduceat(mark, begin), np.diff(np.append(begin, len(mark))))[~mark]
+        fresh = mark & ~c[9]
+        if fresh.any():
+            yield _table([x[fresh] for x in c[:-1]])
+        _, key, name, doc_id, row, first, last, at, route, old = (x[~mark] for x in c)
         if not len(key):
             return
-        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        new_key = np.concatenate(([True], (key[1:] != key[:-1]) | (route[1:] != route[:-1])))
         new_name = new_key | np.concatenate(([True], name[1:] != name[:-1]))
         names = np.add.reduceat(new_name.astype(np.int64), np.flatnonzero(new_key))
         several = np.repeat(names > 1, np.diff(np.append(np.flatnonzero(new_key), len(key))))
         again = ~new_name & ~old
         if again.any():
             yield _repeats(doc_id[again], row[again], first[again], last[again])
-        values = key, name, doc_id, row, first, last, at
+        # what a level dealt by its stretches became forks in its own batch
+        several = (several | marked | (route != 0)) & ~(old & (route != 0))
+        values = key, name, doc_id, row, first, last, at, route
         for kind_, some in ((FORK, new_name & several), (ENTRY, new_name & ~old)):
             if some.any():
                 yield _table([np.full(int(some.sum()), kind_, np.int32), *(x[some] for x in values)])
@@ -142,14 +167,16 @@ def merge_scan(new: DataFrame, levels: list) -> DataFrame:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in (*COLUMNS, "old")]
             if kept is not None:
                 columns = [np.concatenate(x) for x in zip(kept, columns)]
-            edge = int(np.searchsorted(columns[1], columns[1][-1]))  # the last key may go on
+            key, route = columns[1], columns[8]
+            goes_on = (key == key[-1]) & (route == route[-1])  # the last key may go on
+            edge = 0 if goes_on.all() else len(key) - int(np.argmin(goes_on[::-1]))
             yield from scan([x[:edge] for x in columns])
             kept = [x[edge:] for x in columns]
         if kept is not None:
             yield from scan(kept)
 
     # earlier entries of a name come first: levels hold earlier documents
-    ordered = rows.repartition("key").sortWithinPartitions("key", "name", "doc_id", "row", "first")
+    ordered = rows.repartition("key", "route").sortWithinPartitions("key", "route", "name", "doc_id", "row", "first")
     return ordered.mapInArrow(run, SCHEMA)
 
 
@@ -165,92 +192,164 @@ class IndexFamily:
         With ``keep`` the new entries become a level, and equal levels merge.
         """
         found = merge_scan(arrays(batch), [table for _, table in self.levels])
-        found = stored(found if keep else found.filter(F.col("kind") != ENTRY), "scan")
+        found = stored(found if keep else found.filter(F.col("kind") < ENTRY), "scan")
         if keep:
-            size, table = 1, found.filter(F.col("kind") == ENTRY)
+            size, table = 1, found.filter(F.col("kind") >= ENTRY)
             while self.levels and self.levels[-1][0] <= size:
                 more, other = self.levels.pop()
                 size, table = size + more, table.unionByName(other)
             if size > 1:
-                table = stored(table.repartition("key").sortWithinPartitions("key", "name"), "level")
+                table = stored(table.repartition("key", "route").sortWithinPartitions("key", "route", "name"), "level")
             self.levels.append((size, table))
-        return found.filter(F.col("kind") != ENTRY)
+        return found.filter(F.col("kind") < ENTRY)
 
 
 # -- forks ---------------------------------------------------------------------------
 
 
-def fork_repeats(docs: DataFrame, forks: DataFrame) -> DataFrame:
-    """``row, first, last`` of windows at forks that an earlier stretch has as well.
+#: Rows at forks: a stretch with its bytes, a repeat already known (``lead`` is its last window), or, from 0 on,
+#: a window's distance to the anchor.
+STRETCH, KNOWN = -1, -2
+PIECES = "key long, doc_id long, row long, first long, lead long, place long, hash long, bytes binary"
+
+
+def _windows(lead, data):
+    """Stretch, place in it, distance to the anchor and hash of every window of some stretches."""
+    joined = np.frombuffer(b"".join(data), np.uint8)
+    length = np.array([len(d) for d in data])
+    start = np.cumsum(length) - length
+    count = length - LENGTH + 1
+    _, hashes = A.hashes(joined)
+    ends = np.cumsum(count)
+    inside = np.arange(ends[-1]) - np.repeat(ends - count, count)
+    of = np.repeat(np.arange(len(data)), count)
+    return of, inside, lead[of] - inside, hashes[start[of] + inside].view(np.int64)
+
+
+def _spans(row, at):
+    """Windows as spans of neighbours: ``row, first, last``."""
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] > at[:-1] + 1))))
+    return row[new], at[new], at[np.concatenate((new[1:], [len(row)])) - 1]
 
-    The bytes of the stretches are read from the texts and sorted by key; windows of a
-    key are equal when they lie alike to the anchor and have the same hash.
+
+def pieces(docs: DataFrame, forks: DataFrame) -> DataFrame:
+    """What is compared at forks, as ``PIECES``; equal ``key, place, hash`` meet in one task.
+
+    Stretches of a seed with up to ``HOT_FORKS`` forks go there whole.  Those of others are
+    cut in windows, of which a task sends the first of each hash.
     """
-    wanted = forks.groupBy("row").agg(F.collect_set(F.struct("key", "first", "last", "at")).alias("forks"))
+    salt = F.pmod("row", F.lit(SALTS)).alias("salt")
+    hot = forks.groupBy("key").count().filter(F.col("count") > HOT_FORKS)
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    hot = hot.select("key", F.explode(salts).alias("salt"), F.lit(True).alias("hot"))
+    told = forks.select("*", salt).join(hot, ["key", "salt"], "left")
+    fork = F.struct("key", "first", "last", "at", F.col("hot").isNotNull().alias("hot"))
+    wanted = told.groupBy("row").agg(F.collect_set(fork).alias("forks"))
     both = docs.select("doc_id", "row", "text").join(wanted, "row")
+    names = [c.split()[0] for c in PIECES.split(", ")]
+
+    def narrow(key, doc_id, row, first, lead, place, hashes):
+        values = [key, doc_id, row, first, lead, place, hashes]
+        return pa.RecordBatch.from_arrays([*(pa.array(v) for v in values), pa.nulls(len(key), pa.binary())], names)
+
+    def cut_up(held):
+        *numbers, data = zip(*held)
+        key, doc_id, row, first, lead = (np.array(c, np.int64) for c in numbers)
+        of, inside, place, value = _windows(lead, data)
+        key, doc_id, row, at = key[of], doc_id[of], row[of], first[of] + inside
+        order = np.lexsort((at, row, doc_id, value, place, key))
+        key, doc_id, row, at, place, value = (x[order] for x in (key, doc_id, row, at, place, value))
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (place[1:] != place[:-1]) | (value[1:] != value[:-1])))
+        zero = np.zeros(int(new.sum()), np.int64)
+        yield narrow(key[new], doc_id[new], row[new], at[new], zero, place[new], value[new])
+        if not new.all():
+            of_row, start, last = _spans(row[~new], at[~new])
+            zero = np.zeros(len(of_row), np.int64)
+            # dealt by the row: nothing else meets them
+            yield narrow(A.mix(of_row.view(np.uint64)).view(np.int64), zero, of_row, start, last, zero + KNOWN, start)
 
     def cut(batches):
+        held = []
         for batch in batches:
             out = []
             for doc_id, row, text, some in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "row")), texts(batch), batch.column("forks").to_pylist()
             ):
                 data = text.encode()
-                out += [
-                    (f["key"], doc_id, row, f["first"], f["at"] - f["first"], data[f["first"] : f["last"] + LENGTH])
-                    for f in some
-                ]
-            columns = list(zip(*out))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "doc_id", "row", "first", "lead", "bytes"]
-            )
-
-    pieces = both.mapInArrow(cut, "key long, doc_id long, row long, first long, lead long, bytes binary")
-
-    def compare(rows):
-        """Windows of whole key groups: equal key, distance to the anchor and hash, not the first."""
-        key, row, first, lead, data = rows
-        joined = np.frombuffer(b"".join(data), np.uint8)
-        length = np.array([len(d) for d in data])
-        start = np.cumsum(length) - length
-        count = length - LENGTH + 1
-        if len(joined) < LENGTH:
+                for f in some:
+                    part = data[f["first"] : f["last"] + LENGTH]
+                    piece = f["key"], doc_id, row, f["first"], f["at"] - f["first"]
+                    if f["hot"]:
+                        held.append((*piece, part))
+                        if len(held) >= CUT_AT_ONCE:
+                            yield from cut_up(held)
+                            held = []
+                    else:
+                        out.append((*piece, STRETCH, 0, part))
+            if out:
+                kinds = (*[pa.int64()] * 7, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], names)
+        if held:
+            yield from cut_up(held)
+
+    return both.mapInArrow(cut, PIECES)
+
+
+def fork_repeats(docs: DataFrame, forks: DataFrame) -> DataFrame:
+    """``row, first, last`` of windows at forks that an earlier stretch has as well.
+
+    The bytes of the stretches are read from the texts; windows of a key are equal when
+    they lie alike to the anchor and have the same hash.
+    """
+
+    def spans(row, first, last):
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(first), pa.array(last)], ["row", "first", "last"])
+
+    def compare(table):
+        """Windows of whole groups: equal key, distance to the anchor and hash, not the first."""
+        key, row, first, lead, place, value = (
+            table.column(c).to_numpy() for c in ("key", "row", "first", "lead", "place", "hash")
+        )
+        known = place == KNOWN
+        if known.any():
+            yield spans(row[known], first[known], lead[known])
+        alike = (key[1:] == key[:-1]) & (place[1:] == place[:-1]) & (value[1:] == value[:-1])
+        again = np.concatenate(([False], alike)) & (place >= 0)
+        if again.any():
+            yield spans(*_spans(row[again], first[again]))
+        whole = np.flatnonzero(place == STRETCH)
+        if not len(whole):
             return
-        _, hashes = A.hashes(joined)
-        ends = np.cumsum(count)
-        inside = np.arange(ends[-1]) - np.repeat(ends - count, count)
-        of = np.repeat(np.arange(len(key)), count)
-        value = hashes[start[of] + inside]
-        group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[of]
-        lead_ = lead[of] - inside
-        order = np.lexsort((of, value, lead_, group))  # rows are in document order
-        again = np.zeros(len(order), bool)
+        data = table.column("bytes").take(pa.array(whole)).to_pylist()
+        key, row, first = key[whole], row[whole], first[whole]
+        of, inside, place, value = _windows(lead[whole], data)
+        order = np.lexsort((of, value, place, key[of]))  # rows are in document order
         a, b = order[1:], order[:-1]
-        again[a] = (value[a] == value[b]) & (lead_[a] == lead_[b]) & (group[a] == group[b])
+        again = np.zeros(len(order), bool)
+        again[a] = (value[a] == value[b]) & (place[a] == place[b]) & (key[of[a]] == key[of[b]])
         hit = np.flatnonzero(again)
         if len(hit):
-            r, at = row[of[hit]], first[of[hit]] + inside[hit]
-            new = np.flatnonzero(np.concatenate(([True], (of[hit][1:] != of[hit][:-1]) | (at[1:] != at[:-1] + 1))))
-            last = np.concatenate((new[1:], [len(hit)])) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(r[new]), pa.array(at[new]), pa.array(at[last])], ["row", "first", "last"])
+            yield spans(*_spans(row[of[hit]], first[of[hit]] + inside[hit]))
 
     def run(batches):
         kept = None
         for batch in batches:
-            table = pa.Table.from_batches([batch] if kept is None else [kept, batch])
-            key = table.column("key").to_numpy()
-            edge = int(np.searchsorted(key, key[-1]))
+            table = pa.Table.from_batches([batch])
+            if kept is not None:
+                table = pa.concat_tables([kept, table])
+            key, place, value = (table.column(c).to_numpy() for c in ("key", "place", "hash"))
+            goes_on = (key == key[-1]) & (place == place[-1]) & (value == value[-1])
+            edge = 0 if goes_on.all() else len(key) - int(np.argmin(goes_on[::-1]))
             if edge:
-                part = table.slice(0, edge)
-                numbers = [part.column(c).to_numpy() for c in ("key", "row", "first", "lead")]
-                yield from compare([*numbers, part.column("bytes").to_pylist()])
-            kept = table.slice(edge).combine_chunks().to_batches()[0]
-        if kept is not None:
-            numbers = [kept.column(c).to_numpy() for c in ("key", "row", "first", "lead")]
-            yield from compare([*numbers, kept.column("bytes").to_pylist()])
+                yield from compare(table.slice(0, edge))
+            kept = table.slice(edge)  # all its batches
+        if kept is not None and len(kept):
+            yield from compare(kept)
 
-    ordered = pieces.repartition("key").sortWithinPartitions("key", "doc_id", "row", "first")
+    ordered = pieces(docs, forks).repartition("key", "place", "hash")
+    ordered = ordered.sortWithinPartitions("key", "place", "hash", "doc_id", "row", "first")
     return ordered.mapInArrow(run, "row long, first long, last long")
 
 
