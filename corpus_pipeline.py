@@ -16,6 +16,10 @@ from tidemark.llm.common import read, stored
 from tidemark.session import configure
 
 
+#: Near duplicates share four fifths of their five-word shingles.
+NEAR = ngram_join.Rule(width=5, least=80)
+
+
 def toxic(spark, docs, sf_dir):
     """Documents at or above their language's threshold go."""
     return toxicity.clean(docs, read(spark, sf_dir, "labels"))
@@ -28,7 +32,7 @@ def exact(spark, docs, sf_dir):
 
 def near(spark, docs, sf_dir):
     """One document of each group of near duplicates stays, the one with the smallest id."""
-    return ngram_join.representatives(docs)
+    return ngram_join.representatives(docs, NEAR)
 
 
 def mixed(spark, docs, sf_dir):

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: documents linked by the words they share, and their components.
 
-A document's set holds its distinct shingles of ``WIDTH`` words.  Two documents link
-when intersection / union >= ``LEAST``/100.  The incidence of documents and shingles is
+A document's set holds its distinct shingles of ``width`` words.  Two documents link
+when intersection / union >= ``least``/100 (a ``Rule``).  The incidence of documents and shingles is
 a sparse matrix M; the overlaps are the entries of M times its transpose.  Only the
 entries that can reach the threshold are computed:
 
@@ -21,12 +21,14 @@ that do not connect to the first pivot are held against the other blocks.
 
 Defined results
     NULL or empty text, or white space alone: an empty set, linked with nothing.  Fewer
-    words than ``WIDTH``: the whole sequence is the one shingle.  Repeated rows are equal
+    words than ``width``: the whole sequence is the one shingle.  Repeated rows are equal
     sets.  Rows with a NULL ``doc_id`` link like others; their component is named by the
     smallest id that is not NULL.  An empty table gives an empty result.  Shingles are
     64-bit hashes of their words, sets 128-bit hashes of their shingles.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,8 +40,6 @@ from tidemark.llm import shingles as S
 from tidemark.llm.common import slices, stored, texts
 from tidemark.llm.components import components
 
-#: The link rule (fixed values of the contract): words of a shingle, least percentage.
-WIDTH, LEAST = 3, 90
 #: Shingles put last in the common order, at most; the order decides cost, not results.
 FREQUENT = 1 << 17
 #: A task counts shingles in chunks of this many and reports those in as many texts of a chunk.
@@ -51,20 +51,29 @@ BLOCK_ROWS, SET_ROWS, SET_SHINGLES, PIVOTS = 2048, 512, 1 << 21, 32
 SLICE_BYTES = 1 << 20
 
 
-def needed(a, b):
-    """Overlap that sets of these sizes need: 100 i >= LEAST (a + b - i)."""
-    return -(-(LEAST * (a + b)) // (100 + LEAST))
+class Rule(NamedTuple):
+    """When documents link: words of a shingle, least percentage."""
+
+    width: int
+    least: int
+
+    def needed(self, a, b):
+        """Overlap that sets of these sizes need: 100 i >= least (a + b - i)."""
+        return -(-(self.least * (a + b)) // (100 + self.least))
+
+    def prefix_length(self, n):
+        """Shingles among which a set shares one with any set that it links with."""
+        return n - -(-self.least * n // 100) + 1
 
 
-def prefix_length(n):
-    """Shingles among which a set shares one with any set that it links with."""
-    return n - -(-LEAST * n // 100) + 1
+#: The rule of the query (fixed values of its contract).
+QUERY_RULE = Rule(3, 90)
 
 
-def sets(batch):
+def sets(batch, rule):
     """Sorted distinct shingles of every text of a batch."""
     hashes, count = S.words([S.lower(t) for t in texts(batch)])
-    found, number = S.shingles(hashes, count, WIDTH)
+    found, number = S.shingles(hashes, count, rule.width)
     ends = np.cumsum(number)
     return [np.unique(found[i:j]) for i, j in zip((ends - number).tolist(), ends.tolist())]
 
@@ -78,7 +87,7 @@ def signature(tokens):
 # -- step 2: frequent shingles, prefixes, classes ------------------------------------
 
 
-def frequent(docs: DataFrame) -> np.ndarray:
+def frequent(docs: DataFrame, rule: Rule) -> np.ndarray:
     """The most frequent shingles, counted over all texts; at most ``FREQUENT``."""
 
     def run(batches):
@@ -90,7 +99,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
         for batch in slices(batches, "text", SLICE_BYTES):
-            for tokens in sets(batch):
+            for tokens in sets(batch, rule):
                 held.append(tokens)
                 size += len(tokens)
                 if size >= CHUNK:
@@ -122,10 +131,10 @@ def blocks_of(tokens):
     return np.minimum(sizes, 255).astype(np.uint8).tobytes()
 
 
-def described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, read_at, n, sig, blocks, prefix`` of every text."""
     spark = docs.sparkSession
-    last = spark.sparkContext.broadcast(frequent(docs))
+    last = spark.sparkContext.broadcast(frequent(docs, rule))
     schema = T.StructType(
         [
             docs.schema["doc_id"],
@@ -140,14 +149,14 @@ def described(docs: DataFrame) -> DataFrame:
     def run(batches):
         often = last.value
         for batch in slices(batches, "text", SLICE_BYTES):
-            found = sets(batch)
+            found = sets(batch, rule)
             prefixes = []
             for tokens in found:
                 late = np.zeros(len(tokens), bool)
                 if len(often):
                     late = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
                 order = np.concatenate((tokens[~late], tokens[late]))
-                prefixes.append(order[: prefix_length(len(tokens)) if len(tokens) else 0].view(np.int64))
+                prefixes.append(order[: rule.prefix_length(len(tokens)) if len(tokens) else 0].view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
@@ -171,8 +180,8 @@ def described(docs: DataFrame) -> DataFrame:
 class ByBlocks:
     """Compares classes by the bound that their column blocks give."""
 
-    def __init__(self, n, payload):
-        self.n = n
+    def __init__(self, n, payload, rule):
+        self.n, self.rule = n, rule
         raw = np.frombuffer(b"".join(p.ljust(FINE, b"\0") for p in payload), np.uint8).reshape(-1, FINE).astype(np.int32)
         raw[raw == 255] = 1 << 20  # that many or more
         self.has_fine = np.array([len(p) == FINE for p in payload])
@@ -182,7 +191,7 @@ class ByBlocks:
         self.fine = raw
 
     def pairs(self, a, b):
-        low, need = np.minimum(self.n[a], self.n[b]), needed(self.n[a], self.n[b])
+        low, need = np.minimum(self.n[a], self.n[b]), self.rule.needed(self.n[a], self.n[b])
         out = low >= need
         for i in range(0, len(a), 1 << 14):
             part = np.flatnonzero(out[i : i + (1 << 14)]) + i
@@ -200,8 +209,8 @@ class ByBlocks:
 class BySets:
     """Compares classes by their exact overlap, blocks of rows at a time."""
 
-    def __init__(self, n, payload):
-        self.n = n
+    def __init__(self, n, payload, rule):
+        self.n, self.rule = n, rule
         found = [np.frombuffer(p, np.uint64) for p in payload]
         self.columns, flat = np.unique(np.concatenate(found), return_inverse=True)
         ends = np.cumsum([len(f) for f in found])
@@ -216,7 +225,7 @@ class BySets:
         overlap = np.add.reduceat(
             block[np.concatenate([self.rows[o] for o in others])], np.cumsum(size) - size, axis=0, dtype=np.int32
         ).T
-        return overlap >= needed(self.n[rows][:, None], self.n[others][None, :])
+        return overlap >= self.rule.needed(self.n[rows][:, None], self.n[others][None, :])
 
     def pairs(self, a, b):
         return np.array([self.product([x], [y])[0, 0] for x, y in zip(a, b)])
@@ -264,7 +273,7 @@ def _group_links(match, role, cut, node):
         yield from ((x, x) for x in np.flatnonzero(role == MEMBER) if node[x] not in reached)
 
 
-def _compare(kind):
+def _compare(kind, rule):
     """Rows sorted by group to links, for ``mapInArrow``."""
 
     def groups(columns, kind):
@@ -273,7 +282,7 @@ def _compare(kind):
         size = np.diff(np.append(new, len(key)))
         out = []
         if kind is ByBlocks:
-            match = ByBlocks(n, payload)
+            match = ByBlocks(n, payload, rule)
             for g in range(2, SMALL + 1):
                 start = new[(size == g) & (role[new] == MEMBER) & (role[new + size - 1] == MEMBER)]
                 i, j = np.triu_indices(g, 1)
@@ -285,7 +294,7 @@ def _compare(kind):
             done = (size < 2) & (role[new] == MEMBER)
         for start, length in zip(new[~done].tolist(), size[~done].tolist()):
             stop = start + length
-            one = match if kind is ByBlocks else kind(n[start:stop], payload[start:stop])
+            one = match if kind is ByBlocks else kind(n[start:stop], payload[start:stop], rule)
             if kind is ByBlocks:
                 one = _Shifted(match, start)
             found = list(_group_links(one, role[start:stop], cut[start], node[start:stop]))
@@ -335,7 +344,7 @@ def _any_large(rows: DataFrame) -> bool:
     return not rows.filter("cuts > 1").isEmpty()
 
 
-def links(rows: DataFrame, kind, any_large: bool) -> DataFrame:
+def links(rows: DataFrame, kind, any_large: bool, rule: Rule) -> DataFrame:
     """``a, b`` that connect the groups of ``key, node, n, payload, cuts``.
 
     ``cuts`` is the number of blocks that a group is cut in, ``any_large`` whether any is
@@ -355,7 +364,7 @@ def links(rows: DataFrame, kind, any_large: bool) -> DataFrame:
 
     def compared(some):
         ordered = some.select(*ROW).repartition("key", "cut").sortWithinPartitions("key", "cut", "role", "node")
-        return ordered.mapInArrow(_compare(kind), "key long, a long, b long")
+        return ordered.mapInArrow(_compare(kind, rule), "key long, a long, b long")
 
     if not any_large:
         return compared(one).select("a", "b").filter("a <> b").distinct()
@@ -384,13 +393,13 @@ def class_table(described_docs: DataFrame) -> DataFrame:
     )
 
 
-def joined(docs: DataFrame) -> DataFrame:
+def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, n_shingles, component_id, component, read_at`` of every row.
 
     ``component`` tells components apart and is NULL for empty sets.
     """
     source = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("read_at"))
-    rows = described(source).withColumn("node", F.xxhash64("sig", "n")).drop("sig")
+    rows = described(source, rule).withColumn("node", F.xxhash64("sig", "n")).drop("sig")
     rows = stored(rows, "sets")
     classes = stored(class_table(rows), "classes")
 
@@ -399,7 +408,7 @@ def joined(docs: DataFrame) -> DataFrame:
     shared = shared.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("cuts"))
     token = stored(token.join(shared, "key"), "shared")
     filled = token.join(classes.select("node", "n", F.col("blocks").alias("payload")), "node")
-    grouped = components(links(filled, ByBlocks, _any_large(token)))
+    grouped = components(links(filled, ByBlocks, _any_large(token), rule))
 
     grouped = grouped.join(classes.select("node", "low", "n"), "node")
     size = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
@@ -409,7 +418,7 @@ def joined(docs: DataFrame) -> DataFrame:
         grouped.join(size, "component").select("node", F.col("component").alias("key"), "cuts", F.xxhash64("low").alias("at")),
         "members",
     )
-    link = stored(links(_with_sets(source, member), BySets, _any_large(member)), "links")
+    link = stored(links(_with_sets(source, member, rule), BySets, _any_large(member), rule), "links")
     named = components(link)
 
     low = classes.select("node", "low").join(named, "node", "left")
@@ -423,13 +432,13 @@ def joined(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_sets(source: DataFrame, member: DataFrame) -> DataFrame:
+def _with_sets(source: DataFrame, member: DataFrame, rule: Rule) -> DataFrame:
     """The rows of ``member`` with their sets, read anew from one document of each class."""
     wanted = source.withColumn("at", F.xxhash64("doc_id")).join(member.select("at").distinct(), "at", "left_semi")
 
     def run(batches):
         for batch in slices(batches, "text", SLICE_BYTES):
-            found = sets(batch)
+            found = sets(batch, rule)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([len(t) for t in found], pa.int64()),
@@ -446,17 +455,17 @@ def _with_sets(source: DataFrame, member: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    return joined(docs).select("doc_id", "n_shingles", "component_id")
+    return joined(docs, QUERY_RULE).select("doc_id", "n_shingles", "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     """One row of each component with all columns; rows with empty sets stay.
 
     The smallest ``doc_id`` stays, and of rows that share it the first read.  ``docs``
     must be a stored table: its rows are known again by their place in it.
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "read_at")
-    found = stored(joined(docs).select("doc_id", "read_at", "component"), "components")
+    found = stored(joined(docs, rule).select("doc_id", "read_at", "component"), "components")
     best = found.filter("component is not null").groupBy("component").agg(F.min(order)["read_at"].alias("read_at"))
     stays = best.select("read_at").union(found.filter("component is null").select("read_at"))
     rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("read_at"))
