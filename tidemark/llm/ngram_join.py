@@ -17,7 +17,8 @@ entries that can reach the threshold are computed:
 
 Steps 3 and 4 give the links that connect a group, not all its pairs.  A group too large
 for one task is cut in blocks; each block also gets the group's pivots, and only members
-that do not connect to the first pivot are held against the other blocks.
+that do not connect to the first pivot, its strays, are held against others: against the
+other blocks' connected members and among themselves, a pair of blocks in a task.
 
 Defined results
     NULL or empty text, or white space alone: an empty set, linked with nothing.  Fewer
@@ -48,6 +49,8 @@ CHUNK, REPORTED = 1 << 22, 8
 COARSE, FINE, LARGE_SET = 64, 256, 2000
 #: Rows and shingles of a group that one task takes; pivots that each block of a larger one gets.
 BLOCK_ROWS, SET_ROWS, SET_SHINGLES, PIVOTS = 2048, 512, 1 << 21, 32
+#: Strays in one block of them.
+STRAY_ROWS = 2048
 SLICE_BYTES = 1 << 20
 
 
@@ -245,24 +248,47 @@ def connect(match, members, step=16):
             todo = todo[~hit]
 
 
+def connect_across(match, left, right, step=16):
+    """Edges that connect two sides as far as members of one match members of the other."""
+    some, other = np.zeros(len(left), bool), np.zeros(len(right), bool)
+    for i in range(0, len(left), step):
+        hits = match.product(left[i : i + step], right)
+        some[i : i + step] = hits.any(1)
+        other |= hits.any(0)
+    todo = [left[some], right[other]]
+    while len(todo[0]):
+        root, todo[0] = todo[0][0], todo[0][1:]
+        queue = [[root], []]
+        while queue[0] or queue[1]:
+            side = 0 if queue[0] else 1
+            front, queue[side] = queue[side][:step], queue[side][step:]
+            if len(todo[1 - side]):
+                hit = match.product(np.array(front), todo[1 - side]).any(0)
+                yield from ((root, x) for x in todo[1 - side][hit])
+                queue[1 - side].extend(todo[1 - side][hit].tolist())
+                todo[1 - side] = todo[1 - side][~hit]
+
+
 #: Groups up to this size are compared pair by pair, many groups at once.
 SMALL = 8
-FIRST, PIVOT, MEMBER, STRAY = range(4)
+FIRST, PIVOT, MEMBER, STRAY, FAR = range(5)
 
 
-def _group_links(match, role, cut, node):
+def _group_links(match, role, node):
     """Links of one group; a group that is one block of several also tells its strays.
 
     A stray is written as a link with itself.
     """
-    if (role == STRAY).any():  # second pass: strays against the connected members of a block
-        strays, others = np.flatnonzero(role == STRAY), np.flatnonzero(role == MEMBER)
+    if (role >= STRAY).any():  # second pass: a block of strays and connected members, other strays, or nothing else
+        strays, others, far = (np.flatnonzero(role == r) for r in (STRAY, MEMBER, FAR))
         if len(others):
             for i in range(0, len(strays), 16):
                 some = strays[i : i + 16]
                 hits = match.product(some, others)
                 yield from ((s, others[h.argmax()]) for s, h in zip(some, hits) if h.any())
-        if cut == 0:
+        elif len(far):
+            yield from connect_across(match, strays, far)
+        else:
             yield from connect(match, strays)
         return
     edges = list(connect(match, np.arange(len(role))))
@@ -297,27 +323,30 @@ def _compare(kind, rule):
             one = match if kind is ByBlocks else kind(n[start:stop], payload[start:stop], rule)
             if kind is ByBlocks:
                 one = _Shifted(match, start)
-            found = list(_group_links(one, role[start:stop], cut[start], node[start:stop]))
+            found = list(_group_links(one, role[start:stop], node[start:stop]))
             if found:
                 out.append(np.array(found) + start)
         edges = np.concatenate([*out, np.zeros((0, 2), np.int64)])
         return pa.RecordBatch.from_arrays(
-            [pa.array(key[edges[:, 0]]), pa.array(node[edges[:, 0]]), pa.array(node[edges[:, 1]])], ["key", "a", "b"]
+            [pa.array(c) for c in (key[edges[:, 0]], node[edges[:, 0]], node[edges[:, 1]], n[edges[:, 0]])],
+            ["key", "a", "b", "n"],
         )
 
     def run(batches):
         kept = None
         for batch in batches:
-            table = pa.Table.from_batches([batch] if kept is None else [kept, batch]).combine_chunks()
+            table = pa.Table.from_batches([batch])
+            if kept is not None:
+                table = pa.concat_tables([kept, table])
             key, cut = (table.column(c).to_numpy() for c in ("key", "cut"))
             # the last group may go on in the next batch
             edge = len(key) - int(np.argmax(((key != key[-1]) | (cut != cut[-1]))[::-1])) if len(key) else 0
             whole = 0 if (key[0] == key[-1] and cut[0] == cut[-1]) else edge
             if whole:
                 yield groups(_columns(table.slice(0, whole)), kind)
-            kept = table.slice(whole).combine_chunks().to_batches()[0]
+            kept = table.slice(whole)  # all its batches
         if kept is not None:
-            yield groups(_columns(pa.Table.from_batches([kept])), kind)
+            yield groups(_columns(kept), kind)
 
     return run
 
@@ -344,41 +373,71 @@ def _any_large(rows: DataFrame) -> bool:
     return not rows.filter("cuts > 1").isEmpty()
 
 
-def links(rows: DataFrame, kind, any_large: bool, rule: Rule) -> DataFrame:
+def links(rows: DataFrame, kind, told: DataFrame, rule: Rule) -> DataFrame:
     """``a, b`` that connect the groups of ``key, node, n, payload, cuts``.
 
-    ``cuts`` is the number of blocks that a group is cut in, ``any_large`` whether any is
-    cut in more than one.
+    ``cuts`` is the number of blocks that a group is cut in; ``told`` holds ``key, node,
+    cuts`` of the same rows, stored.
     """
-    one = rows.filter("cuts = 1").select("key", F.lit(0).alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
+    one = rows.filter("cuts = 1").select("key", F.lit(0).cast("long").alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
     large = rows.filter("cuts > 1")
-    cut = F.pmod(F.xxhash64("node", F.lit(1)), "cuts").cast("int")
+    cut = F.pmod(F.xxhash64("node", F.lit(1)), "cuts")
     member = large.select("key", cut.alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
     ranked = large.withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy(F.xxhash64("node"), "node")))
     pivot = ranked.filter(F.col("rank") <= PIVOTS).select(
         "key",
-        F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"),
+        F.explode(_numbers("cuts")).alias("cut"),
         F.when(F.col("rank") == 1, FIRST).otherwise(PIVOT).alias("role"),
         "node", "n", "payload",
     )
 
     def compared(some):
         ordered = some.select(*ROW).repartition("key", "cut").sortWithinPartitions("key", "cut", "role", "node")
-        return ordered.mapInArrow(_compare(kind, rule), "key long, a long, b long")
+        return ordered.mapInArrow(_compare(kind, rule), "key long, a long, b long, n long")
 
-    if not any_large:
+    if not _any_large(told):
         return compared(one).select("a", "b").filter("a <> b").distinct()
     first = stored(compared(one.union(member).union(pivot)), "links")
-    strays = first.filter("a = b").select("key", F.col("a").alias("node")).distinct()
-    strayed = large.join(strays, ["key", "node"], "left_semi").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"),
-        F.lit(STRAY).alias("role"), "node", "n", "payload",
-    )
-    rest = member.join(strays, ["key", "node"], "left_anti").join(strays.select("key").distinct(), "key", "left_semi")
-    second = compared(rest.select(*ROW).union(strayed))
+    tasks = _second_pass(first, told.filter("cuts > 1").withColumn("cut", cut), kind)
+    second = compared(large.join(tasks, ["key", "node"]))
     return first.select("a", "b").union(second.select("a", "b")).filter("a <> b").distinct()
 
 
+def _numbers(count):
+    return F.sequence(F.lit(0).cast("long"), F.col(count).cast("long") - 1)
+
+
+def _second_pass(first: DataFrame, told: DataFrame, kind) -> DataFrame:
+    """``key, node, cut, role``: where strays meet connected members, and each other.
+
+    Strays of a group are cut in blocks.  Each block meets each block of connected members,
+    and each other block of strays, in a task of its own.  Members without any link need
+    not come: but strays, only the first pivot has none, and it met all in the first pass.
+    """
+    strays = first.filter("a = b").select("key", F.col("a").alias("node"), "n").distinct()
+    size = strays.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
+    parts = F.ceil(F.col("rows") / STRAY_ROWS)
+    if kind is BySets:  # two blocks are as large as one of the first pass
+        parts = F.greatest(parts, F.ceil(2 * F.col("all") / SET_SHINGLES))
+    size = size.select("key", parts.cast("long").alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(2)), "parts").alias("part")
+    strays = stored(strays.join(size, "key").select("key", "node", "parts", part), "strays")
+    ends = first.filter("a <> b").select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
+    linked = ends.join(strays, ["key", "node"], "left_anti").join(told, ["key", "node"])
+    linked = stored(linked.select("key", "node", "cut"), "linked")
+
+    task = (F.col("cut") * F.col("parts") + F.col("part")).alias("cut")
+    member = linked.join(size, "key").select("key", "node", "cut", "parts", F.explode(_numbers("parts")).alias("part"))
+    against = strays.join(linked.select("key", "cut").distinct(), "key")
+    both = strays.select("key", "node", "parts", "part", F.explode(_numbers("parts")).alias("other"))
+    pair = -1 - (F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
+    return (
+        member.select("key", "node", task, F.lit(MEMBER).alias("role"))
+        .union(against.select("key", "node", task, F.lit(STRAY).alias("role")))
+        .union(both.select("key", "node", pair.alias("cut"), F.when(F.expr("part > other"), FAR).otherwise(STRAY).alias("role")))
+    )
+
+
 def class_table(described_docs: DataFrame) -> DataFrame:
     """One row per distinct set: ``node`` names it, ``low`` is its smallest document."""
     return (
@@ -408,7 +467,7 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     shared = shared.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("cuts"))
     token = stored(token.join(shared, "key"), "shared")
     filled = token.join(classes.select("node", "n", F.col("blocks").alias("payload")), "node")
-    grouped = components(links(filled, ByBlocks, _any_large(token), rule))
+    grouped = components(links(filled, ByBlocks, token, rule))
 
     grouped = grouped.join(classes.select("node", "low", "n"), "node")
     size = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
@@ -418,7 +477,7 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
         grouped.join(size, "component").select("node", F.col("component").alias("key"), "cuts", F.xxhash64("low").alias("at")),
         "members",
     )
-    link = stored(links(_with_sets(source, member, rule), BySets, _any_large(member), rule), "links")
+    link = stored(links(_with_sets(source, member, rule), BySets, member, rule), "links")
     named = components(link)
 
     low = classes.select("node", "low").join(named, "node", "left")
