@@ -20,6 +20,7 @@ Defined results
 """
 
 import os
+import re
 import struct
 import zlib
 from functools import lru_cache
@@ -51,14 +52,24 @@ NULL_ID = -(2**63)
 
 
 class Encoder(PieceCache):
-    """The tokenizers library behind a cache: each distinct piece of text is encoded once."""
+    """The tokenizers library behind a cache: each distinct piece of text is encoded once.
+
+    As in the library, the file's added tokens are found in a text before all else, and
+    what lies between them is cut as texts of their own.
+    """
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = tokenizer.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("an added token asks for more than its own string")
+        self.added = {t.content: np.array([i], np.uint32) for i, t in added.items() if t.content}
+        # the leftmost, of those the longest
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else lambda text: [text]
 
         def encode(new):
             found = tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
@@ -70,7 +81,11 @@ class Encoder(PieceCache):
     def documents(self, words):
         """Ids of each text, with the end id."""
         end = np.array([END_ID], np.uint32)
-        return [np.concatenate((ids, end)) for ids in self.texts(words)]
+        parts = [self.split(w) for w in words]  # every other one is an added token
+        between = iter(self.texts([p for some in parts for p in some[::2]]))
+        return [
+            np.concatenate([*(self.added[p] if i % 2 else next(between) for i, p in enumerate(some)), end]) for some in parts
+        ]
 
 
 @lru_cache(2)
