@@ -18,7 +18,7 @@ def test_all_operators_are_registered():
     import __spark_entry__ as entry
 
     numbers = {int(n.split("_")[0][2:]) for n in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 

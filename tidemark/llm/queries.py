@@ -4,7 +4,20 @@ Where SQL cannot express a result there is no twin; ``tests/llm`` holds those
 queries against brute force.
 """
 
-from tidemark.llm import byte_bpe, chat_format, exact_dedup, fingerprints, mixing, ngram_join, piece_counts, substring_dedup, token_files, toxicity
+from tidemark.llm import (
+    byte_bpe,
+    chat_format,
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    mixing,
+    ngram_join,
+    piece_counts,
+    sentence_pieces,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -22,6 +35,11 @@ def _toxicity(spark, sf_dir):
     return toxicity.report(read(spark, sf_dir), sf_dir)
 
 
+def _filter_audit(spark, sf_dir):
+    configure(spark)
+    return filter_audit.report(read(spark, sf_dir), sf_dir)
+
+
 QUERIES = {
     "op1_fingerprints": _query(fingerprints),
     "op2_chat_format": _query(chat_format, "conversations"),
@@ -33,9 +51,12 @@ QUERIES = {
     "op8_piece_counts": _query(piece_counts),
     "op9_byte_bpe": _query(byte_bpe),
     "op10_mixing": _query(mixing),
+    "op12_sentencepiece": _query(sentence_pieces),
+    "op13_filter_audit": _filter_audit,
 }
 
 ORACLES = {
+    "op13_filter_audit": filter_audit.SQL,
     # the template adds 17 signs to a turn, and one to every control string inside
     "op2_chat_format": r"""
         WITH turns AS (
