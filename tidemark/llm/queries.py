@@ -7,6 +7,7 @@ queries against brute force.
 from tidemark.llm import (
     byte_bpe,
     chat_format,
+    conversation_repair,
     exact_dedup,
     filter_audit,
     fingerprints,
@@ -51,6 +52,7 @@ QUERIES = {
     "op8_piece_counts": _query(piece_counts),
     "op9_byte_bpe": _query(byte_bpe),
     "op10_mixing": _query(mixing),
+    "op11_conversation_repair": _query(conversation_repair, "conversations"),
     "op12_sentencepiece": _query(sentence_pieces),
     "op13_filter_audit": _filter_audit,
 }
