@@ -26,9 +26,9 @@ import codecs
 import heapq
 import re
 from array import array
+from collections import defaultdict
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,11 +39,12 @@ from tidemark.llm.common import slices, texts
 
 #: The blank inside a model, as the library writes it (fixed value).
 BLANK = "▁"
-#: Units kept with their ids per worker, the longest kept, pairs kept.
-CACHED, CACHED_CHARS, CACHED_PAIRS = 400_000, 48, 2_000_000
+#: Units kept with their ids per worker, the longest kept; pairs and steps of the automaton kept.
+CACHED, CACHED_CHARS, CACHED_PAIRS, CACHED_STEPS = 400_000, 48, 1_000_000, 200_000
 #: Bytes of text per output batch, characters cut into units at a time.
 SLICE_BYTES, PIECE = 1 << 20, 1 << 20
 
+_NEVER = float("inf")
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
@@ -62,6 +63,62 @@ class Units(dict):
         return ids
 
 
+class Longest:
+    """Aho-Corasick over reversed tokens: a match that ends somewhere in the reversed text begins there in the text.
+
+    A state knows the longest token that ends in it, its own or that of its failure link.
+    Transitions found through failure links are kept, up to ``CACHED_STEPS``.
+    """
+
+    def __init__(self, tokens):
+        step, token = [{}], [-1]  # state -> sign -> state; state 0 is the root
+        for text, number in tokens.items():
+            state = 0
+            for sign in reversed(text):
+                following = step[state].get(sign)
+                if following is None:
+                    step[state][sign] = following = len(token)
+                    step.append({})
+                    token.append(-1)
+                state = following
+            token[state] = number
+        link, level = [0] * len(token), [0]
+        while level:  # links of a state rest on those of shorter strings
+            here = []
+            for parent in level:
+                for sign, state in step[parent].items():
+                    here.append(state)
+                    if parent:
+                        at = link[parent]
+                        while sign not in step[at] and at:
+                            at = link[at]
+                        link[state] = step[at].get(sign, 0)
+                    if token[state] < 0:
+                        token[state] = token[link[state]]
+            level = here
+        self.step, self.link, self.token, self.room = step, link, token, CACHED_STEPS
+
+    def _resolve(self, state, sign):
+        at = self.link[state]
+        while sign not in self.step[at] and at:
+            at = self.link[at]
+        following = self.step[at].get(sign, 0)
+        if self.room:
+            self.step[state][sign] = following
+            self.room -= 1
+        return following
+
+    def __call__(self, unit):
+        """The longest token that begins at each sign, or -1."""
+        step, token, state, out = self.step, self.token, 0, []
+        for sign in reversed(unit):
+            following = step[state].get(sign)
+            state = self._resolve(state, sign) if following is None else following
+            out.append(token[state])
+        out.reverse()
+        return out
+
+
 class Model:
     """Tokens of a merge-type model and the tables that encoding needs."""
 
@@ -86,18 +143,14 @@ class Model:
         signs = set().union(*self.ids)
         # characters that only longer tokens hold stand for their bytes
         self.pieces = {**dict(enumerate(piece)), **{size + n: c for n, c in enumerate(sorted(signs - self.ids.keys()))}}
-        self.size = {i: len(p) for i, p in self.pieces.items()}
+        self.size = [len(self.pieces[i]) for i in range(len(self.pieces))]
         self.token = {**self.ids, **{p: i for i, p in self.pieces.items() if i >= size}}
         self.expanded = {i: [self.byte[b] for b in self.pieces[i].encode()] for i in range(size, len(self.pieces))}
         tied = [p for p, score in self.order.items() if len(p) > 1 and times[score] > 1]
         self.tied = [t for t in tied if not any(u in t for u in tied if u != t)]  # the others hold one of these
         self.longest = max(map(len, self.order))
-        # reversed tokens over a reversed text: matches that end at a place begin there in the text
-        self.matches = ahocorasick.Automaton()
-        for text, i in self.token.items():
-            self.matches.add_word(text[::-1], i)
-        self.matches.make_automaton()
-        self.shorter, self.pairs, self.units = {}, {}, Units(self._encode)
+        self.matches = Longest(self.token)
+        self.shorter, self.pairs, self.n_pairs, self.units = {}, defaultdict(dict), 0, Units(self._encode)
         inner = "".join(map(re.escape, sorted(signs - {BLANK})))
         self.cut = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|.", re.DOTALL)
         self.edge = re.compile(f"(?<=[^{BLANK}]){BLANK}")
@@ -113,23 +166,22 @@ class Model:
 
     # -- merging, for compatibility and for tied tokens ----------------------------------
 
-    def merged(self, text):
-        """Join the best pair, the leftmost first, until none is a token."""
-        order, parts = self.order, list(text)
-        best = [order.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            low, at = None, -1
-            for i, score in enumerate(best):
-                if score is not None and (low is None or score < low):
-                    low, at = score, i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def merged(self, text, edge=0):
+        """Join the best pair, the leftmost first, until none is a token; None once a pair crosses ``edge``."""
+        find, parts = self.order.get, list(text)
+        best = [find(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while best and (low := min(best)) < _NEVER:
+            at = best.index(low)
+            if at == edge - 1:  # ``edge`` counts parts
+                return None
+            edge -= at < edge
+            parts[at] += parts.pop(at + 1)
             del best[at]
             if at < len(best):
-                best[at] = order.get(parts[at] + parts[at + 1])
+                best[at] = find(parts[at] + parts[at + 1], _NEVER)
             if at:
-                best[at - 1] = order.get(parts[at - 1] + parts[at])
+                best[at - 1] = find(parts[at - 1] + parts[at], _NEVER)
+        return parts
 
     def tied_merged(self, unit):
         """A unit that may hold tied tokens, merged with a queue by score and place."""
@@ -152,64 +204,67 @@ class Model:
 
     # -- backtracking -------------------------------------------------------------------
 
-    def compatible(self, pair):
-        """Whether both come out when their characters are merged; no left one at the beginning."""
-        left, right = (pair >> 32) - 1, pair & 0xFFFFFFFF
-        parts = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
-        if len(self.pairs) >= CACHED_PAIRS:
+    def compatible(self, left, right):
+        """Whether both come out when their characters are merged; no left one (-1) at the beginning."""
+        first = "" if left < 0 else self.pieces[left]
+        if self.n_pairs >= CACHED_PAIRS:
             self.pairs.clear()
-        known = self.pairs[pair] = self.merged("".join(parts)) == parts
+            self.n_pairs = 0
+        self.n_pairs += 1
+        parts = self.merged(first + self.pieces[right], len(first))
+        known = parts is not None and len(parts) == 2 - (left < 0)
+        self.pairs[left][right] = known
         return known
 
     def next_shorter(self, token):
         """The longest token that begins ``token``, or -1."""
-        found = self.shorter.get(token)
-        if found is None:
-            text = self.pieces[token]
-            found = next((self.token[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.token), -1)
-            self.shorter[token] = found
+        text = self.pieces[token]
+        found = next((self.token[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.token), -1)
+        self.shorter[token] = found
         return found
 
     def backtrack(self, unit):
-        n, size, shorter, pairs = len(unit), self.size, self.shorter, self.pairs
-        longest = [-1] * n
-        for last, token in self.matches.iter(unit[::-1]):
-            if longest[n - 1 - last] < 0:  # the longest comes first
-                longest[n - 1 - last] = token
-        failed, at, taken = bytearray((n >> 3) + 1), 0, []
-        token = longest[0]
-        while at < n:
-            left = taken[-1] + 1 << 32 if taken else 0
+        """Tokens of a unit: the longest compatible one each time, back again where none leads on."""
+        size, shorter, pairs, longest, n = self.size, self.shorter, self.pairs, self.matches(unit), len(unit)
+        failed, at, left, taken, token = None, 0, -1, [], longest[0]
+        after = pairs[left]
+        while True:
             while token >= 0:
                 to = at + size[token]
-                if not failed[to >> 3] >> (to & 7) & 1:
-                    known = pairs.get(left | token)
-                    if self.compatible(left | token) if known is None else known:
+                if failed is None or not failed[to >> 3] >> (to & 7) & 1:
+                    known = after.get(token)
+                    if known or known is None and self.compatible(left, token):
                         break
                 token = shorter[token] if token in shorter else self.next_shorter(token)
-            if token >= 0:
-                taken.append(token)
-                at = to
-                token = longest[at] if at < n else -1
             else:
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 token = taken.pop()
                 at -= size[token]
-                token = self.next_shorter(token)
-        return taken
+                left = taken[-1] if taken else -1
+                after = pairs[left]
+                token = shorter[token] if token in shorter else self.next_shorter(token)
+                continue
+            taken.append(token)
+            if to == n:
+                return taken
+            at, left = to, token
+            after = pairs[left]
+            token = longest[at]
 
     def _encode(self, unit):
         if len(unit) == 1 and unit not in self.token:
-            return [self.byte[b] for b in unit.encode()]
+            return tuple(self.byte[b] for b in unit.encode())
         for tied in self.tied:
             if tied in unit:
                 taken = self.tied_merged(unit)
                 break
         else:
             taken = self.backtrack(unit)
-        if not self.expanded:
-            return taken
-        return [i for token in taken for i in self.expanded.get(token, (token,))]
+        if self.expanded:
+            taken = [i for token in taken for i in self.expanded.get(token, (token,))]
+        return tuple(taken)
 
     def encode(self, text):
         """Ids of a text without the end id, as an array."""
