@@ -44,6 +44,8 @@ def _parser():
     job.add_argument("--target", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--dead-letters")
+    job.add_argument("--shared", action="store_true", help="let this stream write into a target that others fill")
+    job.add_argument("--log", help="folder that gets a row per commit")
     job.add_argument("--max-offsets", type=int, help="records a trigger takes of a topic; all by default")
     job.add_argument("--max-files", type=int, help="files a trigger takes of a folder; all by default")
     job.add_argument("--compression", default="snappy")
@@ -89,7 +91,10 @@ def _run(spark, args):
     if args.job == "ingest":
         trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
         source = _source(spark, args, streaming=True)
-        ingest.start_ingest(source, args.target, args.checkpoint, trigger, args.dead_letters, args.compression).awaitTermination()
+        query = ingest.start_ingest(
+            source, args.target, args.checkpoint, trigger, args.dead_letters, args.compression, shared=args.shared, log=args.log
+        )
+        query.awaitTermination()
     elif args.job == "peek":
         print(ingest.preview(envelope.envelope_text(_source(spark, args, streaming=False))), "records")
     elif args.job == "watch":

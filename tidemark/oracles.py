@@ -300,6 +300,21 @@ ORACLES = {
             ) AS delivery FROM bronze WHERE transaction_id IS NOT NULL
         )
         SELECT transaction_id, "timestamp", account_id, amount, status FROM told WHERE delivery = 1""",
+    "stream_shared_ingest": f"""WITH {DELIVERIES}
+        SELECT {FLAT}, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp, date_partition FROM bronze""",
+    "stream_commit_log": f"""WITH {DELIVERIES}
+        SELECT TIMESTAMP '2024-02-01 00:00:00' AS committed_at, CAST(0 AS BIGINT) AS snapshot_id, 'append' AS operation,
+            COUNT(*) AS records_added FROM bronze GROUP BY coalesce(event_id % 2 <> 0, false)""",
+    "stream_unique": f"""WITH {DELIVERIES},
+        told AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY transaction_id ORDER BY ingestion_timestamp NULLS FIRST, "partition" NULLS FIRST, "offset"
+            ) AS delivery FROM bronze WHERE transaction_id IS NOT NULL
+        )
+        SELECT transaction_id, "timestamp", account_id, amount, status FROM told WHERE delivery = 1""",
+    "stream_minute_board": f"""WITH {DELIVERIES}
+        SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze
+        WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1""",
     "stream_tx_per_minute": f"""WITH {DELIVERIES}
         SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze WHERE ts IS NOT NULL GROUP BY 1""",
     "enrich_customers": f"""WITH {DELIVERIES}

@@ -13,9 +13,9 @@ from tidemark.plans import batch, bronze_reports, gold, silver
 from tidemark.plans.catalogue import REPORTS
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
 from tidemark.session import configure
-from tidemark.sources import envelope, events
+from tidemark.sources import catalog, envelope, events
 from tidemark.storage import read_layer, shared_folder
-from tidemark.streaming import ingest, live
+from tidemark.streaming import ingest, live, settled
 
 AS_OF = "2024-01-31 00:00:00"
 YESTERDAY = "2024-01-30"
@@ -174,6 +174,34 @@ def stream_dead_letters(spark, sf_dir):
     return envelope.envelope_text(dead).select("key", "value", "partition", "offset")
 
 
+def _shared_ingest(spark, sf_dir):
+    """Two streams with a checkpoint each, one after the other, into one catalog table."""
+    folder = shared_folder(spark, "shared")
+    table = f"default.shared_{folder.rsplit('-', 1)[1]}"
+    catalog.create_layers(spark, layers={"bronze": (table, BRONZE, "date_partition")})
+    for half in range(2):
+        odd = F.coalesce(F.col("event_id") % 2 != 0, F.lit(False))
+        stream = events.as_envelope(events.stream_events(spark, sf_dir).filter(odd if half else ~odd))
+        query = ingest.start_ingest(
+            stream, table, f"{folder}/checkpoint-{half}", {"availableNow": True}, ingested_at=INGESTED_AT,
+            shared=True, log=f"{folder}/log",
+        )
+        _run(query)
+    return table, f"{folder}/log"
+
+
+def stream_shared_ingest(spark, sf_dir):
+    table, _ = _shared_ingest(spark, sf_dir)
+    return _flat(spark.table(table))
+
+
+def stream_commit_log(spark, sf_dir):
+    """The commits of both streams as ingest logged them, without a look at the table."""
+    _, log = _shared_ingest(spark, sf_dir)
+    commits = history.snapshot_report(None, log=history.read_log(spark, log))
+    return commits.withColumn("records_added", F.col("records_added").cast("bigint"))
+
+
 def dead_letter_split(spark, sf_dir):
     readable, dead = envelope.split_dead_letters(events.with_damage(_envelope(spark, sf_dir)))
     both = readable.withColumn("dead", F.lit(False)).unionByName(dead.withColumn("dead", F.lit(True)))
@@ -203,6 +231,23 @@ def stream_tx_per_minute(spark, sf_dir):
     return live.read_minute_board(spark, f"{folder}/board")
 
 
+def stream_unique(spark, sf_dir):
+    """One row per id in the stored table, the newest files first."""
+    folder = shared_folder(spark, "unique")
+    source = _topic_files(spark, sf_dir)
+    _run(settled.start_unique(source, f"{folder}/table", f"{folder}/checkpoint", {"availableNow": True}))
+    rows = settled.read_unique(spark, f"{folder}/table")
+    return rows.select("transaction_id", "timestamp", "account_id", "amount", "status")
+
+
+def stream_minute_board(spark, sf_dir):
+    """Minutes of ten days, of which only the folders of their hours are read."""
+    folder = shared_folder(spark, "settled-minutes")
+    decoded = envelope.decode(_topic_files(spark, sf_dir))
+    _run(settled.start_minutes(decoded, f"{folder}/board", f"{folder}/checkpoint", {"availableNow": True}))
+    return settled.read_minutes(spark, f"{folder}/board", "2024-01-10T00", "2024-01-19T23")
+
+
 # -- table history ----------------------------------------------------------------
 
 
@@ -311,10 +356,14 @@ QUERIES = {
     "bronze_enrich": _over(_envelope, lambda e: _flat(envelope.enrich(envelope.decode(e), INGESTED_AT))),
     "encode_envelope": _bronze(lambda b: envelope.encode_envelope(b.select(*events.TRANSACTION_COLUMNS))),
     "stream_bronze_ingest": _query(stream_bronze_ingest),
+    "stream_shared_ingest": _query(stream_shared_ingest),
+    "stream_commit_log": _query(stream_commit_log),
     "dead_letter_split": _query(dead_letter_split),
     "stream_dead_letters": _query(stream_dead_letters),
     "stream_dedup": _query(stream_dedup),
     "stream_tx_per_minute": _query(stream_tx_per_minute),
+    "stream_unique": _query(stream_unique),
+    "stream_minute_board": _query(stream_minute_board),
     "enrich_customers": _query(
         lambda spark, sf_dir: live.enrich_customers(events.bronze(spark, sf_dir), events.read_customers(spark, sf_dir)).select(
             "transaction_id", "ingestion_timestamp", "customer_id", "customer_name", "segment", "nation_key"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.history import BATCH
+from tidemark.operators.history import BATCH, STREAM
 from tidemark.schemas import LAYERS
 
 
@@ -10,8 +10,10 @@ def create_layers(spark: SparkSession, location=None, layers=LAYERS):
     """Create schemas and tables that are missing, partitioned by date."""
     for name, (table, columns, partition_col) in layers.items():
         database = table.split(".")[0]
-        # a micro-batch is a partition of bronze, so that a repeated one replaces itself
-        more, parts = (f", {BATCH} BIGINT", f"{partition_col}, {BATCH}") if name == "bronze" else ("", partition_col)
+        # a stream's micro-batch is a partition of bronze, so that a repeated one replaces itself
+        more, parts = "", partition_col
+        if name == "bronze":
+            more, parts = f", {STREAM} STRING, {BATCH} BIGINT", f"{partition_col}, {STREAM}, {BATCH}"
         where = f" LOCATION '{location}/{database}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
         spark.sql(
