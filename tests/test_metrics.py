@@ -101,3 +101,48 @@ def test_alerts(spark):
     data = samples(spark, (0, "mem", {"h": "a"}, 81), (0, "mem", {"h": "b"}, 80), (0, "lag", {}, 1))
     fired = metrics.alerts(metrics.latest(data), [("high", "mem", 80), ("very", "mem", 80.5), ("behind", "lag", 0)])
     assert sorted(r.alert for r in fired.collect()) == ["behind", "high", "very"]
+
+
+def _grid(rows, step, reach):
+    """Per series, the steps whose range holds a sample: (host, step end) -> (growth in it, newest value)."""
+    series, out = {}, {}
+    for at, _, labels, value in rows:
+        series.setdefault(labels["host"], []).append((at, value))
+    for host, points in series.items():
+        points.sort()
+        grown = [0] + [b - a if b >= a else b for (_, a), (_, b) in zip(points, points[1:])]
+        for k in range(points[-1][0] // step + reach // step + 2):
+            inside = [i for i, (at, _) in enumerate(points) if k * step - reach <= at < k * step]
+            if inside:
+                out[host, k * step] = (sum(grown[i] for i in inside), points[inside[-1]][1])
+    return out
+
+
+@pytest.mark.parametrize(("reach", "step"), [(300, 60), (600, 300), (60, 60), (3600, 900)])
+def test_values_and_rates_at_steps(spark, reach, step):
+    rng = random.Random(reach + step)
+    rows = []
+    for host in "xyz":
+        at, value = rng.randint(0, 500), 0
+        for _ in range(120):
+            at += rng.choice((1, 7, 30, 60, 61, 400, 5000))
+            value = rng.randint(0, 5) if rng.random() < 0.05 else value + rng.randint(0, 9)
+            rows.append((at, "c", {"host": host}, value))
+    expected = _grid(rows, step, reach)
+    rng.shuffle(rows)
+    data = samples(spark, *rows)
+
+    def by_step(out, column):
+        return {(r.labels["host"], int((r["at"].replace(tzinfo=timezone.utc) - START).total_seconds())): r[column] for r in out.collect()}
+
+    assert by_step(metrics.rate_at_steps(data, reach, step), "rate") == pytest.approx({k: g / reach for k, (g, _) in expected.items()})
+    assert by_step(metrics.values_at_steps(data, step, reach), "value") == {k: v for k, (_, v) in expected.items()}
+
+
+def test_series_that_ended_have_no_current_value(spark):
+    data = samples(spark, (0, "c", {"host": "old"}, 1), (500, "c", {"host": "new"}, 2), (900, "c", {"host": "later"}, 3))
+    at = (START + timedelta(seconds=600)).strftime("%Y-%m-%d %H:%M:%S")
+    assert [(r.labels["host"], r.value) for r in metrics.current(data, at).collect()] == [("new", 2.0)]
+    assert metrics.latest(data).count() == 3
+    with pytest.raises(ValueError, match="multiple"):
+        metrics.rate_at_steps(data, 300, 70)

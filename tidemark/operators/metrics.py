@@ -35,15 +35,20 @@ def latest(samples: DataFrame) -> DataFrame:
     )
 
 
-def increase(samples: DataFrame, window_seconds=300) -> DataFrame:
-    """Counter growth per series and window, restarts counted from zero.
+def current(samples: DataFrame, as_of, staleness_seconds=300) -> DataFrame:
+    """Instant value at a time: a series whose newest sample is older than the limit has none."""
+    age = F.timestamp_diff("MICROSECOND", F.col("ts"), F.lit(as_of).cast("timestamp"))
+    return latest(samples.filter((age >= 0) & (age < staleness_seconds * 1_000_000)))
+
+
+def _slices(samples: DataFrame, seconds: int) -> DataFrame:
+    """Per series and slice of time: growth that belongs to it, and the last value.
 
     The first window function only ever orders the samples of one series
-    inside one slice of at most five minutes.  Slices are then chained through
-    their first and last values, a table with one row per series and slice, so
-    neither a long nor a dense series is read by a single task.
+    inside one slice.  Slices are then chained through their first and last
+    values, a table with one row per series and slice, so neither a long nor
+    a dense series is read by a single task.
     """
-    seconds = max(s for s in range(1, min(window_seconds, 300) + 1) if window_seconds % s == 0)
     series = F.sort_array(F.map_entries("labels"))
     slot = F.floor(F.unix_timestamp("ts") / seconds)
     rows = samples.select("metric", series.alias("series"), slot.alias("slot"), "ts", "value")
@@ -58,15 +63,65 @@ def increase(samples: DataFrame, window_seconds=300) -> DataFrame:
         .agg(F.sum("grown").alias("inside"), F.min_by("value", "ts").alias("first"), F.max_by("value", "ts").alias("last"))
     )
     carried = F.lag("last").over(W.partitionBy("metric", "series").orderBy("slot"))
+    return slices.withColumn("grown", F.col("inside") + growth(F.col("first"), carried))
+
+
+def increase(samples: DataFrame, window_seconds=300) -> DataFrame:
+    """Counter growth per series and window, restarts counted from zero."""
+    seconds = max(s for s in range(1, min(window_seconds, 300) + 1) if window_seconds % s == 0)
     window_start = F.timestamp_seconds(F.floor(F.col("slot") * seconds / window_seconds) * window_seconds)
     return (
-        slices.withColumn("grown", F.col("inside") + growth(F.col("first"), carried))
+        _slices(samples, seconds)
         .groupBy("metric", "series", window_start.alias("window_start"))
         .agg(F.sum("grown").cast("double").alias("increase"))
         .select("metric", F.map_from_entries("series").alias("labels"), "window_start", "increase")
     )
 
 
+def _on_grid(samples: DataFrame, step_seconds: int, reach_seconds: int) -> DataFrame:
+    """Slices of ``step_seconds``, and every step up to ``reach_seconds`` behind one that has no slice itself.
+
+    A slice fills the steps up to its successor, so there are no more rows than steps
+    with a sample within reach.  ``step`` counts steps, ``slot`` tells whose values a row has.
+    """
+    if reach_seconds % step_seconds:
+        raise ValueError("the range is no multiple of the step")
+    by_slot = W.partitionBy("metric", "series").orderBy("slot")
+    last = F.col("slot") + F.lit(reach_seconds // step_seconds - 1)
+    slices = _slices(samples, step_seconds).withColumn("following", F.lead("slot").over(by_slot))
+    until = F.least(last, F.col("following") - 1)  # NULL is skipped
+    return slices.withColumn("step", F.explode(F.sequence("slot", until)))
+
+
+def _at_step(seconds: int):
+    """A step is evaluated at its end: samples before that moment count."""
+    return F.timestamp_seconds((F.col("step") + 1) * seconds).alias("at")
+
+
+def values_at_steps(samples: DataFrame, step_seconds=60, staleness_seconds=300) -> DataFrame:
+    """Instant value of every series at every step; none where its newest sample is too old."""
+    return _on_grid(samples, step_seconds, staleness_seconds).select(
+        "metric", F.map_from_entries("series").alias("labels"), _at_step(step_seconds), F.col("last").alias("value")
+    )
+
+
+def rate_at_steps(samples: DataFrame, range_seconds=300, step_seconds=60) -> DataFrame:
+    """Per-second growth over the sliding range before every step, over the full length of the range.
+
+    Growth between two samples belongs to the later one.  A step without a sample in its range has no rate.
+    """
+    steps = range_seconds // step_seconds
+    sliding = W.partitionBy("metric", "series").orderBy("step").rangeBetween(-(steps - 1), 0)
+    grown = F.when(F.col("step") == F.col("slot"), F.col("grown")).otherwise(F.lit(0).cast(EXACT))
+    total = F.sum(grown).over(sliding).cast("double")
+    return _on_grid(samples, step_seconds, range_seconds).select(
+        "metric",
+        F.map_from_entries("series").alias("labels"),
+        _at_step(step_seconds),
+        (total / F.lit(float(range_seconds))).alias("rate"),
+    )
+
+
 def rate(samples: DataFrame, window_seconds=300) -> DataFrame:
     """Per-second growth in each window, over the full window length."""
     return increase(samples, window_seconds).select(

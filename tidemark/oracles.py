@@ -240,6 +240,17 @@ rates AS (
     )
 
 
+def _at_steps(value):
+    """Every sample counts in the five minutes that end within five minutes behind it."""
+    return f"""WITH {SAMPLES},
+        steps AS (
+            SELECT *, lag(value) OVER (PARTITION BY metric, kind, broker_host, mode, le ORDER BY ts) AS before FROM samples
+        ),
+        spread AS (SELECT *, unnest(range(1, 6)) AS k FROM steps)
+        SELECT kind, broker_host, make_timestamp((CAST(floor(epoch(ts) / 60) AS BIGINT) + k) * 60 * 1000000) AS "at", {value}
+        FROM spread"""
+
+
 EXACT_RATE = "CAST(SUM(CAST(rate AS DECIMAL(38,12))) AS DOUBLE)"
 
 QUANTILE = (
@@ -321,6 +332,18 @@ ORACLES = {
         SELECT transaction_id, ingestion_timestamp, customer_id, c_name AS customer_name, c_mktsegment AS segment,
             CAST(c_nationkey AS BIGINT) AS nation_key
         FROM bronze LEFT JOIN customer ON 'CUST' || (c_custkey + 100) = customer_id""",
+    "enrich_customers_as_of": f"""WITH {DELIVERIES},
+        changes AS (
+            SELECT 'CUST' || (user_id + 100) AS customer_id, ts AS valid_from, 'PLAN-' || (event_id % 4) AS plan
+            FROM events WHERE event_type = 'signup'
+            UNION ALL SELECT 'CUST' || (c_custkey + 100), TIMESTAMP '2024-01-02', 'BASIC' FROM customer
+        ),
+        versions AS (
+            SELECT customer_id, valid_from, max(plan) AS plan FROM changes
+            WHERE customer_id IS NOT NULL AND valid_from IS NOT NULL GROUP BY 1, 2
+        )
+        SELECT transaction_id, ingestion_timestamp, b.customer_id, plan, valid_from
+        FROM bronze b ASOF LEFT JOIN versions v ON b.customer_id = v.customer_id AND b.ts >= v.valid_from""",
     # layers
     "dedup_transactions": f"""WITH {SILVER}
         SELECT transaction_id, amount, status, ingestion_timestamp, date_partition FROM ranked WHERE delivery = 1""",
@@ -340,6 +363,15 @@ ORACLES = {
             FROM accounts GROUP BY 1"""
         for name, unit in (("weekly", "week"), ("monthly", "month"))
     },
+    "gold_caught_up": f"WITH {GOLD} SELECT * FROM accounts",
+    "gold_weekly_distinct": f"""WITH {SILVER}
+        SELECT CAST(date_trunc('week', date_partition) AS DATE) AS week_start,
+            COUNT(DISTINCT merchant) AS distinct_merchants, COUNT(DISTINCT account_id) AS distinct_accounts
+        FROM silver GROUP BY 1""",
+    "account_monthly_merchants": f"""WITH {SILVER}
+        SELECT account_id, CAST(date_trunc('month', date_partition) AS DATE) AS month_start,
+            COUNT(DISTINCT merchant) AS distinct_merchants
+        FROM silver WHERE merchant IS NOT NULL GROUP BY ALL""",
     "layers_backfilled": f"""WITH {GOLD}
         SELECT transaction_date, a.transactions, a.net_amount, m.merchant_amount
         FROM (SELECT transaction_date, CAST(SUM(total_transactions) AS BIGINT) AS transactions,
@@ -532,6 +564,15 @@ ORACLES = {
     "metric_rate_by_label": f"""WITH {_rates(300)}
         SELECT broker_host, window_start, {EXACT_RATE} AS rate FROM rates
         WHERE metric = 'bytes_total' GROUP BY 1, 2""",
+    "metric_rate_at_steps": _at_steps(
+        """CAST(SUM(CAST(CASE WHEN before IS NULL THEN 0 WHEN value >= before THEN value - before ELSE value END
+            AS DECIMAL(38,6))) AS DOUBLE) / 300.0::DOUBLE AS rate"""
+    )
+    + " WHERE metric = 'messages_total' GROUP BY ALL",
+    "metric_values_at_steps": _at_steps("arg_max(value, ts) AS value") + " WHERE metric = 'bytes_total' GROUP BY ALL",
+    "metric_current": f"""WITH {SAMPLES}
+        SELECT metric, kind, broker_host, le, max(ts) AS ts, arg_max(value, ts) AS value FROM samples
+        WHERE ts > TIMESTAMP '2024-01-30 23:00:00' AND ts <= TIMESTAMP '2024-01-30 23:30:00' GROUP BY ALL""",
     "metric_topk": f"""WITH {SAMPLES}
         SELECT kind, broker_host, value FROM latest WHERE metric = 'bytes_total' AND kind <> ''
         ORDER BY value DESC, broker_host, kind LIMIT 5""",

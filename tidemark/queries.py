@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import history, metrics, pick
+from tidemark.operators import distinct, history, metrics, pick
 from tidemark.plans import batch, bronze_reports, gold, silver
 from tidemark.plans.catalogue import REPORTS
 from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
@@ -278,6 +278,47 @@ def schema_evolution_union(spark, sf_dir):
     return history.evolve(old, new)
 
 
+def gold_caught_up(spark, sf_dir):
+    """Gold after a run over the first half's commits and one over a later date's and a late batch."""
+    folder = shared_folder(spark, "caught-up")
+    paths = {name: f"{folder}/{name}" for name in ("bronze", "silver", "accounts", "merchants")}
+    rows = events.versioned_bronze(spark, sf_dir).withColumn("_stream", F.lit("one"))
+    # every 40th record of the first half comes in with the last commit
+    late = (F.col("_batch_id") < 15) & (F.pmod(F.xxhash64("transaction_id"), F.lit(40)) == 0)
+    second = F.coalesce((F.col("_batch_id") >= 15) | late, F.lit(False))
+    rows = rows.withColumn("_batch_id", F.when(late, 99).otherwise(F.col("_batch_id")).cast("bigint"))
+    for part in (~second, second):
+        out = rows.filter(part).hint("rebalance", F.col("date_partition"))
+        out.write.mode("append").partitionBy("date_partition", "_stream", "_batch_id").parquet(paths["bronze"])
+        batch.catch_up(spark, **paths, mark=f"{folder}/mark", processed_at=AS_OF)
+    return read_layer(spark, paths["accounts"], DAILY_ACCOUNT_SUMMARY)
+
+
+def _distinct(spark, sf_dir, keys, values, unit):
+    """Distinct values by ``keys`` and a longer ``unit``, from stored bitmaps of days."""
+    folder = shared_folder(spark, "distinct")
+    rows = _silver(spark, sf_dir)
+    first = F.to_date(F.date_trunc(unit, "date_partition")).alias(f"{unit}_start")
+    out = None
+    for value, name in values.items():
+        distinct.extend_dictionary(spark, rows.select(value)).write.parquet(f"{folder}/{value}-ids")
+        ids = spark.read.schema("value STRING, id BIGINT").parquet(f"{folder}/{value}-ids")
+        days = distinct.bitmaps(rows, [*keys, "date_partition"], value, ids)
+        days.write.parquet(f"{folder}/{value}-days")
+        days = spark.read.schema(days.schema).parquet(f"{folder}/{value}-days")
+        counts = distinct.counted(days.select(*keys, first, "bucket", "bitmap"), [*keys, f"{unit}_start"], name)
+        out = counts if out is None else out.join(counts, [*keys, f"{unit}_start"], "full")
+    return out
+
+
+def gold_weekly_distinct(spark, sf_dir):
+    return _distinct(spark, sf_dir, [], {"merchant": "distinct_merchants", "account_id": "distinct_accounts"}, "week")
+
+
+def account_monthly_merchants(spark, sf_dir):
+    return _distinct(spark, sf_dir, ["account_id"], {"merchant": "distinct_merchants"}, "month")
+
+
 def layers_backfilled(spark, sf_dir):
     """The whole job over stored layers; returns stored gold of both kinds."""
     folder = shared_folder(spark, "layers")
@@ -334,6 +375,23 @@ def metric_rate_by_label(spark, sf_dir):
     return metrics.sum_by(_rates(spark, sf_dir, "bytes_total"), "broker_host")
 
 
+def metric_rate_at_steps(spark, sf_dir):
+    """Five-minute rates at every minute."""
+    samples = metrics.select_series(_samples(spark, sf_dir, "messages_total"), "messages_total")
+    return _labelled(metrics.rate_at_steps(samples, 300, 60), "at", "rate")
+
+
+def metric_values_at_steps(spark, sf_dir):
+    samples = metrics.select_series(_samples(spark, sf_dir, "bytes_total"), "bytes_total")
+    return _labelled(metrics.values_at_steps(samples, 60, 300), "at", "value")
+
+
+def metric_current(spark, sf_dir):
+    """Series that are alive half an hour before the end."""
+    rows = metrics.current(_samples(spark, sf_dir), "2024-01-30 23:30:00", 1800)
+    return _labelled(rows, "metric", metrics.label("le").alias("le"), "ts", "value")
+
+
 def metric_topk(spark, sf_dir):
     rows = metrics.select_series(_samples(spark, sf_dir, "bytes_total"), "bytes_total", not_equal={"kind": ""})
     return _labelled(metrics.topk(metrics.latest(rows), 5), "value")
@@ -369,6 +427,11 @@ QUERIES = {
             "transaction_id", "ingestion_timestamp", "customer_id", "customer_name", "segment", "nation_key"
         )
     ),
+    "enrich_customers_as_of": _query(
+        lambda spark, sf_dir: live.enrich_as_of(
+            events.bronze(spark, sf_dir), events.customer_versions(spark, sf_dir), "valid_from"
+        ).select("transaction_id", "ingestion_timestamp", "customer_id", "plan", "valid_from")
+    ),
     # layers
     "dedup_transactions": _bronze(
         lambda b: pick.dedup_transactions(b).select("transaction_id", "amount", "status", "ingestion_timestamp", "date_partition")
@@ -381,6 +444,9 @@ QUERIES = {
     "gold_daily_account_summary": _query(_accounts),
     "gold_merchant_summary": _query(_merchants),
     "layers_backfilled": _query(layers_backfilled),
+    "gold_caught_up": _query(gold_caught_up),
+    "gold_weekly_distinct": _query(gold_weekly_distinct),
+    "account_monthly_merchants": _query(account_monthly_merchants),
     # reports
     **{name: _report(name) for name in REPORTS},
     "bronze_partition_scan": _over(_stored_bronze, lambda b: _flat(bronze_reports.partition_scan(b, "2024-01-17"))),
@@ -404,6 +470,9 @@ QUERIES = {
     "metric_label_filter": _query(metric_label_filter),
     "metric_rate": _query(metric_rate),
     "metric_rate_by_label": _query(metric_rate_by_label),
+    "metric_rate_at_steps": _query(metric_rate_at_steps),
+    "metric_values_at_steps": _query(metric_values_at_steps),
+    "metric_current": _query(metric_current),
     "metric_topk": _query(metric_topk),
     "metric_histogram_quantile": _query(metric_histogram_quantile),
     "metric_alerts": _query(metric_alerts),

@@ -56,6 +56,16 @@ def read_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans of customers over time: the basic one from 2 January, another with every sign-up event."""
+    signed = read_events(spark, sf_dir).filter("event_type = 'signup'").selectExpr(
+        "concat('CUST', user_id + 100) AS customer_id", "CAST(ts AS TIMESTAMP) AS valid_from",
+        "concat('PLAN-', event_id % 4) AS plan",
+    )
+    basic = read_customers(spark, sf_dir).selectExpr("customer_id", "TIMESTAMP'2024-01-02' AS valid_from", "'BASIC' AS plan")
+    return signed.unionByName(basic).groupBy("customer_id", "valid_from").agg(F.max("plan").alias("plan"))
+
+
 def deliveries(events: DataFrame) -> DataFrame:
     """Transaction columns plus delivery time, offset and batch number."""
     copies = events.selectExpr(

@@ -63,8 +63,8 @@ def overwrite_partitions(df: DataFrame, target: str, partition_col: str, compres
         out.insertInto(target)
 
 
-def _newest_files(spark, target: str, partition_col: str, first_day: str, last_day: str) -> dict:
-    """Per stored date of a range, the greatest file name: it changes when the date is rewritten."""
+def _newest_files(spark, target: str, partition_col: str, wanted) -> dict:
+    """Per stored date that is ``wanted``, the greatest file name: it changes when the date is rewritten."""
     if is_path(target):
         if not path_exists(spark, target):
             return {}
@@ -72,20 +72,29 @@ def _newest_files(spark, target: str, partition_col: str, first_day: str, last_d
     else:
         stored = spark.table(target)
     day = F.col(partition_col).cast("string")
-    files = stored.filter((day >= first_day) & (day <= last_day)).groupBy(day.alias("day"))
+    files = stored.filter(wanted(day)).groupBy(day.alias("day"))
     return {r["day"]: r["file"] for r in files.agg(F.max("_metadata.file_name").alias("file")).collect()}
 
 
-def overwrite_range(df: DataFrame, target: str, partition_col: str, first_day: str, last_day: str, compression="snappy"):
-    """Replace a range of dates: those ``df`` has rows of, and the others with nothing."""
+def _overwrite_dates(df: DataFrame, target: str, partition_col: str, wanted, compression):
     spark = df.sparkSession
-    before = _newest_files(spark, target, partition_col, first_day, last_day)
+    before = _newest_files(spark, target, partition_col, wanted)
     overwrite_partitions(df, target, partition_col, compression)
-    after = _newest_files(spark, target, partition_col, first_day, last_day) if before else {}
+    after = _newest_files(spark, target, partition_col, wanted) if before else {}
     for day in sorted(d for d, file in before.items() if after.get(d) == file):
         replace_day(df.limit(0), target, partition_col, day, compression)
 
 
+def overwrite_range(df: DataFrame, target: str, partition_col: str, first_day: str, last_day: str, compression="snappy"):
+    """Replace a range of dates: those ``df`` has rows of, and the others with nothing."""
+    _overwrite_dates(df, target, partition_col, lambda day: (day >= first_day) & (day <= last_day), compression)
+
+
+def overwrite_days(df: DataFrame, target: str, partition_col: str, days, compression="snappy"):
+    """Replace single dates: those ``df`` has rows of, and the others of ``days`` with nothing."""
+    _overwrite_dates(df, target, partition_col, lambda day: day.isin(list(days)), compression)
+
+
 def replace_day(df: DataFrame, target: str, partition_col: str, day: str, compression="snappy"):
     """Replace one date partition with ``df``, also when ``df`` is empty.
 

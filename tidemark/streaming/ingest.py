@@ -17,6 +17,8 @@ from tidemark.sources.envelope import DOCUMENT, enrich, is_dead, parsed
 from tidemark.storage import is_path, path_exists, spread
 
 DAY = "date_partition"
+#: Stands for the stream where a batch is written by hand.
+UNNAMED = "unnamed"
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -39,6 +41,8 @@ def write_batch(rows: DataFrame, batch_id: int, target: str, compression="snappy
     partitions of its first attempt, so bronze holds every record once.  Rows of a date
     are gathered to files of the advisory size.
     """
+    if not stream and not is_path(target) and STREAM in rows.sparkSession.table(target).columns:
+        stream = UNNAMED
     names = {**({STREAM: F.lit(stream)} if stream else {}), BATCH: F.lit(batch_id).cast("bigint")}
     rows = spread(rows.withColumns(names), DAY)
     if is_path(target):
@@ -124,7 +128,7 @@ def start_ingest(
         write_batch(rows, batch_id, target, compression, stream)
         if logged:
             entry = session.createDataFrame([(seen.get["committed_at"], seen.get["rows"])], "committed_at TIMESTAMP, rows BIGINT")
-            write_folder(entry.coalesce(1), batch_id, log, compression, stream or "unnamed")
+            write_folder(entry.coalesce(1), batch_id, log, compression, stream or UNNAMED)
 
     return (
         envelope.writeStream.foreachBatch(store)

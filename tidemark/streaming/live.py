@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import iso_timestamp
+from tidemark.operators.asof import as_of_join
 from tidemark.operators.history import BATCH
 from tidemark.operators.pick import first_per_key
 from tidemark.schemas import TRANSACTION
@@ -84,3 +85,13 @@ def enrich_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame
     fact = transactions.withColumn("customer_id", F.col("customer.customer_id"))
     known = fact.filter("customer_id IS NOT NULL").join(customers, "customer_id", "left")
     return known.unionByName(fact.filter("customer_id IS NULL"), allowMissingColumns=True)
+
+
+def enrich_as_of(transactions: DataFrame, versions: DataFrame, valid_from: str, slice_seconds=3600) -> DataFrame:
+    """Customer attributes as they were at the time of the event, for a batch or inside ``foreachBatch``.
+
+    ``versions`` has a row per change of a customer, by ``customer_id`` and ``valid_from``.
+    """
+    fact = transactions.withColumn("customer_id", F.col("customer.customer_id"))
+    fact = fact.withColumn("_event_time", iso_timestamp("timestamp"))
+    return as_of_join(fact, versions, "customer_id", "_event_time", valid_from, slice_seconds).drop("_event_time")

@@ -23,7 +23,7 @@ from tidemark.functions.clock import iso_timestamp
 from tidemark.operators.history import BATCH
 from tidemark.operators.pick import first_per_key
 from tidemark.schemas import TRANSACTION
-from tidemark.storage import path_exists
+from tidemark.storage import path_exists, spread
 from tidemark.streaming.ingest import refuse_foreign_target
 from tidemark.streaming.live import DELIVERY, first_deliveries
 
@@ -79,7 +79,7 @@ def _parts(spark: SparkSession, target: str, kind: Settled, periods) -> DataFram
 def _settle(spark: SparkSession, target: str, kind: Settled, periods):
     """Replace the settled rows of ``periods``; within each, nothing but its own parts counts."""
     rows = kind.merge(_parts(spark, target, kind, periods).drop(BATCH))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = spread(rows, PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(PERIOD).parquet(f"{target}/settled")
 
 
@@ -105,7 +105,7 @@ def start(stream: DataFrame, target: str, checkpoint: str, kind: Settled, trigge
         try:
             # one row per period of the batch
             seen = rows.groupBy(PERIOD).agg(F.max(F.col(kind.at).cast("string")).alias("newest")).collect()
-            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = spread(rows, PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(PERIOD, BATCH).parquet(f"{target}/parts")
         finally:
             rows.unpersist()
