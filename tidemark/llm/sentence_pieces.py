@@ -150,6 +150,7 @@ class Model:
         self.tied = [t for t in tied if not any(u in t for u in tied if u != t)]  # the others hold one of these
         self.longest = max(map(len, self.order))
         self.matches = Longest(self.token)
+        self.neighbours = {p[i : i + 2] for p in self.token for i in range(len(p) - 1)}
         self.shorter, self.pairs, self.n_pairs, self.units = {}, defaultdict(dict), 0, Units(self._encode)
         inner = "".join(map(re.escape, sorted(signs - {BLANK})))
         self.cut = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|.", re.DOTALL)
@@ -256,6 +257,12 @@ class Model:
     def _encode(self, unit):
         if len(unit) == 1 and unit not in self.token:
             return tuple(self.byte[b] for b in unit.encode())
+        # signs behind a word are a unit of their own where no token holds the last letter and the first sign
+        end = len(unit)
+        while end > 1 and not unit[end - 1].isalnum() and unit[end - 1] != BLANK:
+            end -= 1
+        if end < len(unit) and unit[end - 1 : end + 1] not in self.neighbours:
+            return self.units[unit[:end]] + self.units[unit[end:]]
         for tied in self.tied:
             if tied in unit:
                 taken = self.tied_merged(unit)
