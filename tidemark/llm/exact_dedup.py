@@ -4,8 +4,9 @@ A text is cut where its content says so (after a sentence end or line break, onc
 a chunk is long enough), so equal passages give equal chunks wherever they stand.
 Chunks are deduplicated over the corpus and get verified identifiers; a document's
 recipe is the ordered list of them.  Documents are equal when their recipes are.
-The text of a chunk moves once, to its copies; a whole document never does: what is
-grouped and joined are lists of 32-byte identifiers.
+Only chunks whose identifier occurs more than once are compared by content, so most texts
+don't move at all: what is grouped and joined are lists of 32-byte identifiers, and rows
+that go are named by their place in the table.
 
 Defined results
     NULL text counts as empty, and all empty texts are equal.  Of equal texts the row
@@ -36,10 +37,14 @@ def identifier(chunk):
 def clashes(docs: DataFrame) -> DataFrame:
     """How many identifiers stand for more than one chunk; one row.
 
-    Every distinct chunk is compared by content: it is the grouping key.
+    An identifier that occurs once can't clash.  The chunks of the others are compared by
+    content: it is the grouping key.  Whether the repeated identifiers go to the chunks or
+    both are shuffled is decided by their size.
     """
-    distinct = docs.select(F.explode(chunks(whole_text())).alias("chunk")).distinct()
-    shared = distinct.groupBy(identifier(F.col("chunk")).alias("id")).count().filter("count > 1")
+    every = docs.select(F.explode(chunks(whole_text())).alias("chunk")).select(identifier(F.col("chunk")).alias("id"), "chunk")
+    repeated = stored(every.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "repeated")
+    distinct = every.join(repeated, "id", "left_semi").select("id", "chunk").distinct()
+    shared = distinct.groupBy("id").count().filter("count > 1")
     return shared.agg(F.count("*").alias("clashes"))
 
 
@@ -49,7 +54,8 @@ def recipes(docs: DataFrame, *keep: str) -> DataFrame:
     Should one identifier stand for two chunks, the lists hold the chunks instead,
     so equality never rests on an unverified digest.
     """
-    verified = clashes(docs.select("text")).scalar() == 0
+    # one number, found before the two reads of the recipes below
+    verified = F.lit(clashes(docs.select("text")).first()[0] == 0)
     cut = chunks(whole_text())
     return docs.select(
         F.struct(*keep).alias("row"),
@@ -61,7 +67,7 @@ def recipes(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def groups(docs: DataFrame, *keep: str) -> DataFrame:
-    """Every row with its group: ``row, doc_id, keep_id, group_size, kept, text_sha256``.
+    """Every row with its group: ``row, doc_id, keep_id, group_size, kept, text_sha256, read_at`` (its place).
 
     One row per group after partial aggregation meets the rows again.  It is stored
     first: between two plain exchanges the join splits a group that holds a third
@@ -78,12 +84,20 @@ def groups(docs: DataFrame, *keep: str) -> DataFrame:
         "group_size",
         (F.col("best.first") == -F.col("read_at")).alias("kept"),
         "text_sha256",
+        "read_at",
     )
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with their columns; a text moves once, to meet its group."""
-    return groups(docs, *docs.columns).filter("kept").select("row.*")
+    """The rows that stay, with their columns.
+
+    The rows that go are known by their place: eight bytes each meet the texts, which stay
+    where they are as long as Spark's size check lets that list be sent to them.
+    """
+    gone = groups(docs.select("doc_id", "text"), "doc_id").filter("NOT kept").select("read_at")
+    gone = stored(gone, "copies")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("read_at"))
+    return rows.join(gone, "read_at", "left_anti").select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
