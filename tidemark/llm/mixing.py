@@ -115,6 +115,7 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
 
     Returns ``row`` (a struct of the columns ``keep``), ``size``, ``source``,
     ``source_size``, ``target``, ``copies`` (0 to 3) and ``times`` (one per copy).
+    Texts are read once and don't move; ``keep`` does, so it should name narrow columns.
 
     A source wanted r times takes every document floor(r) times and a part of them
     more often: its large documents one by one, of which there can be no more than
@@ -134,8 +135,8 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
         F.shiftrightunsigned("h", 64 - PART_BITS).alias("part"),
         F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int").alias("k"),
     )
-    # the sums below read this narrow table, not the texts again
-    narrow = stored(sized.drop("row"), "sizes")
+    # all that follows reads this narrow table, not the texts again
+    narrow = stored(sized, "sizes")
     parts = narrow.groupBy("key", "part", "k").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
     sizes = parts.groupBy("key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     goal = targets(sizes).select(
@@ -176,7 +177,7 @@ def mix(docs: DataFrame, *keep: str) -> DataFrame:
         (F.col("rest") * F.col("all_small") + F.coalesce("large.credit", F.lit(0.0))).alias("small_wanted"),
     )
 
-    placed = sized.join(per_part, ["key", "part"])
+    placed = narrow.join(per_part, ["key", "part"])
     so_far = W.partitionBy("key", "part").orderBy("h", "size").rowsBetween(W.unboundedPreceding, -1)
     placed = placed.select(
         "*",
@@ -221,8 +222,15 @@ def curriculum(docs: DataFrame) -> DataFrame:
     """The training set: rows of ``docs``, repeated as often as taken, sorted by time.
 
     A document that is not taken is left out; one without words belongs to no mix.
+    Copies and times are decided on narrow rows, which know their document by its place in the
+    table.  The texts move once, to be sorted, and once more only where the list of times
+    is too long for Spark to send it to them.
     """
-    rows = mix(docs, *docs.columns).select("row", F.explode("times").alias("time"))
+    place = F.monotonically_increasing_id()
+    told = mix(docs.select("doc_id", "source", "text", place.alias("place")), "place")
+    told = stored(told.select(F.col("row.place").alias("place"), "times").filter("size(times) > 0"), "times")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), place.alias("place")).join(told, "place")
+    rows = rows.select("row", F.explode("times").alias("time"))
     return rows.repartitionByRange(F.col("time"), F.col("row.doc_id")).sortWithinPartitions("time", "row.doc_id").select("row.*")
 
 
