@@ -18,7 +18,8 @@ entries that can reach the threshold are computed:
 Steps 3 and 4 give the links that connect a group, not all its pairs.  A group too large
 for one task is cut in blocks; each block also gets the group's pivots, and only members
 that do not connect to the first pivot, its strays, are held against others: against the
-other blocks' connected members and among themselves, a pair of blocks in a task.
+other blocks' connected members and among themselves, a pair of blocks in a task, as far as
+their sizes allow a link.
 
 Defined results
     NULL or empty text, or white space alone: an empty set, linked with nothing.  Fewer
@@ -28,6 +29,7 @@ Defined results
     64-bit hashes of their words, sets 128-bit hashes of their shingles.
 """
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -44,7 +46,7 @@ from tidemark.llm.components import components
 #: Shingles put last in the common order, at most; the order decides cost, not results.
 FREQUENT = 1 << 17
 #: A task counts shingles in chunks of this many and reports those in as many texts of a chunk.
-CHUNK, REPORTED = 1 << 22, 8
+CHUNK, REPORTED = 1 << 21, 6
 #: Column blocks of the bound, and of the finer one that sets of ``LARGE_SET`` have as well.
 COARSE, FINE, LARGE_SET = 64, 256, 2000
 #: Rows and shingles of a group that one task takes; pivots that each block of a larger one gets.
@@ -376,7 +378,7 @@ def _any_large(rows: DataFrame) -> bool:
 def links(rows: DataFrame, kind, told: DataFrame, rule: Rule) -> DataFrame:
     """``a, b`` that connect the groups of ``key, node, n, payload, cuts``.
 
-    ``cuts`` is the number of blocks that a group is cut in; ``told`` holds ``key, node,
+    ``cuts`` is the number of blocks that a group is cut in; ``told`` holds ``key, node, n,
     cuts`` of the same rows, stored.
     """
     one = rows.filter("cuts = 1").select("key", F.lit(0).cast("long").alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
@@ -398,7 +400,9 @@ def links(rows: DataFrame, kind, told: DataFrame, rule: Rule) -> DataFrame:
     if not _any_large(told):
         return compared(one).select("a", "b").filter("a <> b").distinct()
     first = stored(compared(one.union(member).union(pivot)), "links")
-    tasks = _second_pass(first, told.filter("cuts > 1").withColumn("cut", cut), kind)
+    # a little more than the ratio of linked sizes, so that rounding never puts such sets two buckets apart
+    bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / rule.least * (1 + 1e-9)))
+    tasks = _second_pass(first, told.filter("cuts > 1").withColumns({"cut": cut, "bucket": bucket}), kind)
     second = compared(large.join(tasks, ["key", "node"]))
     return first.select("a", "b").union(second.select("a", "b")).filter("a <> b").distinct()
 
@@ -410,31 +414,59 @@ def _numbers(count):
 def _second_pass(first: DataFrame, told: DataFrame, kind) -> DataFrame:
     """``key, node, cut, role``: where strays meet connected members, and each other.
 
-    Strays of a group are cut in blocks.  Each block meets each block of connected members,
-    and each other block of strays, in a task of its own.  Members without any link need
-    not come: but strays, only the first pivot has none, and it met all in the first pass.
+    Strays of a group are cut in blocks by size: a bucket of sizes spans the ratio that two
+    linked sets can have at most, so a block meets blocks of its own and the neighbouring
+    buckets only, each pair in a task of its own.  Connected members are met the same way.
+    Members without any link need not come: but strays, only the first pivot has none, and
+    it met all in the first pass.  All of this is settled on names, before any set moves.
     """
-    strays = first.filter("a = b").select("key", F.col("a").alias("node"), "n").distinct()
-    size = strays.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
+    strays = first.filter("a = b").select("key", F.col("a").alias("node")).distinct()
+    strays = strays.join(told.select("key", "node", "n", "bucket"), ["key", "node"])
+    size = strays.groupBy("key", "bucket").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
     parts = F.ceil(F.col("rows") / STRAY_ROWS)
     if kind is BySets:  # two blocks are as large as one of the first pass
         parts = F.greatest(parts, F.ceil(2 * F.col("all") / SET_SHINGLES))
-    size = size.select("key", parts.cast("long").alias("parts"))
+    size = stored(size.select("key", "bucket", parts.cast("long").alias("parts")), "stray-sizes")
     part = F.pmod(F.xxhash64("node", F.lit(2)), "parts").alias("part")
-    strays = stored(strays.join(size, "key").select("key", "node", "parts", part), "strays")
+    strays = stored(strays.join(size, ["key", "bucket"]).select("key", "node", "bucket", "parts", part), "strays")
     ends = first.filter("a <> b").select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
     linked = ends.join(strays, ["key", "node"], "left_anti").join(told, ["key", "node"])
-    linked = stored(linked.select("key", "node", "cut"), "linked")
+    linked = stored(linked.select("key", "node", "cut", "bucket"), "linked")
+
+    def beside(rows, *offsets):
+        """Rows once per neighbouring bucket that has strays, with its blocks."""
+        shifted = rows.withColumn("bucket", F.explode(F.array(*[F.col("bucket") + o for o in offsets])))
+        return shifted.join(size, ["key", "bucket"])
+
+    def task(*numbers):
+        """One number for a task, 20 bits for each but the first."""
+        out = F.lit(0).cast("long")
+        for number in numbers:
+            out = out * F.lit(1 << 20) + number
+        return out
 
-    task = (F.col("cut") * F.col("parts") + F.col("part")).alias("cut")
-    member = linked.join(size, "key").select("key", "node", "cut", "parts", F.explode(_numbers("parts")).alias("part"))
-    against = strays.join(linked.select("key", "cut").distinct(), "key")
-    both = strays.select("key", "node", "parts", "part", F.explode(_numbers("parts")).alias("other"))
-    pair = -1 - (F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
+    # blocks of connected members against blocks of strays
+    met = task(F.col("bucket"), F.col("cut"), F.col("part")).alias("cut")
+    member = beside(linked, -1, 0, 1).select("key", "node", "cut", "bucket", F.explode(_numbers("parts")).alias("part"))
+    blocks = beside(linked.select("key", "cut", "bucket").distinct(), -1, 0, 1).select("key", "cut", "bucket").distinct()
+    against = strays.join(blocks, ["key", "bucket"])
+    # blocks of strays against those of their own bucket, and of the next one
+    own = strays.select("key", "node", "bucket", "part", F.explode(_numbers("parts")).alias("other"))
+    one, two = F.least("part", "other"), F.greatest("part", "other")
+    same = (-1 - task(2 * F.col("bucket"), one, two)).alias("cut")
+    lower = beside(strays.drop("parts"), 1).select(
+        "key", "node", (F.col("bucket") - 1).alias("bucket"), "part", F.explode(_numbers("parts")).alias("other")
+    )
+    upper = beside(strays.drop("parts"), -1).select(
+        "key", "node", "bucket", F.col("part").alias("other"), F.explode(_numbers("parts")).alias("part")
+    )
+    next_to = (-1 - task(2 * F.col("bucket") + 1, F.col("part"), F.col("other"))).alias("cut")
     return (
-        member.select("key", "node", task, F.lit(MEMBER).alias("role"))
-        .union(against.select("key", "node", task, F.lit(STRAY).alias("role")))
-        .union(both.select("key", "node", pair.alias("cut"), F.when(F.expr("part > other"), FAR).otherwise(STRAY).alias("role")))
+        member.select("key", "node", met, F.lit(MEMBER).alias("role"))
+        .union(against.select("key", "node", met, F.lit(STRAY).alias("role")))
+        .union(own.select("key", "node", same, F.when(F.expr("part > other"), FAR).otherwise(STRAY).alias("role")))
+        .union(lower.select("key", "node", next_to, F.lit(STRAY).alias("role")))
+        .union(upper.select("key", "node", next_to, F.lit(FAR).alias("role")))
     )
 
 
@@ -462,11 +494,11 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     rows = stored(rows, "sets")
     classes = stored(class_table(rows), "classes")
 
-    token = classes.select(F.explode("prefix").alias("key"), "node")
+    token = classes.select(F.explode("prefix").alias("key"), "node", "n")
     shared = token.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
     shared = shared.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("cuts"))
     token = stored(token.join(shared, "key"), "shared")
-    filled = token.join(classes.select("node", "n", F.col("blocks").alias("payload")), "node")
+    filled = token.join(classes.select("node", F.col("blocks").alias("payload")), "node")
     grouped = components(links(filled, ByBlocks, token, rule))
 
     grouped = grouped.join(classes.select("node", "low", "n"), "node")
@@ -474,10 +506,11 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     cuts = F.greatest(F.ceil(F.col("rows") / SET_ROWS), F.ceil(F.col("all") / SET_SHINGLES)).cast("int")
     size = size.select("component", cuts.alias("cuts"))
     member = stored(
-        grouped.join(size, "component").select("node", F.col("component").alias("key"), "cuts", F.xxhash64("low").alias("at")),
+        grouped.join(size, "component").select("node", "n", F.col("component").alias("key"), "cuts", F.xxhash64("low").alias("at")),
         "members",
     )
-    link = stored(links(_with_sets(source, member, rule), BySets, member, rule), "links")
+    filled = stored(_with_sets(source, member, rule), "member-sets")
+    link = stored(links(filled, BySets, member, rule), "links")
     named = components(link)
 
     low = classes.select("node", "low").join(named, "node", "left")
