@@ -46,7 +46,7 @@ from tidemark.llm.components import components
 #: Shingles put last in the common order, at most; the order decides cost, not results.
 FREQUENT = 1 << 17
 #: A task counts shingles in chunks of this many and reports those in as many texts of a chunk.
-CHUNK, REPORTED = 1 << 21, 6
+CHUNK, REPORTED = 1 << 20, 4
 #: Column blocks of the bound, and of the finer one that sets of ``LARGE_SET`` have as well.
 COARSE, FINE, LARGE_SET = 64, 256, 2000
 #: Rows and shingles of a group that one task takes; pivots that each block of a larger one gets.
