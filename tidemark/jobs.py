@@ -46,6 +46,7 @@ def _parser():
     job.add_argument("--dead-letters")
     job.add_argument("--shared", action="store_true", help="let this stream write into a target that others fill")
     job.add_argument("--log", help="folder that gets a row per commit")
+    job.add_argument("--open-fields", action="store_true", help="keep fields the schema does not know in the column extra")
     job.add_argument("--max-offsets", type=int, help="records a trigger takes of a topic; all by default")
     job.add_argument("--max-files", type=int, help="files a trigger takes of a folder; all by default")
     job.add_argument("--compression", default="snappy")
@@ -92,7 +93,8 @@ def _run(spark, args):
         trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
         source = _source(spark, args, streaming=True)
         query = ingest.start_ingest(
-            source, args.target, args.checkpoint, trigger, args.dead_letters, args.compression, shared=args.shared, log=args.log
+            source, args.target, args.checkpoint, trigger, args.dead_letters, args.compression, shared=args.shared, log=args.log,
+            open_fields=args.open_fields,
         )
         query.awaitTermination()
     elif args.job == "peek":

@@ -328,6 +328,11 @@ ORACLES = {
         WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1""",
     "stream_tx_per_minute": f"""WITH {DELIVERIES}
         SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count FROM bronze WHERE ts IS NOT NULL GROUP BY 1""",
+    "stream_open_fields": f"""WITH {DELIVERIES}
+        SELECT transaction_id, amount, CASE WHEN "offset" % 3 = 0 THEN 'CH-' || ("offset" % 5) END AS channel,
+            CASE WHEN "offset" % 4 = 1 THEN "offset" % 7 END AS app_version,
+            COALESCE("offset" % 3 = 0 OR "offset" % 4 = 1, false) AS has_more
+        FROM bronze""",
     "enrich_customers": f"""WITH {DELIVERIES}
         SELECT transaction_id, ingestion_timestamp, customer_id, c_name AS customer_name, c_mktsegment AS segment,
             CAST(c_nationkey AS BIGINT) AS nation_key
@@ -495,6 +500,24 @@ ORACLES = {
     "tx_per_minute": f"""WITH {DELIVERIES}
         SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS count
         FROM bronze WHERE ts > {AS_OF} - INTERVAL 1 HOUR AND ts <= {AS_OF} GROUP BY 1""",
+    "tx_hourly_board": f"""WITH {DELIVERIES},
+        steps AS (
+            SELECT hour, transaction_type
+            FROM (SELECT unnest(generate_series(
+                    TIMESTAMP '2024-01-30 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS hour),
+                (SELECT unnest({sorted(DEBIT_TYPES + CREDIT_TYPES)}) AS transaction_type)
+        ),
+        counts AS (
+            SELECT date_trunc('hour', ts) AS hour, transaction_type, COUNT(*) AS n FROM bronze
+            WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND ts <= TIMESTAMP '2024-01-30 23:30:00' GROUP BY 1, 2
+        )
+        SELECT hour, transaction_type, COALESCE(n, 0) AS count FROM steps FULL JOIN counts USING (hour, transaction_type)""",
+    "tx_daily_trend": f"""WITH {SILVER},
+        days AS (SELECT CAST(unnest(generate_series(
+            TIMESTAMP '2024-01-20', TIMESTAMP '2024-02-08', INTERVAL 1 DAY)) AS DATE) AS day),
+        found AS (SELECT date_partition AS day, COUNT(*) AS n, SUM(amount) AS amount FROM silver GROUP BY 1)
+        SELECT day, COALESCE(n, 0) AS count, CAST(COALESCE(amount, 0) AS DECIMAL(28,2)) AS total_amount
+        FROM days LEFT JOIN found USING (day)""",
     "fraud_by_type": f"""WITH {DELIVERIES}
         SELECT transaction_type, COUNT(*) AS fraud_count FROM bronze WHERE is_fraud GROUP BY 1""",
     "fraud_by_location": f"""WITH {DELIVERIES}
@@ -583,3 +606,11 @@ ORACLES = {
             AS rules(alert, metric, threshold) USING (metric)
         WHERE value > threshold""",
 }
+
+# The same results by another way of storing or reading.
+for _name, _plain in (
+    ("bronze_count_footers", "bronze_count"),
+    ("table_partitions_footers", "table_partitions"),
+    ("silver_account_lookup", "silver_range_filter"),
+):
+    ORACLES[_name] = ORACLES[_plain]

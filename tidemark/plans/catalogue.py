@@ -57,6 +57,8 @@ REPORTS = {
     "tx_daily_by_type": ((SILVER,), dashboards.daily_by_type),
     "tx_detail_table": ((SILVER,), dashboards.detail_table),
     "tx_per_minute": ((BRONZE,), dashboards.per_minute),
+    "tx_hourly_board": ((BRONZE,), dashboards.hourly_board),
+    "tx_daily_trend": ((SILVER,), dashboards.daily_trend),
     "fraud_by_type": ((BRONZE,), dashboards.fraud_by_type),
     "fraud_by_location": ((BRONZE,), dashboards.fraud_by_location),
     "today_counts": ((SILVER,), dashboards.today_counts),

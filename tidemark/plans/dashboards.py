@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import iso_timestamp
+from tidemark.functions.clock import iso_timestamp, now
 from tidemark.functions.money import average, exact, total
+from tidemark.operators import calendar
 from tidemark.plans.bronze_reports import in_last
-from tidemark.schemas import REVENUE_TYPES
+from tidemark.schemas import CREDIT_TYPES, DEBIT_TYPES, REVENUE_TYPES
 
 
 def _share(condition):
@@ -93,6 +94,33 @@ def per_minute(bronze: DataFrame, as_of=None, hours=1) -> DataFrame:
     )
 
 
+def hourly_board(bronze: DataFrame, hours=24, as_of=None) -> DataFrame:
+    """Transactions by hour and type of the current hour and those before it, idle ones with zero.
+
+    Types that the business does not know have rows only where they occur.
+    """
+    last = F.date_trunc("hour", now(as_of))
+    first = last - F.expr(f"INTERVAL {hours - 1} HOURS")
+    at = iso_timestamp("timestamp")
+    rows = in_last(bronze, hours, as_of).filter(at >= first).select(F.date_trunc("hour", at).alias("hour"), "transaction_type")
+    types = sorted(DEBIT_TYPES + CREDIT_TYPES)
+    steps = calendar.grid(bronze.sparkSession, first, last, "1 HOUR", "hour", transaction_type=types)
+    return calendar.counted(rows, steps).orderBy("hour", "transaction_type")
+
+
+def daily_trend(silver: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Count and sum of every day of a range, days without transactions included."""
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    day = F.col("date_partition").alias("day")
+    rows = silver.filter((F.col("date_partition") >= first) & (F.col("date_partition") <= last))
+    summed = rows.groupBy(day).agg(F.count(F.lit(1)).alias("count"), F.sum("amount").cast("decimal(28,2)").alias("total_amount"))
+    idle = calendar.grid(silver.sparkSession, first, last, "1 DAY", "day")
+    idle = idle.select("day", F.lit(0).cast("long").alias("count"), F.lit(0).cast("decimal(28,2)").alias("total_amount"))
+    both = summed.unionByName(idle).groupBy("day")
+    total_amount = F.coalesce(F.sum("total_amount"), F.lit(0)).cast("decimal(28,2)")
+    return both.agg(F.sum("count").alias("count"), total_amount.alias("total_amount")).orderBy("day")
+
+
 def fraud_rate(bronze: DataFrame) -> DataFrame:
     return bronze.agg(_share(F.col("is_fraud")).alias("fraud_rate"))
 

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import distinct, history, metrics, pick
-from tidemark.plans import batch, bronze_reports, gold, silver
+from tidemark.operators import distinct, footers, history, metrics, pick
+from tidemark.plans import batch, bronze_reports, gold, silver, silver_reports
 from tidemark.plans.catalogue import REPORTS
-from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY
+from tidemark.schemas import BRONZE, DAILY_ACCOUNT_SUMMARY, MERCHANT_SUMMARY, SILVER
 from tidemark.session import configure
 from tidemark.sources import catalog, envelope, events
-from tidemark.storage import read_layer, shared_folder
+from tidemark.storage import overwrite_clustered, read_layer, shared_folder
 from tidemark.streaming import ingest, live, settled
 
 AS_OF = "2024-01-31 00:00:00"
@@ -99,6 +99,8 @@ REPORT_OPTIONS = {
     "tx_detail_table": {"first_day": "2024-01-05", "last_day": "2024-01-25", "min_amount": 10},
     "tx_per_minute": {"as_of": AS_OF},
     "today_counts": {"day": YESTERDAY},
+    "tx_hourly_board": {"as_of": "2024-01-30 23:30:00"},
+    "tx_daily_trend": {"first_day": "2024-01-20", "last_day": "2024-02-08"},
 }
 
 DERIVED_LAYERS = {
@@ -202,6 +204,20 @@ def stream_commit_log(spark, sf_dir):
     return commits.withColumn("records_added", F.col("records_added").cast("bigint"))
 
 
+def stream_open_fields(spark, sf_dir):
+    """Fields that the schema does not know, read from stored bronze."""
+    folder = shared_folder(spark, "open")
+    stream = events.with_added_fields(events.stream_events(spark, sf_dir))
+    _run(ingest.start_ingest(stream, f"{folder}/bronze", f"{folder}/checkpoint", {"availableNow": True}, open_fields=True))
+    return ingest.read_bronze(spark, f"{folder}/bronze", open_fields=True).select(
+        "transaction_id",
+        "amount",
+        F.variant_get("extra", "$.channel", "string").alias("channel"),
+        F.variant_get("extra", "$.metadata.app_version", "bigint").alias("app_version"),
+        F.col("extra").isNotNull().alias("has_more"),
+    )
+
+
 def dead_letter_split(spark, sf_dir):
     readable, dead = envelope.split_dead_letters(events.with_damage(_envelope(spark, sf_dir)))
     both = readable.withColumn("dead", F.lit(False)).unionByName(dead.withColumn("dead", F.lit(True)))
@@ -251,12 +267,27 @@ def stream_minute_board(spark, sf_dir):
 # -- table history ----------------------------------------------------------------
 
 
-def _stored_bronze(spark, sf_dir):
+def _bronze_folder(spark, sf_dir):
     """Bronze as ingest lays it out: folders by date, then batch."""
     path = f"{shared_folder(spark, 'versions')}/bronze"
     rows = events.versioned_bronze(spark, sf_dir)
     rows.hint("rebalance", F.col("date_partition")).write.partitionBy("date_partition", "_batch_id").parquet(path)
-    return ingest.read_bronze(spark, path)
+    return path
+
+
+def _stored_bronze(spark, sf_dir):
+    return ingest.read_bronze(spark, _bronze_folder(spark, sf_dir))
+
+
+def _footers(spark, sf_dir):
+    return footers.scan(spark, _bronze_folder(spark, sf_dir), f"{BRONZE}, _batch_id BIGINT")
+
+
+def silver_account_lookup(spark, sf_dir):
+    """One account's rows of a range, from silver clustered by account."""
+    path = f"{shared_folder(spark, 'clustered')}/silver"
+    overwrite_clustered(_silver(spark, sf_dir), path, "date_partition", "account_id")
+    return silver_reports.time_range(read_layer(spark, path, SILVER), **REPORT_OPTIONS["silver_range_filter"])
 
 
 def table_files(spark, sf_dir):
@@ -416,6 +447,7 @@ QUERIES = {
     "stream_bronze_ingest": _query(stream_bronze_ingest),
     "stream_shared_ingest": _query(stream_shared_ingest),
     "stream_commit_log": _query(stream_commit_log),
+    "stream_open_fields": _query(stream_open_fields),
     "dead_letter_split": _query(dead_letter_split),
     "stream_dead_letters": _query(stream_dead_letters),
     "stream_dedup": _query(stream_dedup),
@@ -460,6 +492,11 @@ QUERIES = {
     "bronze_incremental": _over(_stored_bronze, lambda t: history.since_batch(t, 24).select(*KEY_COLUMNS)),
     "table_partitions": _versioned(history.partitions),
     "table_files": _query(table_files),
+    "bronze_count_footers": _over(_footers, footers.row_count),
+    "table_partitions_footers": _over(
+        _footers, footers.partition_counts, partition_cols=["date_partition", "_batch_id"], by="date_partition"
+    ),
+    "silver_account_lookup": _query(silver_account_lookup),
     "schema_evolution_union": _query(schema_evolution_union),
     "latest_by_key": _over(
         _envelope,

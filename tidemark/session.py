@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # An overwrite replaces the partitions it has rows of; tables take this from the session only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Counts over the V2 file source come from footers (operators.footers).
+    "spark.sql.parquet.aggregatePushdown": "true",
     # Stream state on executor disk with changelog checkpoints, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -1,11 +1,14 @@
 """Keyed JSON topics: bounded and unbounded reads, decode, enrich, publish."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.clock import iso_date, now
 from tidemark.schemas import ENVELOPE, TRANSACTION
 
+_FIELDS = "map<string,variant>"
+
 
 def _configured(reader, fmt, options):
     # A broker connector brings the envelope columns itself.
@@ -88,6 +91,34 @@ def enrich(decoded: DataFrame, ingested_at=None) -> DataFrame:
     )
 
 
+EXTRA = "extra"
+
+
+def unknown_fields(value) -> Column:
+    """What a JSON object holds beside the transaction's fields, as a VARIANT object, or else NULL.
+
+    Fields inside ``location``, ``customer`` and ``metadata`` keep their place:
+    ``variant_get(extra, '$.metadata.version', 'int')``.  A known field of another type is not
+    unknown (it is NULL, as ``decode`` has it).  Text that is no JSON object, or that names a
+    field twice, has none.
+    """
+    document = F.try_parse_json(F.col(value).cast("string"))
+    nothing = F.create_map().cast(_FIELDS)
+
+    def beyond(path, known):
+        here = F.map_filter(F.try_variant_get(document, path, _FIELDS), lambda name, _: ~name.isin(*known))
+        return F.coalesce(here, nothing)
+
+    fields = T.StructType.fromDDL(TRANSACTION)
+    found = [beyond("$", fields.names)]
+    for field in fields:
+        if isinstance(field.dataType, T.StructType):
+            inner = beyond(f"$.{field.name}", field.dataType.names)
+            found.append(F.when(F.size(inner) > 0, F.create_map(F.lit(field.name), F.to_variant_object(inner))).otherwise(nothing))
+    every = F.map_concat(*found)
+    return F.when(F.size(every) > 0, F.to_variant_object(every))
+
+
 DOCUMENT = "_document"
 
 

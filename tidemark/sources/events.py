@@ -125,6 +125,21 @@ def as_envelope(events: DataFrame) -> DataFrame:
     )
 
 
+def with_added_fields(events: DataFrame) -> DataFrame:
+    """Topic records of a newer producer: some have a field more, at the top or in ``metadata``."""
+    version = F.when(F.col("offset") % 4 == 1, F.col("offset") % 7)
+    newer = deliveries(events).withColumn("metadata", F.col("metadata").withField("app_version", version))
+    newer = newer.withColumn("channel", F.when(F.col("offset") % 3 == 0, F.concat(F.lit("CH-"), F.col("offset") % 5)))
+    return newer.select(
+        F.col("account_id").cast("binary").alias("key"),
+        F.to_json(F.struct(*TRANSACTION_COLUMNS, "channel")).cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        "partition",
+        "offset",
+        F.col("ingestion_timestamp").alias("timestamp"),
+    )
+
+
 def with_damage(envelope: DataFrame) -> DataFrame:
     """Every 97th record unreadable text, every 89th without a value."""
     return envelope.withColumn(

@@ -63,6 +63,29 @@ def overwrite_partitions(df: DataFrame, target: str, partition_col: str, compres
         out.insertInto(target)
 
 
+def overwrite_clustered(df: DataFrame, target: str, partition_col: str, by: str, distinct=100_000, compression="snappy"):
+    """Replace the partitions present in ``df`` with files that hold ranges of ``by``.
+
+    A lookup of one value then reads the row groups whose range holds it; a Bloom filter (for
+    about ``distinct`` values a row group) rules out the others inside the range.  Parquet
+    keeps none where a dictionary holds all values, which tells as much.  Rows of a hot value
+    are told apart by a hash of their columns, so that they fill as many tasks as they need.
+    """
+    if not is_path(target):
+        raise ValueError(f"{target} is no folder: a table's Bloom filters are options of the table")
+    ranges = df.repartitionByRange(F.col(partition_col), F.col(by), F.xxhash64(*df.columns))
+    (
+        ranges.sortWithinPartitions(partition_col, by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
+        .option(f"parquet.bloom.filter.enabled#{by}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{by}", str(distinct))
+        .partitionBy(partition_col)
+        .parquet(target)
+    )
+
+
 def _newest_files(spark, target: str, partition_col: str, wanted) -> dict:
     """Per stored date that is ``wanted``, the greatest file name: it changes when the date is rewritten."""
     if is_path(target):

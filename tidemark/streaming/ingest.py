@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import BATCH, STREAM
 from tidemark.schemas import BRONZE, ENVELOPE
-from tidemark.sources.envelope import DOCUMENT, enrich, is_dead, parsed
+from tidemark.sources.envelope import DOCUMENT, EXTRA, enrich, is_dead, parsed, unknown_fields
 from tidemark.storage import is_path, path_exists, spread
 
 DAY = "date_partition"
@@ -89,6 +89,7 @@ def start_ingest(
     ingested_at=None,
     shared=False,
     log: str | None = None,
+    open_fields=False,
 ):
     """Start the stream ``envelope`` -> bronze ``target``, a folder or a catalog table.
 
@@ -97,11 +98,14 @@ def start_ingest(
 
     ``shared`` lets a further stream (another topic, another region) write into a filled
     target; all rows of all streams are kept.  ``log`` names a folder that gets a row per
-    commit, counted while the batch is written.
+    commit, counted while the batch is written.  ``open_fields`` keeps the fields that the
+    schema does not know in a VARIANT column ``extra`` (a catalog table must have it).
     """
     spark = envelope.sparkSession
     if not is_path(target) and not spark.catalog.tableExists(target):
         raise ValueError(f"{target} is neither a folder nor an existing table")
+    if open_fields and not is_path(target) and EXTRA not in spark.table(target).columns:
+        raise ValueError(f"{target} has no column {EXTRA} for unknown fields")
     if dead_letters and not is_path(dead_letters):
         raise ValueError(f"{dead_letters} is neither a folder nor an existing table")
     apart = tells_streams_apart(spark, target)
@@ -119,7 +123,8 @@ def start_ingest(
         if dead_letters:
             write_folder(rows.filter(is_dead()).drop(DOCUMENT), batch_id, dead_letters, compression, stream)
             rows = rows.filter(~is_dead())
-        rows = enrich(rows.select(f"{DOCUMENT}.*"), ingested_at)
+        extra = [unknown_fields("value").alias(EXTRA)] if open_fields else []
+        rows = enrich(rows.select(f"{DOCUMENT}.*", *extra), ingested_at)
         # an empty batch is no commit, and nothing is observed in it
         logged = log and not rows.isEmpty()
         seen = Observation()
@@ -139,9 +144,10 @@ def start_ingest(
     )
 
 
-def read_bronze(spark: SparkSession, target: str) -> DataFrame:
-    """The ingested layer with its commit number."""
-    return spark.read.schema(f"{BRONZE}, {BATCH} BIGINT").parquet(target)
+def read_bronze(spark: SparkSession, target: str, open_fields=False) -> DataFrame:
+    """The ingested layer with its commit number, and the unknown fields (NULL in files written without)."""
+    extra = f", {EXTRA} VARIANT" if open_fields else ""
+    return spark.read.schema(f"{BRONZE}{extra}, {BATCH} BIGINT").parquet(target)
 
 
 def read_dead_letters(spark: SparkSession, target: str) -> DataFrame:
