@@ -108,9 +108,10 @@ def hourly_board(bronze: DataFrame, hours=24, as_of=None) -> DataFrame:
     return calendar.counted(rows, steps).orderBy("hour", "transaction_type")
 
 
-def daily_trend(silver: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Count and sum of every day of a range, days without transactions included."""
-    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+def daily_trend(silver: DataFrame, first_day=None, last_day=None) -> DataFrame:
+    """Count and sum of every day of a range (the 30 days up to today), days without transactions included."""
+    last = F.current_date() if last_day is None else F.lit(last_day).cast("date")
+    first = F.date_sub(last, 29) if first_day is None else F.lit(first_day).cast("date")
     day = F.col("date_partition").alias("day")
     rows = silver.filter((F.col("date_partition") >= first) & (F.col("date_partition") <= last))
     summed = rows.groupBy(day).agg(F.count(F.lit(1)).alias("count"), F.sum("amount").cast("decimal(28,2)").alias("total_amount"))
