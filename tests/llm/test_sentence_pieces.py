@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -80,3 +81,19 @@ def test_columns_travel(docs):
     out = sentence_pieces.decode(sentence_pieces.encode(docs, PATH, "doc_id", "row", "kept", end=False), PATH)
     assert out.select("row.*").columns == ["doc_id", "row", "kept"]
     assert out.filter("decoded <> replace(coalesce(row.row, ''), '▁', ' ')").count() == 0
+
+
+def test_units_together_come_out_as_alone(library):
+    """New units of a batch, dead ends and rare signs among them, get the tokens of the scalar way and of the library."""
+    read = sentence_pieces.Model(PATH)
+    draw = random.Random(12)
+    signs = "aeinrstéßÉüñ" * 4 + ".,'-0123#本" + sentence_pieces.BLANK
+    units = list({"".join(draw.choices(signs, k=draw.randint(2, 30))) for _ in range(3000)})
+    units = [u for u in units if not read.holds_tied(u)]
+    taken = read.together(units)
+    assert sum(t is not None for t in taken) > len(units) / 2
+    for unit, found in zip(units, taken):
+        if found is not None and all(c in read.token for c in unit):
+            assert np.frombuffer(found, np.int32).tolist() == read.backtrack(unit)
+    some = [" ".join(draw.sample(units, 40)).replace(sentence_pieces.BLANK, " ") for _ in range(60)]
+    assert [i.tolist() for i in read.encode_all(some)] == library.encode(some)

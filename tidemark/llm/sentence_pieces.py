@@ -12,7 +12,9 @@ blanks), the order also depends on the place; units that hold such a token are m
 pair by pair instead.
 
 No token reaches from another character into a blank, or over a character that no token
-holds, so a text falls into units there, and results of short units are kept.
+holds, so a text falls into units there, and results of short units are kept.  New units of
+a batch go through the automaton and from token to token together, a step of all of them
+at a time in numpy; one from which no token leads on is traced back by itself.
 
 Defined results
     NULL and empty texts have the end id alone and decode to the empty text.  A character
@@ -26,8 +28,8 @@ import codecs
 import heapq
 import re
 from array import array
-from collections import defaultdict
-from functools import lru_cache
+from collections import Counter, defaultdict
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,9 @@ from tidemark.llm.common import slices, texts
 BLANK = "▁"
 #: Units kept with their ids per worker, the longest kept; pairs and steps of the automaton kept.
 CACHED, CACHED_CHARS, CACHED_PAIRS, CACHED_STEPS = 400_000, 48, 1_000_000, 200_000
+#: Signs that units encoded together may hold, Latin-1 and the most frequent ones in tokens; places for
+#: their pairs, by hash; units that are tried together, and at the end each by itself.
+SIGNS, PLACES, TOGETHER, FEW = 192, 1 << 20, 1 << 15, 16
 #: Bytes of text per output batch, characters cut into units at a time.
 SLICE_BYTES, PIECE = 1 << 20, 1 << 20
 
@@ -48,21 +53,6 @@ _NEVER = float("inf")
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
-class Units(dict):
-    """Ids by unit; a unit that is missing is encoded."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, unit):
-        ids = self.encode(unit)
-        if len(unit) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[unit] = ids
-        return ids
-
-
 class Longest:
     """Aho-Corasick over reversed tokens: a match that ends somewhere in the reversed text begins there in the text.
 
@@ -119,6 +109,118 @@ class Longest:
         return out
 
 
+class Together:
+    """Backtracking of many units at once: each turn tries one token of every unit.
+
+    The automaton's steps on ``SIGNS`` signs are a table, those that follow
+    failure links included.  Pairs that were checked are kept by the hash of the pair.
+    """
+
+    def __init__(self, model):
+        self.model, matches = model, model.matches
+        times = Counter(sign for text in model.token for sign in text)
+        common = sorted(times, key=lambda sign: (sign > "\xff" and sign != BLANK, -times[sign], sign))[: SIGNS - 1]
+        self.number = np.zeros(0x110000, np.uint8)  # 0: a sign that is not among them
+        self.number[[ord(sign) for sign in common]] = np.arange(1, len(common) + 1)
+        number = {sign: n for n, sign in enumerate(common, 1)}
+        step = np.zeros((len(matches.token), SIGNS), np.int32)
+        level = [0]
+        while level:  # links lead to states of earlier levels
+            for state in level:
+                if state:
+                    step[state] = step[matches.link[state]]
+                for sign, following in matches.step[state].items():
+                    if sign in number:
+                        step[state, number[sign]] = following
+            level = [following for state in level for following in matches.step[state].values()]
+        self.step, self.token = step.ravel(), np.array(matches.token, np.int32)
+        self.size = np.array(model.size, np.int64)
+        self.shorter = np.array([model.next_shorter(i) for i in range(len(model.size))], np.int32)
+        self.pairs, self.known = np.full(PLACES, -1, np.int64), np.zeros(PLACES, bool)
+
+    def compatible(self, left, token):
+        """Which pairs come out when merged anew; ``left`` is -1 at the beginning."""
+        pair = (left + 1) * len(self.size) + token
+        place = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64) % PLACES
+        out, new = self.known[place], np.flatnonzero(self.pairs[place] != pair)
+        if len(new):
+            _, first, same = np.unique(pair[new], return_index=True, return_inverse=True)
+            one = new[first]
+            found = [self.model.fits(a, b) for a, b in zip(left[one].tolist(), token[one].tolist())]
+            out[new] = np.array(found)[same]
+            self.pairs[place[one]], self.known[place[one]] = pair[one], found
+            # of two pairs in one place the later stays, with its own answer
+        return out
+
+    def longest(self, code, start, size):
+        """The longest token that begins at each sign of all units, longer units first."""
+        out, state = np.empty(len(code), np.int32), np.zeros(len(size), np.int64)
+        last = start + size - 1
+        many = np.searchsorted(-size, -np.arange(size[0]), "left")  # units of more than 0, 1, ... signs
+        for back, n in enumerate(many.tolist()):
+            at = last[:n] - back
+            state[:n] = self.step[state[:n] * SIGNS + code[at]]
+            out[at] = self.token[state[:n]]
+        return out
+
+    def __call__(self, units):
+        """Tokens of every unit as bytes of 32-bit numbers, None where a sign is rare or the way is long."""
+        order = sorted(range(len(units)), key=lambda i: -len(units[i]))
+        size = np.array([len(units[i]) for i in order], np.int64)
+        stop = np.cumsum(size)
+        start = stop - size
+        code = self.number[np.frombuffer("".join([units[i] for i in order]).encode("utf-32-le"), np.uint32)]
+        longest = self.longest(code, start, size)
+        done = np.logical_or.reduceat(code == 0, start)
+        lost = done.copy()
+        # by place: no way leads on from here, the token taken here, where the one before began
+        failed, took, came = np.zeros(len(code) + 1, bool), np.zeros(len(code), np.int32), np.zeros(len(code), np.int64)
+        unit = np.flatnonzero(~done)
+        at, left, token = start[unit], np.full(len(unit), -1, np.int64), longest[start[unit]].astype(np.int64)
+        while len(unit) > FEW:
+            back = np.flatnonzero(token < 0)
+            if len(back):
+                failed[at[back]] = True
+                at[back] = here = came[at[back]]
+                token[back] = took[here]
+                first = here == start[unit[back]]
+                left[back] = np.where(first, -1, took[came[here]])
+                token[back] = self.shorter[token[back]]
+            to = at + self.size[token]
+            ends = to == stop[unit]
+            good = (token >= 0) & (ends | ~failed[to])
+            some = np.flatnonzero(good)
+            good[some] = self.compatible(left[some], token[some])
+            some = np.flatnonzero(good)
+            took[at[some]] = token[some]
+            on = some[~ends[some]]
+            came[to[on]] = at[on]
+            bad = np.flatnonzero(~good & (token >= 0))
+            token[bad] = self.shorter[token[bad]]
+            at[on], left[on], token[on] = to[on], token[on], longest[to[on]]
+            if len(some) > len(on):
+                open_ = np.flatnonzero(~(good & ends))
+                unit, at, left, token = unit[open_], at[open_], left[open_], token[open_]
+        lost[unit] = True
+        unit = np.flatnonzero(~lost)
+        at, taken = start[unit], []
+        while len(unit):
+            taken.append((unit, took[at]))
+            at = at + self.size[took[at]]
+            unit, at = unit[at < stop[unit]], at[at < stop[unit]]
+        if not taken:
+            return [None] * len(units)
+        unit = np.concatenate([u for u, _ in taken])
+        tokens = np.concatenate([t for _, t in taken])[np.argsort(unit, kind="stable")].tobytes()
+        ends = (4 * np.cumsum(np.bincount(unit, minlength=len(units)))).tolist()
+        out, begin = [None] * len(units), 0
+        for i, end, no in zip(order, ends, lost.tolist()):
+            if not no:
+                out[i] = tokens[begin:end]
+            begin = end
+        return out
+
+
 class Model:
     """Tokens of a merge-type model and the tables that encoding needs."""
 
@@ -151,7 +253,8 @@ class Model:
         self.longest = max(map(len, self.order))
         self.matches = Longest(self.token)
         self.neighbours = {p[i : i + 2] for p in self.token for i in range(len(p) - 1)}
-        self.shorter, self.pairs, self.n_pairs, self.units = {}, defaultdict(dict), 0, Units(self._encode)
+        self.shorter, self.pairs, self.n_pairs, self.units = {}, defaultdict(dict), 0, {}
+        self.holds_tied = re.compile("|".join(map(re.escape, self.tied)) or "(?!)").search
         inner = "".join(map(re.escape, sorted(signs - {BLANK})))
         self.cut = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|.", re.DOTALL)
         self.edge = re.compile(f"(?<=[^{BLANK}]){BLANK}")
@@ -217,6 +320,14 @@ class Model:
         self.pairs[left][right] = known
         return known
 
+    @cached_property
+    def together(self):
+        return Together(self)
+
+    def fits(self, left, right):
+        known = self.pairs[left].get(right)
+        return self.compatible(left, right) if known is None else known
+
     def next_shorter(self, token):
         """The longest token that begins ``token``, or -1."""
         text = self.pieces[token]
@@ -254,42 +365,99 @@ class Model:
             after = pairs[left]
             token = longest[at]
 
-    def _encode(self, unit):
-        if len(unit) == 1 and unit not in self.token:
-            return tuple(self.byte[b] for b in unit.encode())
-        # signs behind a word are a unit of their own where no token holds the last letter and the first sign
+    def word_end(self, unit):
+        """Where signs behind a word begin, as far as no token holds the last letter and the first sign."""
         end = len(unit)
         while end > 1 and not unit[end - 1].isalnum() and unit[end - 1] != BLANK:
             end -= 1
-        if end < len(unit) and unit[end - 1 : end + 1] not in self.neighbours:
-            return self.units[unit[:end]] + self.units[unit[end:]]
-        for tied in self.tied:
-            if tied in unit:
-                taken = self.tied_merged(unit)
-                break
-        else:
-            taken = self.backtrack(unit)
+        return end if unit[end - 1 : end + 1] not in self.neighbours else len(unit)
+
+    def _ids(self, taken):
+        """Tokens as bytes of 32-bit numbers, characters without a token of their own by their bytes' tokens."""
         if self.expanded:
             taken = [i for token in taken for i in self.expanded.get(token, (token,))]
-        return tuple(taken)
+        return array("i", taken).tobytes()
 
-    def encode(self, text):
-        """Ids of a text without the end id, as an array."""
-        out = array("i")
+    def _encode(self, unit):
+        """Ids of one unit, as bytes."""
+        if len(unit) == 1 and unit not in self.token:
+            return array("i", [self.byte[b] for b in unit.encode()]).tobytes()
+        end = self.word_end(unit)
+        if end < len(unit):
+            return self._encode(unit[:end]) + self._encode(unit[end:])
+        if self.holds_tied(unit):
+            return self._ids(self.tied_merged(unit))
+        return self._ids(self.backtrack(unit))
+
+    def learn(self, units):
+        """Keep the ids of units that are not kept yet, all but long ones."""
+        kept, split, alone, whole = self.units, [], [], set()
+        for unit in units:
+            if len(unit) > CACHED_CHARS:
+                continue
+            end = len(unit) if unit[-1].isalnum() else self.word_end(unit)
+            if end < len(unit):
+                split.append((unit, unit[:end], unit[end:]))
+                whole.update(part for part in split[-1][1:] if part not in kept)
+            else:
+                whole.add(unit)
+        for unit in whole:
+            if len(unit) == 1 or self.holds_tied(unit):
+                kept[unit] = self._encode(unit)
+            else:
+                alone.append(unit)
+        for i in range(0, len(alone), TOGETHER):
+            some = alone[i : i + TOGETHER]
+            for unit, taken in zip(some, self.together(some)):
+                if taken is None:
+                    taken = self._encode(unit)
+                elif self.expanded:
+                    taken = self._ids(np.frombuffer(taken, np.int32).tolist())
+                kept[unit] = taken
+        for unit, word, signs in split:
+            kept[unit] = kept[word] + kept[signs]
+
+    def cut_up(self, text):
+        """Units of a text, in pieces of about ``PIECE`` signs."""
         if not text:
-            return out
-        text, units, start = BLANK + text.replace(" ", BLANK), self.units, 0
+            return
+        text, start = BLANK + text.replace(" ", BLANK), 0
         while start < len(text):
             stop = len(text)
             if stop - start > PIECE and (found := self.edge.search(text, start + PIECE)):
                 stop = found.start()
-            ids = []
-            for unit in self.cut.findall(text, start, stop):
-                ids += units[unit]
-            out.extend(ids)
+            yield self.cut.findall(text, start, stop), stop - start
             start = stop
+
+    def encode_all(self, some):
+        """Ids of every text without the end id, as arrays."""
+        out, held, room = [array("i") for _ in some], [], PIECE
+
+        def settle():
+            if len(self.units) > CACHED:
+                self.units.clear()
+            ids = [list(map(self.units.get, units)) for _, units in held]
+            self.learn({unit for (_, units), some in zip(held, ids) if None in some for unit, i in zip(units, some) if i is None})
+            for (number, units), some in zip(held, ids):
+                if None in some:
+                    some = [i or self.units.get(unit) or self._encode(unit) for unit, i in zip(units, some)]
+                out[number].frombytes(b"".join(some))
+            held.clear()
+
+        for number, text in enumerate(some):
+            for units, signs in self.cut_up(text):
+                held.append((number, units))
+                room -= signs
+                if room < 0:
+                    settle()
+                    room = PIECE
+        settle()
         return out
 
+    def encode(self, text):
+        """Ids of a text without the end id, as an array."""
+        return self.encode_all([text])[0]
+
     def decode(self, ids):
         """The text of any ids: the first blank goes, bytes that are no character are U+FFFD."""
         first = next((i for i in ids if i not in self.silent), None)
@@ -317,8 +485,8 @@ def encode(docs: DataFrame, path: str, *keep: str, end=True) -> DataFrame:
         loaded = model(path)
         for batch in slices(batches, "text", SLICE_BYTES):
             flat, ends = array("i"), [0]
-            for text in texts(batch):
-                flat.extend(loaded.encode(text))
+            for found in loaded.encode_all(texts(batch)):
+                flat.extend(found)
                 if end:
                     flat.append(loaded.end)
                 ends.append(len(flat))
