@@ -53,7 +53,7 @@ COARSE, FINE, LARGE_SET = 64, 256, 2000
 BLOCK_ROWS, SET_ROWS, SET_SHINGLES, PIVOTS = 2048, 512, 1 << 21, 32
 #: Strays in one block of them.
 STRAY_ROWS = 2048
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 class Rule(NamedTuple):
