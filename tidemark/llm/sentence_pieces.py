@@ -473,25 +473,31 @@ def model(path):
 # -- over tables -------------------------------------------------------------------
 
 
-def encode(docs: DataFrame, path: str, *keep: str, end=True) -> DataFrame:
+def encode(docs: DataFrame, path: str, *keep: str, end=True, back=False) -> DataFrame:
     """``row`` (a struct of ``keep``) and ``ids`` of every text, with the end id last.
 
+    With ``back`` also the text that the ids stand for, ``decoded``, without a second step.
     ``path`` names a model file that every executor can open.
     """
     rows = docs.select(F.struct(*keep).alias("row"), "text")
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+    if back:
+        schema = schema.add("decoded", T.StringType())
 
     def run(batches):
         loaded = model(path)
         for batch in slices(batches, "text", SLICE_BYTES):
-            flat, ends = array("i"), [0]
+            flat, ends, decoded = array("i"), [0], []
             for found in loaded.encode_all(texts(batch)):
-                flat.extend(found)
                 if end:
-                    flat.append(loaded.end)
+                    found.append(loaded.end)
+                flat.extend(found)
                 ends.append(len(flat))
+                if back:
+                    decoded.append(loaded.decode(found))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), ids], ["row", "ids"])
+            columns = [batch.column("row"), ids] + [pa.array(decoded, pa.string())] * back
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -514,7 +520,7 @@ def report(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return decode(encode(docs, path, "doc_id"), path).select(
+    return encode(docs, path, "doc_id", back=True).select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
