@@ -96,6 +96,54 @@ def test_a_sample_of_one_kind_fails_loudly(spark, monkeypatch):
         toxicity.sample(*_corpus(spark))
 
 
+def _beyond(spark, first):
+    """Rows whose toxic word differs between the ``first`` ones that may be learned from, by hash of the id, and the others."""
+    ids = spark.range(600).filter(~toxicity.held_out(toxicity.F.col("id"))).orderBy(toxicity.F.xxhash64("id")).collect()
+    early = {r.id for r in ids[:first]}
+    rows = [(i, f"the {('vile' if i in early else 'foul') if i % 3 == 0 else 'kind'} word {i % 7} of it", "en") for i in range(600)]
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id LONG, toxic INT")
+
+
+@pytest.mark.parametrize("shard_rows", [100, 10_000])
+def test_every_labelled_row_is_learned_from(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(toxicity, "SAMPLE", 90)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", shard_rows, raising=False)
+    docs, labels = _beyond(spark, 90)
+    out = toxicity.scored(docs, labels, "doc_id").select("row.doc_id", "score").collect()
+    again = toxicity.scored(docs.repartition(7), labels.repartition(3), "doc_id").select("row.doc_id", "score").collect()
+    assert {r.doc_id: round(r.score, 9) for r in again} == {r.doc_id: round(r.score, 9) for r in out}
+    assert [r.doc_id for r in out if (r.score >= 0.7) != (r.doc_id % 3 == 0)] == []
+
+
+def test_all_rows_are_counted_and_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 20)
+    docs, labels = _corpus(spark)
+    twice = docs.unionByName(docs.filter("doc_id < 50")).unionByName(docs.selectExpr("doc_id + 1000 AS doc_id", "text", "lang"))
+    rows, shards = toxicity.learned(twice, labels.unionByName(labels))
+    found = rows.collect()
+    own = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(found) == len(own) == len({r.h for r in found}) and shards == -(-len(own) // 20)
+    assert sum(r.spare for r in found) == sum(zlib.crc32(f"calibrate {i}".encode()) % 4 == 0 for i in own)
+    learn = [toxicity._unpacked(r.rows) for r in found if not r.spare]
+    seen = [np.bincount(np.concatenate([np.unique(half) for half in halves]), minlength=1 << 16) for halves in zip(*[(d >> 32, d & 0xFFFFFFFF) for d in learn])]
+    expected = np.flatnonzero(np.concatenate(seen) >= toxicity.SHARED)
+    assert sorted(toxicity._shared_rows(rows.filter("not spare")).tolist()) == expected.tolist()
+
+
+def test_long_batches_are_trained_in_pieces(monkeypatch):
+    random = np.random.default_rng(3)
+    documents = [random.integers(1, 99, n) << 32 | random.integers(1, 99, n) for n in (1, 2, 30, 7, 1, 40, 5, 11)]
+    labels = np.array([1, 0, 1, 0, 0, 1, 0, 1], np.float32)
+    whole = Network().gradients(documents, labels)
+    monkeypatch.setattr(toxicity, "TRAIN_PIECE", 4)
+    for a, b in zip(_leaves(whole), _leaves(Network().gradients(documents, labels)), strict=True):
+        assert a == pytest.approx(b, abs=1e-6)
+
+
+def _leaves(value):
+    return [p for p in _parts(value) if isinstance(p, np.ndarray)]
+
+
 def test_report(spark, tmp_path):
     docs, labels = _corpus(spark)
     labels.write.parquet(str(tmp_path / "labels.parquet"))

@@ -4,9 +4,12 @@ Words and word beginnings are hashed into two embedding tables; filters of sever
 text, the largest answer of each filter goes into a logistic output.  Thresholds for a
 decision are calibrated by language on rows that training did not see.
 
-The classifier learns from a bounded sample of labelled rows (``SAMPLE`` rows and
-``SAMPLE_BYTES`` bytes of text, chosen by a hash of the id); scoring covers all rows and
-whole texts.  Labels, language, source and id are no inputs of a score.
+The classifier learns from every labelled row that is not held out, and from whole texts.
+Rows are dealt into shards of about ``SHARD_ROWS`` rows by a hash of the id.  Each of
+``ROUNDS`` rounds starts all shards from the same weights; a task trains on a shard, and
+the changes are averaged: a row of a table over the shards that changed it.  What fits one
+shard is trained in one round.  Scoring covers all rows and whole texts.  Labels, language,
+source and id are no inputs of a score.
 
 Defined results
     NULL and empty texts are scored as one empty word.  A row without label, or with a
@@ -15,6 +18,7 @@ Defined results
     caller's columns travel in one struct.
 """
 
+import copy
 import hashlib
 import zlib
 from functools import lru_cache
@@ -22,21 +26,24 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import read, slices, texts
+from tidemark.llm.common import read, slices, stored, texts
 
-#: Labelled rows learned from, and bytes of their texts, at most.
+#: Labelled rows, and bytes of their texts, that one task trains on at a time; rounds of training of several.
+SHARD_ROWS, SHARD_BYTES, ROUNDS = 6000, 48 << 20, 4
+#: Labelled rows, and bytes of their texts, that ``sample`` shows at most; nothing learns from it.
 SAMPLE, SAMPLE_BYTES = 6000, 48 << 20
 #: Letters of a word that the second embedding table looks at.
 HEAD = 4
 #: Rows of each embedding table, numbers per row, widths of the filters, filters per width.
 BUCKETS, DEPTH, WIDTHS, FILTERS = 1 << 16, 8, (1, 2, 3), 8
-#: Batches learned from, whole passes over the sample; rows of a batch.
+#: Batches learned from, in whole passes over a shard; rows of a batch.
 STEPS, BATCH, RATE, SEED = 1000, 32, 0.01, 7
-#: A table row learns when so many documents of the sample share it, else it is zero.
+#: A table row learns when so many of the documents learned from share it, else it is zero.
 SHARED = 4
 #: Part of the learned rows kept for calibration: one in so many.
 CALIBRATE = 4
@@ -45,6 +52,10 @@ CALIBRATE = 4
 PREDICTED, LEAST_ROWS = 0.7, 20
 #: Words kept with their hashes per worker, bytes of text laid out and words scored at a time.
 CACHED, SLICE_BYTES, PIECE = 100_000, 1 << 18, 1 << 13
+#: Words of a batch whose answers are held at a time in training; rows of weights averaged together.
+TRAIN_PIECE, BLOCK = 1 << 16, 1 << 10
+#: Thresholds tried.
+LIMITS = np.arange(0.5, 0.96, 0.05).round(2).tolist()
 
 
 def bucket(word):
@@ -133,27 +144,45 @@ class Network:
                 top[some] = np.maximum(top[some], found)
         return sigmoid(np.maximum(top, 0) @ self.out + self.rest[0])
 
+    def peaks(self, rows, start, stop):
+        """Largest answer of every filter in each document, and its first place."""
+        top, place = np.full((len(start), len(self.out)), -np.inf, np.float32), np.zeros((len(start), len(self.out)), np.int64)
+        for at in range(0, len(rows), TRAIN_PIECE):
+            y = self.answers(self.embed(rows[at : at + TRAIN_PIECE + max(WIDTHS) - 1]))[:TRAIN_PIECE]
+            for d in range(np.searchsorted(stop, at, "right"), np.searchsorted(start, at + TRAIN_PIECE)):
+                i, j = max(start[d], at) - at, min(stop[d], at + TRAIN_PIECE) - at
+                found = y[i:j].argmax(0)
+                value = y[i + found, np.arange(y.shape[1])]
+                better = value > top[d]
+                top[d, better], place[d, better] = value[better], (at + i + found)[better]
+        return top, place
+
     def gradients(self, documents, labels):
         """Gradients of the mean loss; of the tables only the rows that took part."""
         rows, start, stop = self.layout(documents)
-        x = self.embed(rows)
-        y = self.answers(x)
-        at = np.stack([i + y[i:j].argmax(0) for i, j in zip(start, stop)])
-        top = np.take_along_axis(y, at, 0)
+        top, at = self.peaks(rows, start, stop)
         kept = np.maximum(top, 0)
         error = (sigmoid(kept @ self.out + self.rest[0]) - labels) / len(labels)
         grad = error[:, None] * self.out * (top > 0)
         filters = [np.zeros_like(f) for f in self.filters]
+        # only words in a window with the largest answer have a gradient
+        seen = [
+            np.minimum(at[:, k * FILTERS : (k + 1) * FILTERS] + j, len(rows) - 1)
+            for k, width in enumerate(WIDTHS)
+            for j in range(width)
+        ]
+        words, place = np.unique(np.stack(seen), return_inverse=True)
+        place = iter(place.reshape(len(seen), *at[:, :FILTERS].shape))
+        x = self.embed(rows[words])
         dx = np.zeros_like(x)
         for k, width in enumerate(WIDTHS):
-            some = slice(k * FILTERS, (k + 1) * FILTERS)
-            g, place = grad[:, some], at[:, some]
+            g = grad[:, k * FILTERS : (k + 1) * FILTERS]
             for j in range(width):
-                seen = np.minimum(place + j, len(x) - 1)
-                filters[k][j] = np.einsum("dfe,df->ef", x[seen], g)
-                np.add.at(dx, seen.ravel(), (g[:, :, None] * self.filters[k][j].T).reshape(-1, x.shape[1]))
+                mine = next(place)
+                filters[k][j] = np.einsum("dfe,df->ef", x[mine], g)
+                np.add.at(dx, mine.ravel(), (g[:, :, None] * self.filters[k][j].T).reshape(-1, x.shape[1]))
         tables = []
-        for t, ids in enumerate((rows >> 32, rows & 0xFFFFFFFF)):
+        for t, ids in enumerate((rows[words] >> 32, rows[words] & 0xFFFFFFFF)):
             # rows at zero are padding or too rare to learn from, and stay there
             used = np.flatnonzero(dx.any(1) & self.tables[t][ids].any(1))
             unique, inverse = np.unique(ids[used], return_inverse=True)
@@ -163,16 +192,41 @@ class Network:
         dense = [*filters, grad.sum(0).reshape(self.bias.shape), error @ kept, error.sum(keepdims=True)]
         return tables, dense
 
-    def train(self, documents, labels):
+    def weights(self):
+        """All weights but the tables."""
+        return [*self.filters, self.bias, self.out, self.rest]
+
+    def keep(self, ids):
+        """Rows of the tables other than ``ids`` (the second table's behind the first's) become zero."""
+        for t, table in enumerate(self.tables):
+            rare = np.ones(BUCKETS, bool)
+            rare[ids[ids // BUCKETS == t] % BUCKETS] = False
+            table[rare] = 0
+        return self
+
+    def flat(self):
+        """All weights as rows of ``DEPTH`` numbers: both tables, then the others, padded."""
+        rest = np.concatenate([w.ravel() for w in self.weights()])
+        return np.concatenate((*self.tables, np.pad(rest, (0, -len(rest) % DEPTH)).reshape(-1, DEPTH)))
+
+    def move(self, ids, change):
+        """Add to rows as ``flat`` numbers them."""
+        flat = self.flat()
+        flat[ids] += change
+        self.tables = [flat[:BUCKETS].copy(), flat[BUCKETS : 2 * BUCKETS].copy()]
+        rest, at = flat[2 * BUCKETS :].ravel(), 0
+        for w in self.weights():
+            w[...] = rest[at : at + w.size].reshape(w.shape)
+            at += w.size
+        return self
+
+    def train(self, documents, labels, passes, seed=SEED):
         """Adam over shuffled batches; moments of table rows move when the row takes part."""
-        random = np.random.default_rng(SEED)
-        for table, half in zip(self.tables, (lambda r: r >> 32, lambda r: r & 0xFFFFFFFF)):
-            shared = np.bincount(np.concatenate([np.unique(half(d)) for d in documents]), minlength=BUCKETS)
-            table[shared < SHARED] = 0
-        weights = [*self.filters, self.bias, self.out, self.rest]
+        random = np.random.default_rng(seed)
+        weights = self.weights()
         first, second = ([np.zeros_like(w) for w in (*self.tables, *weights)] for _ in range(2))
         step = 0
-        while step < STEPS:
+        for _ in range(passes):
             order = random.permutation(len(documents))
             for i in range(0, len(order), BATCH):
                 some = order[i : i + BATCH]
@@ -196,32 +250,49 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def _size():
+    return F.coalesce(F.octet_length("text"), F.lit(0))
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` that may be learned from, an id once."""
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.filter(~held_out(F.col("doc_id")))
+
+
+def _present(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id, size, toxic, h`` of the known ids that a document has."""
+    sizes = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(_size()).alias("size"))
+    return sizes.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+
+
+def _best_texts(found: DataFrame) -> DataFrame:
+    """``doc_id, toxic, h, text, lang``: of the texts of an id the smallest."""
+    best = F.struct(_size().alias("size"), "text", F.col("lang").cast("string").alias("lang"))
+    found = found.select("doc_id", "toxic", "h", best.alias("best")).groupBy("doc_id", "toxic", "h").agg(F.min("best").alias("best"))
+    return found.select("doc_id", "toxic", "h", "best.text", "best.lang")
+
+
 def sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """``rows, toxic, lang, spare`` of the labelled rows that are learned from; bounded.
+    """``rows, toxic, lang, spare`` of some labelled rows, to look at; bounded.  ``fit`` takes them all.
 
     Labels of ids that no document has don't count, an id counts once (with its smallest
     text), and of the chosen ids only texts that no longer fit are left out.
     """
-    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.filter(~held_out(F.col("doc_id")))
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
-    sizes = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(size).alias("size"))
-    present = sizes.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    present = _present(docs, _known(labels))
     kinds = present.agg(F.count_distinct("toxic").alias("kinds")).first().kinds
     picked = present.filter(F.col("size") <= SAMPLE_BYTES).orderBy("h").limit(SAMPLE).toPandas()
     left, fits = SAMPLE_BYTES, []
-    for size_ in picked["size"]:
-        fits.append(size_ <= left)
-        left -= size_ if fits[-1] else 0
+    for size in picked["size"]:
+        fits.append(size <= left)
+        left -= size if fits[-1] else 0
     picked = picked[np.array(fits, bool)]
     if kinds > 1 and picked["toxic"].nunique() < 2:
         raise ValueError(f"labels hold toxic and other documents, but the {len(picked)} rows that fit the sample only one kind")
     if picked.empty:
         return pd.DataFrame({"rows": [], "toxic": [], "lang": [], "spare": []})
     chosen = docs.sparkSession.createDataFrame(picked[["doc_id", "toxic", "h"]])
-    found = docs.select("doc_id", F.struct(size.alias("size"), "text", "lang").alias("best")).join(F.broadcast(chosen), "doc_id")
-    found = found.groupBy("doc_id", "toxic", "h").agg(F.min("best").alias("best")).orderBy("h")
-    found = found.select("doc_id", "toxic", "best.text", "best.lang").toPandas()
+    found = _best_texts(docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")).orderBy("h").toPandas()
     return pd.DataFrame(
         {
             "rows": [word_rows(t or "") for t in found["text"]],
@@ -232,57 +303,175 @@ def sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     )
 
 
-def thresholds(scores, toxic, lang):
+def _packed(rows):
+    """Both table rows of every word in four bytes."""
+    return ((rows >> 32 << 16) | (rows & 0xFFFF)).astype(np.uint32).tobytes()
+
+
+def _unpacked(data):
+    packed = np.frombuffer(data, np.uint32).astype(np.int64)
+    return packed >> 16 << 32 | packed & 0xFFFF
+
+
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """``shard, h, toxic, lang, spare, rows`` of all labelled rows, stored by shard; number of shards.
+
+    Labels of ids that no document has don't count, an id counts once, with its smallest text.
+    """
+    known = _known(labels)
+    n, size = _present(docs, known).agg(F.count("*"), F.sum("size")).first()
+    shards = max(1, -(-n // SHARD_ROWS), -(-(size or 0) // SHARD_BYTES))
+    some = docs.select("doc_id", "text", "lang").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    found = _best_texts(some.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id")))
+    spare = F.crc32(F.concat(F.lit("calibrate "), F.col("doc_id").cast("string"))) % CALIBRATE == 0
+    found = found.select("h", F.col("toxic").cast("int").alias("toxic"), "lang", spare.alias("spare"), "text")
+
+    def run(batches):
+        for batch in slices(batches, "text", SLICE_BYTES):
+            rows = pa.array([_packed(word_rows(t)) for t in texts(batch)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], rows], ["h", "toxic", "lang", "spare", "rows"])
+
+    hashed = found.mapInArrow(run, "h long, toxic int, lang string, spare boolean, rows binary")
+    dealt = hashed.repartition(shards, "h").sortWithinPartitions("h")
+    return stored(dealt.select(F.spark_partition_id().alias("shard"), "*"), "labelled"), shards
+
+
+def _shared_rows(learn: DataFrame) -> np.ndarray:
+    """Rows of both tables, as ``Network.flat`` numbers them, that ``SHARED`` documents or more have."""
+
+    def run(batches):
+        seen = np.zeros(2 * BUCKETS, np.int64)
+        for batch in batches:
+            for data in batch.column("rows").to_pylist():
+                rows = _unpacked(data)
+                seen[np.unique(rows >> 32)] += 1
+                seen[np.unique(rows & 0xFFFF) + BUCKETS] += 1
+        ids = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], ["id", "n"])
+
+    counted = learn.select("rows").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return counted.filter(F.col("n") >= SHARED).select("id").toPandas()["id"].to_numpy(np.int64)  # at most two tables
+
+
+def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
+    """Mean change of the weights by shards that all start from ``network``: rows that moved, and by how much."""
+    shared = learn.sparkSession.sparkContext.broadcast(network)  # fixed size: 4 MB of weights
+
+    def changes(shard, parts):
+        own = pa.concat_tables(parts).sort_by("h")
+        documents = [_unpacked(data) for data in own.column("rows").to_pylist()]
+        net = copy.deepcopy(shared.value)
+        before = net.flat()
+        net.train(documents, own.column("toxic").to_numpy().astype(np.float32), passes, SEED + turn + ROUNDS * shard)
+        change = net.flat() - before
+        # every shard moves what lies behind the tables
+        ids = np.flatnonzero(change.any(1) | (np.arange(len(change)) >= 2 * BUCKETS))
+        cuts = np.flatnonzero(np.diff(ids // BLOCK, prepend=-1))
+        spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)]))
+        columns = {
+            "block": pa.array([ids[i] // BLOCK for i, _ in spans], pa.int64()),
+            "shard": pa.array([shard] * len(spans), pa.int64()),
+            "n": pa.array([len(documents)] * len(spans), pa.int64()),
+            "ids": pa.array([ids[i:j].tobytes() for i, j in spans], pa.binary()),
+            "change": pa.array([change[ids[i:j]].tobytes() for i, j in spans], pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches):
+        held, shard = [], None  # the rows of a shard lie together
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for number in pc.unique(batch.column("shard")).to_pylist():
+                if held and number != shard:
+                    yield changes(shard, held)
+                    held = []
+                held.append(table.filter(pc.equal(table.column("shard"), number)))
+                shard = number
+        if held:
+            yield changes(shard, held)
+
+    def mean(table):
+        # always in the same order, so that sums agree
+        rows = table.sort_by("shard").to_pylist()
+        first = rows[0]["block"] * BLOCK
+        total, n = np.zeros((BLOCK, DEPTH)), np.zeros(BLOCK)
+        for row in rows:
+            ids = np.frombuffer(row["ids"], np.int64) - first
+            total[ids] += row["n"] * np.frombuffer(row["change"], np.float32).reshape(-1, DEPTH)
+            n[ids] += row["n"]
+        ids = np.flatnonzero(n)
+        change = (total[ids] / n[ids, None]).astype(np.float32)
+        return pa.table({"ids": [(ids + first).tobytes()], "change": [change.tobytes()]})
+
+    moved = learn.select("shard", "h", "toxic", "rows").mapInArrow(run, "block long, shard long, n long, ids binary, change binary")
+    means = moved.groupBy("block").applyInArrow(mean, "ids binary, change binary").collect()  # as large as the weights at most
+    shared.unpersist()
+    ids = [np.frombuffer(m.ids, np.int64) for m in means]
+    return np.concatenate(ids), np.concatenate([np.frombuffer(m.change, np.float32).reshape(-1, DEPTH) for m in means])
+
+
+def thresholds(spare: DataFrame, network: Network) -> dict:
     """Threshold per language: the best F measure that weighs precision double."""
+    shared = spare.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches):
+        for batch in slices(batches, "rows", SLICE_BYTES):
+            scores = shared.value.score([_unpacked(data) for data in batch.column("rows").to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("toxic"), pa.array(scores.astype(np.float32))], ["lang", "toxic", "score"]
+            )
+
+    rows = spare.filter("lang is not null").select("lang", "toxic", "rows").mapInArrow(run, "lang string, toxic int, score float")
+    reached = [F.col("score") >= F.lit(limit).cast("float") for limit in LIMITS]
+    counted = rows.groupBy("lang").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("toxic") == 1).alias("toxic"),
+        F.array(*[F.count_if(r & (F.col("toxic") == 1)) for r in reached]).alias("hit"),
+        F.array(*[F.count_if(r & (F.col("toxic") == 0)) for r in reached]).alias("wrong"),
+    )
     out = {}
-    for name in sorted({x for x in lang if x is not None}):
-        mine = np.array([x == name for x in lang])
-        s, t = scores[mine], toxic[mine]
-        if len(s) < LEAST_ROWS or not 0 < t.sum() < len(t):
-            continue
+    for row in counted.filter((F.col("n") >= LEAST_ROWS) & (F.col("toxic") > 0) & (F.col("toxic") < F.col("n"))).collect():
         tried = []
-        for limit in np.arange(0.5, 0.96, 0.05).round(2).tolist():
-            hit, wrong = ((s >= limit) & (t == 1)).sum(), ((s >= limit) & (t == 0)).sum()
-            measure = 1.25 * hit / max(1, 1.25 * hit + 0.25 * (t.sum() - hit) + wrong)
+        for limit, hit, wrong in zip(LIMITS, row.hit, row.wrong):
+            measure = 1.25 * hit / max(1, 1.25 * hit + 0.25 * (row.toxic - hit) + wrong)
             tried.append((measure, -abs(limit - PREDICTED), limit))  # of equal ones the nearest to the default
-        best = max(tried)
-        out[name] = best[2]
+        out[row.lang] = max(tried)[2]
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame):
     """A trained network, or None without labels of both kinds, and thresholds by language."""
-    rows = sample(docs, labels)
-    learn = rows[~rows["spare"].astype(bool)] if len(rows) else rows
-    if len(learn) == 0 or learn["toxic"].nunique() < 2:
+    rows, shards = learned(docs, labels)
+    learn = rows.filter("not spare")
+    count, kinds = learn.agg(F.count("*"), F.count_distinct("toxic")).first()
+    if kinds < 2:
         return None, {}
-    network = Network().train(learn["rows"].tolist(), learn["toxic"].to_numpy(np.float32))
-    spare = rows[rows["spare"].astype(bool)]
-    scores = np.concatenate([network.score([d]) for d in spare["rows"]]) if len(spare) else np.zeros(0)
-    return network, thresholds(scores, spare["toxic"].to_numpy(), spare["lang"].tolist())
+    network = Network().keep(_shared_rows(learn))
+    batches, rounds = -(-count // (BATCH * shards)), 1 if shards == 1 else ROUNDS
+    passes = -(-STEPS // batches) if shards == 1 else max(1, STEPS // (rounds * batches))
+    for turn in range(rounds):
+        network.move(*_trained(learn, network, passes, turn))
+    return network, thresholds(rows.filter("spare"), network)
 
 
 def scored(docs: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
     """``row`` (a struct of ``keep``), ``score`` and ``rejected``: at or above the threshold."""
     network, limits = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(network)  # fixed size: 4 MB of weights
-    rows = docs.select(F.struct(*keep).alias("row"), "text", "lang")
-    schema = T.StructType([rows.schema["row"], T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
+    rows = docs.select(F.struct(*keep).alias("row"), "text", F.col("lang").cast("string").alias("lang"))
+    schema = T.StructType(
+        [rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
+    )
 
     def run(batches):
         model = shared.value
         for batch in slices(batches, "text", SLICE_BYTES):
             words = [word_rows(t) for t in texts(batch)]
             scores = model.score(words).astype(float) if model else np.zeros(len(words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("lang").cast(pa.string()), pa.array(scores)], ["row", "lang", "score"]
-            )
+            limit = [limits.get(name, PREDICTED) for name in batch.column("lang").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores), pa.array(scores >= limit)], schema.names)
 
-    out = rows.mapInArrow(run, schema)
-    limit = F.lit(PREDICTED)
-    for name, value in limits.items():
-        limit = F.when(F.col("lang") == name, value).otherwise(limit)
-    return out.select("row", "score", (F.col("score") >= limit).alias("rejected"))
+    return rows.mapInArrow(run, schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
