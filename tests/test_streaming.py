@@ -1,8 +1,10 @@
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import queries
 from tidemark.schemas import ENVELOPE
 from tidemark.sources import envelope, events
 from tidemark.streaming import ingest, live, settled
@@ -299,3 +301,14 @@ def test_diagnostics(spark, topic):
     assert ingest.preview(text, 2) == 1050
     query = finish(ingest.start_console(envelope.envelope_text(stream(spark, topic)), trigger=NOW))
     assert sum(p.numInputRows for p in query.recentProgress) == 1050
+
+
+def test_files_of_the_topic_stay_small_as_the_table_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 50, raising=False)
+    monkeypatch.setattr(queries, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    source = queries._topic_files(spark, SF_DIR)
+    rows = [pq.read_metadata(f).num_rows for f in (tmp_path / "topic" / "files").glob("*.parquet")]
+    assert sum(rows) == 1050 and max(rows) <= 60
+    query = finish(live.start_dedup(source, str(tmp_path / "rows"), str(tmp_path / "checkpoint"), NOW))
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+    assert live.read_unique(spark, str(tmp_path / "rows")).count() == 1000

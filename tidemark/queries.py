@@ -224,13 +224,17 @@ def dead_letter_split(spark, sf_dir):
     return both.select(F.col("key").cast("string").alias("key"), "partition", "offset", "dead")
 
 
+#: Events, as deliveries, in one file of a topic; triggers that take a topic of any size.
+FILE_ROWS, TRIGGERS = 200_000, 4
+
+
 def _topic_files(spark, sf_dir):
-    """The deliveries as four files of a topic, the newest taken first, one per trigger."""
+    """The deliveries as files of a topic, dealt evenly; four triggers take them, the newest first."""
     folder = f"{shared_folder(spark, 'topic')}/files"
-    rows = _envelope(spark, sf_dir)
-    parts = rows.withColumn("_part", F.pmod(F.xxhash64("offset"), F.lit(4)))
-    parts.repartition(4, "_part").drop("_part").write.parquet(folder)
-    return envelope.stream_envelope(spark, "parquet", folder, maxFilesPerTrigger="1", latestFirst="true")
+    rows = events.read_events(spark, sf_dir).count()  # from footers
+    each = max(1, -(-rows // (TRIGGERS * FILE_ROWS)))
+    _envelope(spark, sf_dir).repartition(TRIGGERS * each).write.parquet(folder)
+    return envelope.stream_envelope(spark, "parquet", folder, maxFilesPerTrigger=str(each), latestFirst="true")
 
 
 def stream_dedup(spark, sf_dir):
