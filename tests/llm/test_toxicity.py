@@ -130,6 +130,18 @@ def test_all_rows_are_counted_and_dealt_once(spark, monkeypatch):
     assert sorted(toxicity._shared_rows(rows.filter("not spare")).tolist()) == expected.tolist()
 
 
+def test_one_shard_is_plain_training(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 20)
+    docs, labels = _corpus(spark)
+    network, _ = toxicity.fit(docs, labels)
+    rows, _ = toxicity.learned(docs, labels)
+    learn = rows.filter("not spare").orderBy("h").collect()
+    documents, toxic = [toxicity._unpacked(r.rows) for r in learn], np.array([r.toxic for r in learn], np.float32)
+    plain = Network().keep(toxicity._shared_rows(rows.filter("not spare")))
+    plain.train(documents, toxic, -(-20 // -(-len(learn) // toxicity.BATCH)))
+    assert network.score(documents) == pytest.approx(plain.score(documents), abs=1e-4)
+
+
 def test_long_batches_are_trained_in_pieces(monkeypatch):
     random = np.random.default_rng(3)
     documents = [random.integers(1, 99, n) << 32 | random.integers(1, 99, n) for n in (1, 2, 30, 7, 1, 40, 5, 11)]

@@ -7,7 +7,7 @@ decision are calibrated by language on rows that training did not see.
 The classifier learns from every labelled row that is not held out, and from whole texts.
 Rows are dealt into shards of about ``SHARD_ROWS`` rows by a hash of the id.  Each of
 ``ROUNDS`` rounds starts all shards from the same weights; a task trains on a shard, and
-the changes are averaged: a row of a table over the shards that changed it.  What fits one
+the weights are averaged: a row of a table over the shards that changed it.  What fits one
 shard is trained in one round.  Scoring covers all rows and whole texts.  Labels, language,
 source and id are no inputs of a score.
 
@@ -209,10 +209,10 @@ class Network:
         rest = np.concatenate([w.ravel() for w in self.weights()])
         return np.concatenate((*self.tables, np.pad(rest, (0, -len(rest) % DEPTH)).reshape(-1, DEPTH)))
 
-    def move(self, ids, change):
-        """Add to rows as ``flat`` numbers them."""
+    def put(self, ids, values):
+        """Set rows as ``flat`` numbers them."""
         flat = self.flat()
-        flat[ids] += change
+        flat[ids] = values
         self.tables = [flat[:BUCKETS].copy(), flat[BUCKETS : 2 * BUCKETS].copy()]
         rest, at = flat[2 * BUCKETS :].ravel(), 0
         for w in self.weights():
@@ -354,18 +354,18 @@ def _shared_rows(learn: DataFrame) -> np.ndarray:
 
 
 def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
-    """Mean change of the weights by shards that all start from ``network``: rows that moved, and by how much."""
+    """Mean weights of shards that all start from ``network``: rows that moved, and their numbers."""
     shared = learn.sparkSession.sparkContext.broadcast(network)  # fixed size: 4 MB of weights
 
-    def changes(shard, parts):
+    def weights(shard, parts):
         own = pa.concat_tables(parts).sort_by("h")
         documents = [_unpacked(data) for data in own.column("rows").to_pylist()]
         net = copy.deepcopy(shared.value)
         before = net.flat()
         net.train(documents, own.column("toxic").to_numpy().astype(np.float32), passes, SEED + turn + ROUNDS * shard)
-        change = net.flat() - before
+        after = net.flat()
         # every shard moves what lies behind the tables
-        ids = np.flatnonzero(change.any(1) | (np.arange(len(change)) >= 2 * BUCKETS))
+        ids = np.flatnonzero((after != before).any(1) | (np.arange(len(after)) >= 2 * BUCKETS))
         cuts = np.flatnonzero(np.diff(ids // BLOCK, prepend=-1))
         spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)]))
         columns = {
@@ -373,7 +373,7 @@ def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
             "shard": pa.array([shard] * len(spans), pa.int64()),
             "n": pa.array([len(documents)] * len(spans), pa.int64()),
             "ids": pa.array([ids[i:j].tobytes() for i, j in spans], pa.binary()),
-            "change": pa.array([change[ids[i:j]].tobytes() for i, j in spans], pa.binary()),
+            "row": pa.array([after[ids[i:j]].tobytes() for i, j in spans], pa.binary()),
         }
         return pa.RecordBatch.from_pydict(columns)
 
@@ -383,12 +383,12 @@ def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
             table = pa.Table.from_batches([batch])
             for number in pc.unique(batch.column("shard")).to_pylist():
                 if held and number != shard:
-                    yield changes(shard, held)
+                    yield weights(shard, held)
                     held = []
                 held.append(table.filter(pc.equal(table.column("shard"), number)))
                 shard = number
         if held:
-            yield changes(shard, held)
+            yield weights(shard, held)
 
     def mean(table):
         # always in the same order, so that sums agree
@@ -397,17 +397,17 @@ def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
         total, n = np.zeros((BLOCK, DEPTH)), np.zeros(BLOCK)
         for row in rows:
             ids = np.frombuffer(row["ids"], np.int64) - first
-            total[ids] += row["n"] * np.frombuffer(row["change"], np.float32).reshape(-1, DEPTH)
+            total[ids] += row["n"] * np.frombuffer(row["row"], np.float32).reshape(-1, DEPTH)
             n[ids] += row["n"]
         ids = np.flatnonzero(n)
-        change = (total[ids] / n[ids, None]).astype(np.float32)
-        return pa.table({"ids": [(ids + first).tobytes()], "change": [change.tobytes()]})
+        row = (total[ids] / n[ids, None]).astype(np.float32)
+        return pa.table({"ids": [(ids + first).tobytes()], "row": [row.tobytes()]})
 
-    moved = learn.select("shard", "h", "toxic", "rows").mapInArrow(run, "block long, shard long, n long, ids binary, change binary")
-    means = moved.groupBy("block").applyInArrow(mean, "ids binary, change binary").collect()  # as large as the weights at most
+    moved = learn.select("shard", "h", "toxic", "rows").mapInArrow(run, "block long, shard long, n long, ids binary, row binary")
+    means = moved.groupBy("block").applyInArrow(mean, "ids binary, row binary").collect()  # as large as the weights at most
     shared.unpersist()
     ids = [np.frombuffer(m.ids, np.int64) for m in means]
-    return np.concatenate(ids), np.concatenate([np.frombuffer(m.change, np.float32).reshape(-1, DEPTH) for m in means])
+    return np.concatenate(ids), np.concatenate([np.frombuffer(m.row, np.float32).reshape(-1, DEPTH) for m in means])
 
 
 def thresholds(spare: DataFrame, network: Network) -> dict:
@@ -450,7 +450,7 @@ def fit(docs: DataFrame, labels: DataFrame):
     batches, rounds = -(-count // (BATCH * shards)), 1 if shards == 1 else ROUNDS
     passes = -(-STEPS // batches) if shards == 1 else max(1, STEPS // (rounds * batches))
     for turn in range(rounds):
-        network.move(*_trained(learn, network, passes, turn))
+        network.put(*_trained(learn, network, passes, turn))
     return network, thresholds(rows.filter("spare"), network)
 
 
