@@ -53,6 +53,16 @@ def test_byte_bpe_query(docs, corpus, no_docs):
     assert byte_bpe.report(no_docs).count() == 0
 
 
+def test_byte_bpe_round_trip_is_one_python_step(docs):
+    """Two steps in a row would keep two Python workers per core on every executor."""
+    both = byte_bpe.round_trip(docs, RANKS, "doc_id")
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    apart = byte_bpe.decode(byte_bpe.encode(docs, RANKS, "doc_id"), RANKS)
+    expected = {r.row.doc_id: (len(r.ids) // 4, bytes(r.ids), sha(r.decoded)) for r in apart.collect()}
+    found = both.select("row.doc_id", "n_tokens", "ids", "decoded_sha256")
+    assert {r.doc_id: (r.n_tokens, bytes(r.ids), r.decoded_sha256) for r in found.collect()} == expected
+
+
 def test_token_files(docs, corpus, no_docs, tied, monkeypatch):
     from tokenizers import Tokenizer
 

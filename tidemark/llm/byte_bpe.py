@@ -179,6 +179,31 @@ def vocabulary(path):
 # -- over tables -------------------------------------------------------------------
 
 
+def encoded_batches(batches, path):
+    """Batches of ``row, text`` as batches of ``row, ids, offsets``."""
+    vocab = vocabulary(path)
+    for batch in slices(batches, "text", SCAN_BYTES):
+        ids = vocab.encode(texts(batch))
+        ends = [vocab.offsets(i) for i in ids]
+        ids, ends = ([x.astype("<u4").tobytes() for x in column] for column in (ids, ends))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], ["row", "ids", "offsets"]
+        )
+
+
+def decoded_batches(batches, path):
+    """Batches of ``row, ids, offsets`` as batches of ``row, ids, decoded``."""
+    vocab = vocabulary(path)
+    for batch in slices(batches, "ids", SCAN_BYTES):
+        out = [
+            vocab.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4").astype(np.int64))
+            for i, e in zip(batch.column("ids").to_pylist(), batch.column("offsets").to_pylist())
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("ids"), pa.array(out, pa.binary())], ["row", "ids", "decoded"]
+        )
+
+
 def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """``row`` (a struct of ``keep``), ``ids`` and ``offsets`` (little-endian unsigned
     32-bit integers: each id, and the byte of the text at which its token ends).
@@ -187,41 +212,25 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """
     rows = docs.select(F.struct(*keep).alias("row"), "text")
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.BinaryType())])
-
-    def run(batches):
-        vocab = vocabulary(path)
-        for batch in slices(batches, "text", SCAN_BYTES):
-            ids = vocab.encode(texts(batch))
-            ends = [vocab.offsets(i) for i in ids]
-            ids, ends = ([x.astype("<u4").tobytes() for x in column] for column in (ids, ends))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], ["row", "ids", "offsets"]
-            )
-
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: encoded_batches(batches, path), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``row``, ``ids`` and ``decoded``, the bytes of the text."""
     schema = T.StructType([*encoded.select("row", "ids").schema, T.StructField("decoded", T.BinaryType())])
-
-    def run(batches):
-        vocab = vocabulary(path)
-        for batch in slices(batches, "ids", SCAN_BYTES):
-            out = [
-                vocab.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4").astype(np.int64))
-                for i, e in zip(batch.column("ids").to_pylist(), batch.column("offsets").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("ids"), pa.array(out, pa.binary())], ["row", "ids", "decoded"]
-            )
-
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lambda batches: decoded_batches(batches, path), schema)
 
 
 def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
-    """Encode, decode what came out: ``row, n_tokens, ids, ids_sha256, decoded_sha256``."""
-    return decode(encode(docs, path, *keep), path).select(
+    """Encode, decode what came out: ``row, n_tokens, ids, ids_sha256, decoded_sha256``.
+
+    Both in one Python step: two in a row keep two workers per core, each with its own
+    vocabulary, and Spark holds on to them in all that follows.
+    """
+    rows = docs.select(F.struct(*keep).alias("row"), "text")
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    both = rows.mapInArrow(lambda batches: decoded_batches(encoded_batches(batches, path), path), schema)
+    return both.select(
         "row",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
