@@ -1,8 +1,10 @@
 """The pipeline's near-duplicate stage against brute force at its own rule."""
 
 import random
+import tracemalloc
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from test_dedup import brute_links
 
@@ -31,3 +33,22 @@ def test_near_stage(spark, corpus, tmp_path, monkeypatch, block):
     expected = [i for i, (n, component) in five.items() if not n or component == i]
     assert kept == expected
     assert len(kept) < sum(not n or component == i for i, (n, component) in three.items())
+
+
+def test_sets_of_a_group_are_compared_in_little_memory(monkeypatch):
+    """Overlaps as counted one by one; beside the sets a few numbers for each shingle, whatever is fetched at a time."""
+    rng = np.random.default_rng(7)
+    base, rule = rng.integers(0, 2**64, 4000, dtype=np.uint64), corpus_pipeline.NEAR
+    sets = [np.unique(np.append(base[rng.integers(0, 900) :], rng.integers(0, 2**64, 200, dtype=np.uint64))) for _ in range(100)]
+    n, payload = np.array([len(x) for x in sets]), [x.tobytes() for x in sets]
+    expected = [[len(np.intersect1d(x, y)) >= rule.needed(len(x), len(y)) for y in sets] for x in sets[:16]]
+    assert 0 < np.sum(expected) < 1600
+    tracemalloc.start()
+    match = ngram_join.BySets(n, payload, rule)
+    found = match.product(np.arange(16), np.arange(100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == expected and peak < 30 * n.sum()
+    for fetched in (1, 10_000, 1 << 30):
+        monkeypatch.setattr(ngram_join, "GATHERED", fetched)
+        assert match.product(np.arange(16), np.arange(100)).tolist() == expected

@@ -53,6 +53,8 @@ COARSE, FINE, LARGE_SET = 64, 256, 2000
 BLOCK_ROWS, SET_ROWS, SET_SHINGLES, PIVOTS = 2048, 512, 1 << 21, 32
 #: Strays in one block of them.
 STRAY_ROWS = 2048
+#: Pairs whose bound is taken at a time; shingles of others that a block of rows is multiplied with at a time.
+COMPARED, GATHERED = 1 << 12, 1 << 16
 SLICE_BYTES = 1 << 18
 
 
@@ -198,8 +200,8 @@ class ByBlocks:
     def pairs(self, a, b):
         low, need = np.minimum(self.n[a], self.n[b]), self.rule.needed(self.n[a], self.n[b])
         out = low >= need
-        for i in range(0, len(a), 1 << 14):
-            part = np.flatnonzero(out[i : i + (1 << 14)]) + i
+        for i in range(0, len(a), COMPARED):
+            part = np.flatnonzero(out[i : i + COMPARED]) + i
             if len(part):
                 x, y = a[part], b[part]
                 out[part] = np.minimum(self.coarse[x], self.coarse[y]).sum(1) >= need[part]
@@ -217,9 +219,12 @@ class BySets:
     def __init__(self, n, payload, rule):
         self.n, self.rule = n, rule
         found = [np.frombuffer(p, np.uint64) for p in payload]
-        self.columns, flat = np.unique(np.concatenate(found), return_inverse=True)
-        ends = np.cumsum([len(f) for f in found])
-        self.rows = np.split(flat, ends[:-1])
+        # sorted in place, and each set looked up by itself: no list of the whole group but this one
+        flat = np.concatenate(found)
+        flat.sort()
+        self.columns = flat[np.concatenate(([True], flat[1:] != flat[:-1]))]
+        del flat
+        self.rows = [np.searchsorted(self.columns, f).astype(np.int32) for f in found]
 
     def product(self, rows, others):
         """Whether each of some rows links with each of others: (block of M) times (rest of M) transposed."""
@@ -227,10 +232,16 @@ class BySets:
         for k, r in enumerate(rows):
             block[self.rows[r], k] = 1
         size = np.array([len(self.rows[o]) for o in others])
-        overlap = np.add.reduceat(
-            block[np.concatenate([self.rows[o] for o in others])], np.cumsum(size) - size, axis=0, dtype=np.int32
-        ).T
-        return overlap >= self.rule.needed(self.n[rows][:, None], self.n[others][None, :])
+        # the others' columns are fetched for about GATHERED shingles at a time
+        number = (np.cumsum(size) - size) // GATHERED
+        cuts = np.flatnonzero(np.diff(number)) + 1
+        overlap = [
+            np.add.reduceat(
+                block[np.concatenate([self.rows[o] for o in some])], np.cumsum(length) - length, axis=0, dtype=np.int32
+            )
+            for some, length in zip(np.split(np.asarray(others), cuts), np.split(size, cuts))
+        ]
+        return np.concatenate(overlap).T >= self.rule.needed(self.n[rows][:, None], self.n[others][None, :])
 
     def pairs(self, a, b):
         return np.array([self.product([x], [y])[0, 0] for x, y in zip(a, b)])
