@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, texts
+from tidemark.llm.common import kept, slices, texts, tidy
 from tidemark.llm.pretokens import SCAN_BYTES, PieceCache
 
 #: Above every rank.
@@ -173,6 +173,7 @@ class Vocabulary:
 
 @lru_cache(2)
 def vocabulary(path):
+    kept("byte_bpe", vocabulary.cache_clear)
     return Vocabulary(path)
 
 
@@ -212,13 +213,13 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """
     rows = docs.select(F.struct(*keep).alias("row"), "text")
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.BinaryType())])
-    return rows.mapInArrow(lambda batches: encoded_batches(batches, path), schema)
+    return rows.mapInArrow(tidy(lambda batches: encoded_batches(batches, path), "byte_bpe"), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``row``, ``ids`` and ``decoded``, the bytes of the text."""
     schema = T.StructType([*encoded.select("row", "ids").schema, T.StructField("decoded", T.BinaryType())])
-    return encoded.mapInArrow(lambda batches: decoded_batches(batches, path), schema)
+    return encoded.mapInArrow(tidy(lambda batches: decoded_batches(batches, path), "byte_bpe"), schema)
 
 
 def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
@@ -229,7 +230,7 @@ def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """
     rows = docs.select(F.struct(*keep).alias("row"), "text")
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
-    both = rows.mapInArrow(lambda batches: decoded_batches(encoded_batches(batches, path), path), schema)
+    both = rows.mapInArrow(tidy(lambda batches: decoded_batches(encoded_batches(batches, path), path), "byte_bpe"), schema)
     return both.select(
         "row",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import shingles as S
-from tidemark.llm.common import slices, stored, texts
+from tidemark.llm.common import slices, stored, texts, tidy
 from tidemark.llm.components import components
 
 #: Shingles put last in the common order, at most; the order decides cost, not results.
@@ -115,7 +115,7 @@ def frequent(docs: DataFrame, rule: Rule) -> np.ndarray:
         if held:
             yield report()
 
-    counted = docs.select("text").mapInArrow(run, "token long, n long")
+    counted = docs.select("text").mapInArrow(tidy(run), "token long, n long")
     counted = stored(counted.groupBy("token").agg(F.sum("n").alias("n")), "frequent")
     # the limit in counts that keeps the list within its bound: a row per power of two
     levels = counted.groupBy(F.floor(F.log2("n")).alias("level")).count().orderBy(F.desc("level")).collect()
@@ -178,7 +178,7 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
                 schema.names,
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 # -- steps 3 and 4: comparing groups -------------------------------------------------
@@ -406,7 +406,7 @@ def links(rows: DataFrame, kind, told: DataFrame, rule: Rule) -> DataFrame:
 
     def compared(some):
         ordered = some.select(*ROW).repartition("key", "cut").sortWithinPartitions("key", "cut", "role", "node")
-        return ordered.mapInArrow(_compare(kind, rule), "key long, a long, b long, n long")
+        return ordered.mapInArrow(tidy(_compare(kind, rule)), "key long, a long, b long, n long")
 
     if not _any_large(told):
         return compared(one).select("a", "b").filter("a <> b").distinct()
@@ -551,7 +551,7 @@ def _with_sets(source: DataFrame, member: DataFrame, rule: Rule) -> DataFrame:
                 ["n", "sig", "payload"],
             )
 
-    found = wanted.select("text").mapInArrow(run, "n long, sig binary, payload binary")
+    found = wanted.select("text").mapInArrow(tidy(run), "n long, sig binary, payload binary")
     found = found.select(F.xxhash64("sig", "n").alias("node"), "n", "payload")
     # ids that are not unique can bring a class twice; once is enough
     return found.join(member.select("node", "key", "cuts"), "node").dropDuplicates(["node"])

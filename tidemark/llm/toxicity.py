@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import read, slices, stored, texts
+from tidemark.llm.common import kept, read, slices, stored, texts, tidy
 
 #: Labelled rows, and bytes of their texts, that one task trains on at a time; rounds of training of several.
 SHARD_ROWS, SHARD_BYTES, ROUNDS = 6000, 48 << 20, 4
@@ -80,6 +80,7 @@ class Hashes(dict):
 
 @lru_cache(1)
 def hashes():
+    kept("toxicity", hashes.cache_clear)
     return Hashes()
 
 
@@ -331,7 +332,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
             rows = pa.array([_packed(word_rows(t)) for t in texts(batch)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], rows], ["h", "toxic", "lang", "spare", "rows"])
 
-    hashed = found.mapInArrow(run, "h long, toxic int, lang string, spare boolean, rows binary")
+    hashed = found.mapInArrow(tidy(run, "toxicity"), "h long, toxic int, lang string, spare boolean, rows binary")
     dealt = hashed.repartition(shards, "h").sortWithinPartitions("h")
     return stored(dealt.select(F.spark_partition_id().alias("shard"), "*"), "labelled"), shards
 
@@ -349,7 +350,7 @@ def _shared_rows(learn: DataFrame) -> np.ndarray:
         ids = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], ["id", "n"])
 
-    counted = learn.select("rows").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = learn.select("rows").mapInArrow(tidy(run, "toxicity"), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= SHARED).select("id").toPandas()["id"].to_numpy(np.int64)  # at most two tables
 
 
@@ -403,7 +404,7 @@ def _trained(learn: DataFrame, network: Network, passes: int, turn: int):
         row = (total[ids] / n[ids, None]).astype(np.float32)
         return pa.table({"ids": [(ids + first).tobytes()], "row": [row.tobytes()]})
 
-    moved = learn.select("shard", "h", "toxic", "rows").mapInArrow(run, "block long, shard long, n long, ids binary, row binary")
+    moved = learn.select("shard", "h", "toxic", "rows").mapInArrow(tidy(run, "toxicity"), "block long, shard long, n long, ids binary, row binary")
     means = moved.groupBy("block").applyInArrow(mean, "ids binary, row binary").collect()  # as large as the weights at most
     shared.unpersist()
     ids = [np.frombuffer(m.ids, np.int64) for m in means]
@@ -421,7 +422,7 @@ def thresholds(spare: DataFrame, network: Network) -> dict:
                 [batch.column("lang"), batch.column("toxic"), pa.array(scores.astype(np.float32))], ["lang", "toxic", "score"]
             )
 
-    rows = spare.filter("lang is not null").select("lang", "toxic", "rows").mapInArrow(run, "lang string, toxic int, score float")
+    rows = spare.filter("lang is not null").select("lang", "toxic", "rows").mapInArrow(tidy(run, "toxicity"), "lang string, toxic int, score float")
     reached = [F.col("score") >= F.lit(limit).cast("float") for limit in LIMITS]
     counted = rows.groupBy("lang").agg(
         F.count("*").alias("n"),
@@ -471,7 +472,7 @@ def scored(docs: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
             limit = [limits.get(name, PREDICTED) for name in batch.column("lang").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores), pa.array(scores >= limit)], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run, "toxicity"), schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
