@@ -6,11 +6,15 @@ a sparse matrix M; the overlaps are the entries of M times its transpose.  Only
 entries that can reach the threshold are computed:
 
 1. Equal sets become one class.  All further work is on classes.
-2. A linked pair shares a shingle among the first few of both sets in any common order
-   (prefix filter).  Shingles that are frequent in the corpus go last in that order.
-3. Classes that share such a shingle are compared by blocks of columns: the sum over
-   blocks of the smaller of both sizes bounds the overlap from above.  Pairs whose bound
-   is below what their sizes ask for are discarded; the rest connect to candidate groups.
+2. Sets are cut in parts of about one size by the first bits of their shingles.  Some part
+   of a linked pair is as alike as the rule asks, so that it shares a shingle among the
+   first few of both parts in any common order (prefix filter).  Shingles that are
+   frequent in the corpus go last in that order.
+3. Parts that share such a shingle are compared by parities: a bit tells whether a column
+   holds an odd number of members, and two sets differ in as many shingles as bits at
+   least.  Pairs that differ in more than their sizes allow are discarded; the rest connect
+   to candidate groups.  A part is small, however large the set, so unlike texts that
+   share a passage do not connect, and groups grow as the corpus does.
 4. The sets of a group meet once.  Blocks of its matrix are multiplied, overlaps are
    accumulated exactly, and pairs that reach the threshold are links.
 5. Links connect to components.
@@ -40,21 +44,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import shingles as S
-from tidemark.llm.common import slices, stored, texts, tidy
+from tidemark.llm.common import dropped, slices, stored, texts, tidy
 from tidemark.llm.components import components
 
 #: Shingles put last in the common order, at most; the order decides cost, not results.
 FREQUENT = 1 << 17
 #: A task counts shingles in chunks of this many and reports those in as many texts of a chunk.
 CHUNK, REPORTED = 1 << 20, 4
-#: Column blocks of the bound, and of the finer one that sets of ``LARGE_SET`` have as well.
-COARSE, FINE, LARGE_SET = 64, 256, 2000
+#: Shingles of a part: so many, and less than twice as many; smaller sets are one part.
+PART = 256
+#: Columns of a parity, at least; there are as many as shingles, rounded up to a power of two.
+LEAST_COLUMNS = 64
 #: Rows and shingles of a group that one task takes; pivots that each block of a larger one gets.
 BLOCK_ROWS, SET_ROWS, SET_SHINGLES, PIVOTS = 2048, 512, 1 << 21, 32
 #: Strays in one block of them.
 STRAY_ROWS = 2048
-#: Pairs whose bound is taken at a time; shingles of others that a block of rows is multiplied with at a time.
-COMPARED, GATHERED = 1 << 12, 1 << 16
+#: Bytes of parities that are compared at a time; shingles of others that a block of rows is multiplied with at a time.
+COMPARED, GATHERED = 1 << 20, 1 << 16
 SLICE_BYTES = 1 << 18
 
 
@@ -131,25 +137,70 @@ def frequent(docs: DataFrame, rule: Rule) -> np.ndarray:
     return np.sort(rows["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def blocks_of(tokens):
-    """Members of a set per column block, 255 standing for more."""
-    blocks = COARSE if len(tokens) < LARGE_SET else FINE
-    sizes = np.bincount((tokens >> np.uint64(64 - blocks.bit_length() + 1)).astype(np.int64), minlength=blocks)
-    return np.minimum(sizes, 255).astype(np.uint8).tobytes()
+def parity(tokens):
+    """A bit for each column of a set: whether it holds an odd number of members.
+
+    The columns are the lowest bits of a shingle, so half as many are the two halves, added.
+    """
+    columns = max(LEAST_COLUMNS, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(columns - 1)).astype(np.int64), minlength=columns) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def parts_of(n):
+    """Number of parts of a set."""
+    return 1 << (max(1, n // PART).bit_length() - 1)
+
+
+def parts(tokens, late, rule):
+    """``n, parity, keys`` of the parts of a set; ``late`` tells its frequent shingles.
+
+    ``keys`` stand for the prefix of a part.  Sets that link may differ in size, so a set is
+    cut in each number of parts that a smaller one which links with it is cut in.
+    """
+    number, most = parts_of(-(-rule.least * len(tokens) // 100)), parts_of(len(tokens))
+    while number <= most:
+        first = np.arange(1, number, dtype=np.uint64) << np.uint64(65 - number.bit_length()) if number > 1 else tokens[:0]
+        inner = np.searchsorted(tokens, first).tolist()
+        for start, stop in zip([0, *inner], [*inner, len(tokens)]):
+            if start < stop:
+                own, often = tokens[start:stop], late[start:stop]
+                prefix = np.concatenate((own[~often], own[often]))[: rule.prefix_length(len(own))]
+                yield len(own), parity(own), prefix if number == 1 else S.mix(prefix ^ np.uint64(number))
+        number *= 2
+
+
+def _part_lists(found):
+    """Lists of ``n, parity, keys`` as an Arrow column."""
+    flat = [part for some in found for part in some]
+    ends, key_ends = (np.cumsum([0, *map(len, x)]).astype(np.int32) for x in (found, [keys for *_, keys in flat]))
+    keys = np.concatenate([*(keys for *_, keys in flat), np.zeros(0, np.uint64)]).view(np.int64)
+    columns = (
+        pa.array([n for n, *_ in flat], pa.int64()),
+        pa.array([bits for _, bits, _ in flat], pa.binary()),
+        pa.ListArray.from_arrays(pa.array(key_ends), pa.array(keys)),
+    )
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, ["n", "parity", "keys"]))
 
 
 def described(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, read_at, n, sig, blocks, prefix`` of every text."""
+    """``doc_id, read_at, n, sig, parts`` of every text."""
     spark = docs.sparkSession
     last = spark.sparkContext.broadcast(frequent(docs, rule))
+    part = T.StructType(
+        [
+            T.StructField("n", T.LongType()),
+            T.StructField("parity", T.BinaryType()),
+            T.StructField("keys", T.ArrayType(T.LongType())),
+        ]
+    )
     schema = T.StructType(
         [
             docs.schema["doc_id"],
             T.StructField("read_at", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("sig", T.BinaryType()),
-            T.StructField("blocks", T.BinaryType()),
-            T.StructField("prefix", T.ArrayType(T.LongType())),
+            T.StructField("parts", T.ArrayType(part)),
         ]
     )
 
@@ -157,23 +208,19 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
         often = last.value
         for batch in slices(batches, "text", SLICE_BYTES):
             found = sets(batch, rule)
-            prefixes = []
+            cut = []
             for tokens in found:
                 late = np.zeros(len(tokens), bool)
                 if len(often):
                     late = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
-                order = np.concatenate((tokens[~late], tokens[late]))
-                prefixes.append(order[: rule.prefix_length(len(tokens)) if len(tokens) else 0].view(np.int64))
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
+                cut.append(list(parts(tokens, late, rule)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("read_at"),
                     pa.array([len(t) for t in found], pa.int64()),
                     pa.array([signature(t) for t in found], pa.binary()),
-                    pa.array([blocks_of(t) for t in found], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    _part_lists(cut),
                 ],
                 schema.names,
             )
@@ -184,33 +231,46 @@ def described(docs: DataFrame, rule: Rule) -> DataFrame:
 # -- steps 3 and 4: comparing groups -------------------------------------------------
 
 
-class ByBlocks:
-    """Compares classes by the bound that their column blocks give."""
+class ByParity:
+    """Compares classes by the bound that the parities of one part of each give."""
 
     def __init__(self, n, payload, rule):
         self.n, self.rule = n, rule
-        raw = np.frombuffer(b"".join(p.ljust(FINE, b"\0") for p in payload), np.uint8).reshape(-1, FINE).astype(np.int32)
-        raw[raw == 255] = 1 << 20  # that many or more
-        self.has_fine = np.array([len(p) == FINE for p in payload])
-        self.coarse = np.where(
-            self.has_fine[:, None], raw.reshape(len(raw), COARSE, FINE // COARSE).sum(2), raw[:, :COARSE]
-        )
-        self.fine = raw
+        self.columns = np.array([8 * len(p) for p in payload])
+        self.place = np.zeros(len(payload), np.int64)
+        #: by number of columns, the parities that have as many
+        self.words = {}
+        for columns in np.unique(self.columns).tolist():
+            own = np.flatnonzero(self.columns == columns)
+            self.place[own] = np.arange(len(own))
+            self.words[columns] = np.frombuffer(b"".join(payload[i] for i in own), np.uint64).reshape(len(own), -1)
+
+    def _apart(self, a, b):
+        """Shingles in which pairs differ, at least; on either side all have one number of columns."""
+        one, two = (self.words[self.columns[x[0]]][self.place[x]] for x in (a, b))
+        one, two = sorted((one, two), key=lambda x: x.shape[1])
+        while two.shape[1] > one.shape[1]:
+            half = two.shape[1] // 2
+            two = two[:, :half] ^ two[:, half:]
+        return np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
 
     def pairs(self, a, b):
-        low, need = np.minimum(self.n[a], self.n[b]), self.rule.needed(self.n[a], self.n[b])
-        out = low >= need
-        for i in range(0, len(a), COMPARED):
-            part = np.flatnonzero(out[i : i + COMPARED]) + i
-            if len(part):
-                x, y = a[part], b[part]
-                out[part] = np.minimum(self.coarse[x], self.coarse[y]).sum(1) >= need[part]
-                part = part[out[part] & self.has_fine[x] & self.has_fine[y]]
-                out[part] = np.minimum(self.fine[a[part]], self.fine[b[part]]).sum(1) >= need[part]
+        need = self.rule.needed(self.n[a], self.n[b])
+        out = np.zeros(len(a), bool)
+        todo = np.flatnonzero(np.minimum(self.n[a], self.n[b]) >= need)
+        kind = np.stack((self.columns[a[todo]], self.columns[b[todo]]), 1)
+        for x, y in np.unique(kind, axis=0).tolist():
+            own = todo[(kind == (x, y)).all(1)]
+            step = max(1, 8 * COMPARED // max(x, y))
+            for some in np.split(own, range(step, len(own), step)):
+                both = self.n[a[some]] + self.n[b[some]]
+                out[some] = both - self._apart(a[some], b[some]) >= 2 * need[some]
         return out
 
     def product(self, rows, others):
-        return np.stack([self.pairs(np.full(len(others), r), others) for r in rows])
+        """Whether each of some rows may link with each of others."""
+        a, b = np.repeat(rows, len(others)), np.tile(others, len(rows))
+        return self.pairs(a, b).reshape(len(rows), len(others))
 
 
 class BySets:
@@ -320,8 +380,8 @@ def _compare(kind, rule):
         new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (cut[1:] != cut[:-1]))))
         size = np.diff(np.append(new, len(key)))
         out = []
-        if kind is ByBlocks:
-            match = ByBlocks(n, payload, rule)
+        if kind is ByParity:
+            match = ByParity(n, payload, rule)
             for g in range(2, SMALL + 1):
                 start = new[(size == g) & (role[new] == MEMBER) & (role[new + size - 1] == MEMBER)]
                 i, j = np.triu_indices(g, 1)
@@ -333,8 +393,8 @@ def _compare(kind, rule):
             done = (size < 2) & (role[new] == MEMBER)
         for start, length in zip(new[~done].tolist(), size[~done].tolist()):
             stop = start + length
-            one = match if kind is ByBlocks else kind(n[start:stop], payload[start:stop], rule)
-            if kind is ByBlocks:
+            one = match if kind is ByParity else kind(n[start:stop], payload[start:stop], rule)
+            if kind is ByParity:
                 one = _Shifted(match, start)
             found = list(_group_links(one, role[start:stop], node[start:stop]))
             if found:
@@ -390,7 +450,7 @@ def links(rows: DataFrame, kind, told: DataFrame, rule: Rule) -> DataFrame:
     """``a, b`` that connect the groups of ``key, node, n, payload, cuts``.
 
     ``cuts`` is the number of blocks that a group is cut in; ``told`` holds ``key, node, n,
-    cuts`` of the same rows, stored.
+    cuts`` of the same rows.
     """
     one = rows.filter("cuts = 1").select("key", F.lit(0).cast("long").alias("cut"), F.lit(MEMBER).alias("role"), "node", "n", "payload")
     large = rows.filter("cuts > 1")
@@ -489,8 +549,7 @@ def class_table(described_docs: DataFrame) -> DataFrame:
         .agg(
             F.min("doc_id").alias("low"),
             F.first("n").alias("n"),
-            F.first("blocks").alias("blocks"),
-            F.first("prefix").alias("prefix"),
+            F.first("parts").alias("parts"),
         )
     )
 
@@ -501,16 +560,19 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     ``component`` tells components apart and is NULL for empty sets.
     """
     source = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("read_at"))
-    rows = described(source, rule).withColumn("node", F.xxhash64("sig", "n")).drop("sig")
-    rows = stored(rows, "sets")
-    classes = stored(class_table(rows), "classes")
+    found = stored(described(source, rule).withColumn("node", F.xxhash64("sig", "n")).drop("sig"), "sets")
+    classes = stored(class_table(found), "classes")
+    rows = stored(found.select("doc_id", "read_at", "n", "node"), "rows")
+    dropped(found)
 
-    token = classes.select(F.explode("prefix").alias("key"), "node", "n")
+    part = classes.select("node", F.posexplode("parts").alias("place", "part")).select("node", "place", "part.*")
+    token = part.select(F.explode("keys").alias("key"), "node", "place")
     shared = token.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
     shared = shared.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("cuts"))
     token = stored(token.join(shared, "key"), "shared")
-    filled = token.join(classes.select("node", F.col("blocks").alias("payload")), "node")
-    grouped = components(links(filled, ByBlocks, token, rule))
+    filled = token.join(part.select("node", "place", "n", F.col("parity").alias("payload")), ["node", "place"])
+    told = token.join(part.select("node", "place", "n"), ["node", "place"])
+    grouped = components(links(filled, ByParity, told, rule))
 
     grouped = grouped.join(classes.select("node", "low", "n"), "node")
     size = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("all"))
@@ -528,6 +590,7 @@ def joined(docs: DataFrame, rule: Rule) -> DataFrame:
     low = low.select("node", "low", F.coalesce("component", "node").alias("component"))
     names = stored(low.groupBy("component").agg(F.min("low").alias("component_id")), "names")
     labels = stored(low.join(names, "component").select("node", "component", "component_id"), "labels")
+    dropped(classes, token, filled)
     return rows.select("doc_id", "read_at", "n", "node").join(labels, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
